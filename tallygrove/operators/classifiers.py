@@ -28,8 +28,10 @@ CLASSIFIERS = {
     "decision_tree": DecisionTreeClassifier,
     "naive_bayes": NaiveBayes,
 }
-# Classifiers that read their input once or twice; the others pass over it many times.
-FEW_PASSES = ("naive_bayes",)
+# Classifiers that do enough work per row in each of many passes to repay a shuffle beforehand.
+TREES = ("random_forest", "gbt", "decision_tree")
+# Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
+ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
 
 def make_estimator(
@@ -60,18 +62,29 @@ def used_columns(df: DataFrame, spec: TableSpec, *others: str) -> DataFrame:
     return df.select(*(name for name in names if name in df.columns))
 
 
+def _persist(df: DataFrame) -> DataFrame:
+    conf = df.sparkSession.conf
+    before = conf.get(ADAPTIVE_CACHE)
+    conf.set(ADAPTIVE_CACHE, True)
+    try:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        conf.set(ADAPTIVE_CACHE, before)
+
+
 @contextmanager
 def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool) -> Iterator[DataFrame]:
     """The used columns, cached in memory and on disk for as long as the fits need them.
 
-    ``balance`` asks for one rebalancing shuffle first. Iterative fits read the cache tens of times,
-    and too few or too uneven partitions (one big file, a skewed join) would slow every pass. Spark
-    sizes the partitions at run time and splits the large ones.
+    ``balance`` adds one rebalancing shuffle of those columns. Tree fits go over the cache tens of
+    times, and too few or uneven partitions (one big file, a skewed join) would slow every pass.
+    Adaptive execution picks the partition sizes: small tables get few, large ones get partitions
+    of the advisory size, and oversized ones are split.
     """
     used = used_columns(df, spec, *others)
     if balance:
         used = used.hint("rebalance")
-    used = used.persist(StorageLevel.MEMORY_AND_DISK)
+    used = _persist(used)
     try:
         yield used
     finally:
@@ -88,10 +101,10 @@ def train(
 ) -> PipelineModel:
     """Fit feature stages and classifier on a prepared table.
 
-    ``balance`` defaults to true for the iterative classifiers.
+    ``balance`` defaults to true for trees and their ensembles.
     """
     if balance is None:
-        balance = algorithm not in FEW_PASSES
+        balance = algorithm in TREES
     estimator = make_estimator(algorithm, params, seed, spec.label)
     with held(df, spec, balance=balance) as data:
         check_inputs(data, spec, non_negative=algorithm == "naive_bayes")

@@ -22,11 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
-    FEW_PASSES,
+    TREES,
     held,
     make_estimator,
     score_column,
-    train,
 )
 from tallygrove.operators.evaluate import area_under_roc, metric_name, performance
 from tallygrove.operators.features import check_inputs, feature_pipeline, with_estimator
@@ -165,7 +164,7 @@ def search(
         raise ValueError("no candidates to search")
     started = time.monotonic()
     if balance is None:
-        balance = any(c.algorithm not in FEW_PASSES for c in candidates)
+        balance = any(c.algorithm in TREES for c in candidates)
     folded = assign_fold(df, spec.key, folds, seed, FOLD)
     with held(folded, spec, FOLD, balance=balance) as data:
         check_inputs(data, spec, any(c.algorithm == "naive_bayes" for c in candidates))
@@ -292,19 +291,27 @@ def compare(
     params: Mapping[str, Mapping[str, object]] | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Train each algorithm on ``parts['train']`` and report it on the other parts."""
-    spark = parts["train"].sparkSession
+    """Train each algorithm on ``parts['train']`` and report it on the other parts.
+
+    The training rows are cached once and the feature stages, which do not depend on the algorithm,
+    are fitted once.
+    """
     rows = []
-    for algorithm in algorithms:
-        model = train(parts["train"], spec, algorithm, (params or {}).get(algorithm), seed)
-        for name, part in parts.items():
-            if name == "train":
-                continue
-            scored = model.transform(part)
-            auc = area_under_roc(scored, score_column(algorithm), spec.label)
-            seen = performance(scored, spec.label).first()
-            rows.append((algorithm, name, auc, seen["accuracy"], seen["mean_per_class_error"]))
-    return spark.createDataFrame(
+    with held(parts["train"], spec, balance=any(a in TREES for a in algorithms)) as data:
+        check_inputs(data, spec, "naive_bayes" in algorithms)
+        features = feature_pipeline(spec).fit(data)
+        ready = features.transform(data)
+        for algorithm in algorithms:
+            estimator = make_estimator(algorithm, (params or {}).get(algorithm), seed, spec.label)
+            model = with_estimator(features, estimator.fit(ready))
+            for name, part in parts.items():
+                if name == "train":
+                    continue
+                scored = model.transform(part)
+                auc = area_under_roc(scored, score_column(algorithm), spec.label)
+                seen = performance(scored, spec.label).first()
+                rows.append((algorithm, name, auc, seen["accuracy"], seen["mean_per_class_error"]))
+    return parts["train"].sparkSession.createDataFrame(
         rows,
         "algorithm STRING, part STRING, auc DOUBLE, accuracy DOUBLE, "
         "mean_per_class_error DOUBLE",
