@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,7 @@ from tallygrove.operators.scoring import require_probability
 # The clip that keeps log loss finite, and the number of ranges that running totals
 # over scores are cut into.
 LOG_LOSS_CLIP = 1e-15
-SCORE_RANGES = 1_000
+SCORE_RANGES = 2_000
 
 
 def _evaluator(score: str, label: str, bins: int) -> BinaryClassificationEvaluator:
@@ -50,45 +51,52 @@ def positive_score(df: DataFrame, score: str = "probability") -> Column:
     return class_score(score)
 
 
-def score_curve(
-    df: DataFrame,
-    score: Column,
-    label: str = "label",
-    by: Sequence[str] = (),
-    ranges: int = SCORE_RANGES,
+def score_points(
+    df: DataFrame, score: Column, label: str = "label", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Positives and negatives at each distinct score and above it, per group of ``by``.
-
-    Columns: ``by``, score, pos, neg, tp, fp, n_pos, n_neg. Rows are first added up per distinct
-    score, then the distinct scores are cut into ranges of about equal size: totals above a range
-    come from a table with one row per group and range, totals inside it from a window over the
-    range.
-    """
-    by = list(by)
-    points = df.groupBy(*by, score.alias("score")).agg(
+    """Positives and negatives at each distinct score, per group of ``by``."""
+    return df.groupBy(*by, score.alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) != 1).alias("neg"),
     )
+
+
+def score_curve(
+    points: DataFrame, by: Sequence[str] = (), ranges: int = SCORE_RANGES
+) -> DataFrame:
+    """Add the totals at and above each score of ``score_points``: tp, fp, n_pos, n_neg.
+
+    The distinct scores are cut into ranges of about equal size. Totals above a range come from a
+    table with one row per group and range, totals inside it from a window over the range. The
+    points are read twice: once to find the cuts, once for the totals.
+    """
     probes = [i / ranges for i in range(1, ranges)]
-    inner = sorted(set(points.approxQuantile("score", probes, 0.25 / ranges)))
-    cuts = [float("-inf"), *inner, float("inf")]
-    ranged = Bucketizer(splits=cuts, inputCol="score", outputCol="range").transform(points)
-    downward = Window.partitionBy(*by).orderBy(F.desc("range"))
-    whole = Window.partitionBy(*by)
+    inner = points.approxQuantile("score", probes, 0.25 / ranges) if probes else []
+    cuts = [float("-inf"), *sorted(set(inner) or {0.0}), float("inf")]
+    # Keys that cannot be NULL: groups without a value stay in, and both sides of the join below
+    # have the same plan, so that Spark computes the points once for the two.
+    keyed = (
+        Bucketizer(splits=cuts, inputCol="score", outputCol="_bucket")
+        .transform(points)
+        .withColumn("_range", F.coalesce(F.col("_bucket").cast("int"), F.lit(-1)))
+        .withColumn("_group", F.struct(F.lit(0).alias("_all"), *by))
+    )
+    downward = Window.partitionBy("_group").orderBy(F.desc("_range"))
+    whole = Window.partitionBy("_group")
     totals = (
-        ranged.groupBy(*by, "range")
+        keyed.groupBy("_group", "_range")
         .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
         .select(
-            *by,
-            "range",
+            "_group",
+            "_range",
             (F.sum("_pos").over(downward) - F.col("_pos")).alias("pos_above"),
             (F.sum("_neg").over(downward) - F.col("_neg")).alias("neg_above"),
             F.sum("_pos").over(whole).alias("n_pos"),
             F.sum("_neg").over(whole).alias("n_neg"),
         )
     )
-    inside = Window.partitionBy(*by, "range").orderBy(F.desc("score"))
-    return ranged.join(totals, [*by, "range"]).select(
+    inside = Window.partitionBy("_group", "_range").orderBy(F.desc("score"))
+    return keyed.join(totals, ["_group", "_range"]).select(
         *by,
         "score",
         "pos",
@@ -103,8 +111,8 @@ def score_curve(
 def area_by_group(
     df: DataFrame, by: Sequence[str], score: str = "probability", label: str = "label"
 ) -> DataFrame:
-    """Exact area under the ROC curve of every group at once."""
-    curve = score_curve(df, positive_score(df, score), label, by)
+    """Exact area under the ROC curve of every group at once; reads ``df`` twice."""
+    curve = score_curve(score_points(df, positive_score(df, score), label, by), by)
     # Each negative ranks below the positives above it and level with half of its ties.
     wins = F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2)
     return curve.groupBy(*by).agg(
@@ -114,10 +122,13 @@ def area_by_group(
 
 def max_f1_threshold(df: DataFrame, label: str = "label") -> float:
     """The score that, used as the lowest positive score, gives the highest F1."""
-    curve = score_curve(df, positive_score(df), label)
-    f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("n_pos"))
-    best = curve.agg(F.max_by("score", F.struct(f1, F.col("score"))).alias("score")).first()
-    return best["score"]
+    points = score_points(df, positive_score(df), label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("n_pos"))
+        best = score_curve(points).agg(F.max_by("score", F.struct(f1, "score")).alias("score"))
+        return best.first()["score"]
+    finally:
+        points.unpersist()
 
 
 def log_loss_column(df: DataFrame, label: str = "label") -> Column:

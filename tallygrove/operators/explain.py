@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import ImputerModel, StringIndexerModel
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import class_score
@@ -37,23 +37,27 @@ LINEAR_MODELS = (LogisticRegressionModel, LinearSVCModel, NaiveBayesModel)
 EXACT_COLUMNS = 6
 
 
-def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Impurity importance by feature name, highest first; one row per vector slot."""
+def _importances(model: PipelineModel, df: DataFrame) -> list[tuple[str, float]]:
+    """(feature name, importance) per vector slot, highest first; reads the schema of ``df`` only."""
     scores = model.stages[-1].featureImportances
     slots = feature_slots(PipelineModel(stages=model.stages[:-1]).transform(df))
-    return df.sparkSession.createDataFrame(
-        [(name, float(scores[slot])) for slot, name in slots], "name STRING, score DOUBLE"
-    ).orderBy(F.desc("score"), "name")
+    named = [(name, float(scores[slot])) for slot, name in slots]
+    return sorted(named, key=lambda pair: (-pair[1], pair[0]))
+
+
+def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Impurity importance by feature name, highest first; one row per vector slot."""
+    return df.sparkSession.createDataFrame(_importances(model, df), "name STRING, score DOUBLE")
 
 
 def variable_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Importance as it is, relative to the highest, and as a share of the sum."""
-    whole = Window.partitionBy()  # one row per vector slot, so one partition is enough
-    return feature_importance(model, df).select(
-        F.col("name").alias("variable"),
-        F.col("score").alias("relative_importance"),
-        (F.col("score") / F.max("score").over(whole)).alias("scaled_importance"),
-        (F.col("score") / F.sum("score").over(whole)).alias("percentage"),
+    named = _importances(model, df)
+    highest = max((score for _, score in named), default=0.0) or 1.0
+    total = sum(score for _, score in named) or 1.0
+    return df.sparkSession.createDataFrame(
+        [(name, score, score / highest, score / total) for name, score in named],
+        "variable STRING, relative_importance DOUBLE, scaled_importance DOUBLE, percentage DOUBLE",
     )
 
 
@@ -102,8 +106,11 @@ def linear_contributions(
     return features.select(*spec.key, F.inline(F.array(*cells)))
 
 
-def reference_row(model: PipelineModel) -> dict[str, object]:
-    """The point that tree contributions start from: most frequent categories and mean numbers."""
+def reference_row(model: PipelineModel, df: DataFrame) -> dict[str, object]:
+    """The point that tree contributions start from: most frequent categories and mean numbers.
+
+    Means take the types of their columns in ``df``, as the imputer does.
+    """
     point: dict[str, object] = {}
     for stage in model.stages:
         if isinstance(stage, StringIndexerModel):
@@ -111,7 +118,9 @@ def reference_row(model: PipelineModel) -> dict[str, object]:
                 (c, labels[0]) for c, labels in zip(stage.getInputCols(), stage.labelsArray)
             )
         elif isinstance(stage, ImputerModel):
-            point.update(stage.surrogateDF.first().asDict())
+            means = stage.surrogateDF
+            typed = means.select(*(F.col(c).cast(df.schema[c].dataType) for c in means.columns))
+            point.update(typed.first().asDict())
     return point
 
 
@@ -138,7 +147,7 @@ def shapley_contributions(
     """
     columns = [*spec.categorical, *spec.numeric]
     n = len(columns)
-    point = reference_row(model)
+    point = reference_row(model, df)
     rows = df.select(*spec.key, *columns)
     if permutations is None:
         mixed = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))).alias("_mix"))

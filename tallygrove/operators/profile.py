@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql.types import NumericType, StringType
 # The shares Spark's own summary reports.
 QUARTILES = (0.25, 0.5, 0.75)
 
+# Rows that one task may walk through in order when a quantile is pinned down.
+NEAR_ROWS = 100_000
+
 
 def split_sizes(df: DataFrame, inside: Column) -> DataFrame:
     """Rows in all, in train and in validation, from one pass."""
@@ -87,74 +91,127 @@ def summary_table(
     """``describe_table`` of the numeric columns plus quantiles, one row per column.
 
     A quantile is the smallest value with at least that share of the non-null rows at or below it.
-    The approximate form takes it from one sketch. The exact form uses sketches only to bracket
-    each quantile, then counts the distinct values inside the brackets, about 4/accuracy of the
-    rows, so no task sees a whole column.
+    The approximate form takes it from one sketch per column. The exact form starts from the
+    sketches' error bounds and closes in on the value, see ``exact_quantiles``.
     """
     numeric = _numeric(df)
     base = describe_table(df.select(*numeric)).drop("min_text", "max_text")
     names = [f"p{round(share * 100)}" for share in shares]
-    if not exact:
-        sketch = df.agg(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        *(
-                            F.percentile_approx(F.col(c).cast("double"), share, accuracy).alias(name)
-                            for share, name in zip(shares, names)
-                        ),
-                    )
-                    for c in numeric
-                )
-            ).alias("cells")
-        ).select(F.inline("cells"))
-        return base.join(sketch, "column")
-    return base.join(_exact_quantiles(df, numeric, shares, names, accuracy), "column")
-
-
-def _exact_quantiles(
+    if exact:
+        return base.join(exact_quantiles(df, numeric, shares, names, accuracy), "column")
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *(
+                F.percentile_approx(F.col(c).cast("double"), share, accuracy).alias(name)
+                for share, name in zip(shares, names)
+            ),
+        )
+        for c in numeric
+    ]
+    sketched = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return base.join(sketched, "column")
+
+
+@dataclass
+class _Bracket:
+    """Values that a quantile must lie between, with the rows below and inside."""
+
+    column: str
+    share: int
+    rank: float
+    low: float
+    high: float
+    below: int = 0
+    inside: int = 0
+
+    def holds(self) -> Column:
+        return F.col(self.column).cast("double").between(self.low, self.high)
+
+    def settled(self) -> bool:
+        return self.low == self.high or self.inside <= NEAR_ROWS
+
+
+def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     shares: Sequence[float],
     names: Sequence[str],
-    accuracy: int,
+    accuracy: int = 10_000,
 ) -> DataFrame:
-    values = {c: F.col(c).cast("double") for c in columns}
+    """One row per column with the value at each share.
+
+    Each round narrows every bracket to about 4/accuracy of its rows, all of them in one pass, until
+    few rows are left; those are counted per distinct value and walked in order. A value that fills
+    a bracket ends the search however often it occurs.
+    """
     margin = 2.0 / accuracy
-    probes = [max(0.0, s - margin) for s in shares] + [min(1.0, s + margin) for s in shares]
-    bounds = df.agg(
-        *(F.percentile_approx(values[c], probes, accuracy).alias(c) for c in columns),
+
+    def around(share: float) -> list[float]:
+        return [max(0.0, share - margin), min(1.0, share + margin)]
+
+    def count(brackets: Sequence[_Bracket]) -> None:
+        if not brackets:
+            return
+        counted = df.agg(
+            *(F.count_if(F.col(b.column) < b.low).alias(f"b{i}") for i, b in enumerate(brackets)),
+            *(F.count_if(b.holds()).alias(f"i{i}") for i, b in enumerate(brackets)),
+        ).first()
+        for i, b in enumerate(brackets):
+            b.below, b.inside = counted[f"b{i}"], counted[f"i{i}"]
+
+    probes = [probe for share in shares for probe in around(share)]
+    first = df.agg(
+        *(F.percentile_approx(F.col(c).cast("double"), probes, accuracy).alias(c) for c in columns),
         *(F.count(c).alias(f"n {c}") for c in columns),
     ).first()
-    brackets = {
-        (c, i): (bounds[c][i], bounds[c][i + len(shares)])
+    brackets = [
+        _Bracket(c, i, first[f"n {c}"] * share, first[c][2 * i], first[c][2 * i + 1])
         for c in columns
-        if bounds[c]
-        for i in range(len(shares))
-    }
-    # Rows below each bracket, counted in the same pass that the brackets were opened for.
-    below = df.agg(
-        F.lit(0).alias("_"),
-        *(F.count_if(values[c] < lo).alias(f"{i} {c}") for (c, i), (lo, _) in brackets.items()),
-    ).first()
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(i).alias("share"),
-                F.when(values[c].between(lo, hi), values[c]).alias("value"),
-                F.lit(below[f"{i} {c}"]).alias("below"),
-                F.lit(bounds[f"n {c}"] * shares[i]).alias("rank"),
+        if first[c]
+        for i, share in enumerate(shares)
+    ]
+    count(brackets)
+    while wide := [b for b in brackets if not b.settled()]:
+        sizes = [b.inside for b in wide]
+        narrowed = df.agg(
+            *(
+                F.percentile_approx(
+                    F.when(b.holds(), F.col(b.column).cast("double")),
+                    around((b.rank - b.below) / b.inside),
+                    accuracy,
+                ).alias(f"r{i}")
+                for i, b in enumerate(wide)
             )
-            for (c, i), (lo, hi) in brackets.items()
+        ).first()
+        for i, b in enumerate(wide):
+            b.low, b.high = narrowed[f"r{i}"]
+        count(wide)
+        if [b.inside for b in wide] == sizes:
+            break
+    return _values_at(df, brackets, names)
+
+
+def _values_at(
+    df: DataFrame, brackets: Sequence[_Bracket], names: Sequence[str]
+) -> DataFrame:
+    cells = [
+        F.when(
+            b.holds(),
+            F.struct(
+                F.lit(b.column).alias("column"),
+                F.lit(b.share).alias("share"),
+                F.col(b.column).cast("double").alias("value"),
+                F.lit(b.below).cast("bigint").alias("below"),
+                F.lit(b.rank).alias("rank"),
+            ),
         )
-    ) if brackets else F.array().cast(
-        "array<struct<column:string,share:int,value:double,below:bigint,rank:double>>"
-    )
+        for b in brackets
+    ]
+    shape = "array<struct<column:string,share:int,value:double,below:bigint,rank:double>>"
     in_order = Window.partitionBy("column", "share").orderBy("value")
     found = (
-        df.select(F.inline(F.filter(cells, lambda cell: cell["value"].isNotNull())))
+        df.select(F.inline(F.array_compact(F.array(*cells).cast(shape))))
         .groupBy("column", "share", "value", "below", "rank")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.col("below") + F.sum("n").over(in_order))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -114,6 +114,12 @@ def search_candidates(
     return ordered[:max_models]
 
 
+def _at_once(session: SparkSession, parallelism: int, work: Callable, items: Iterable) -> list:
+    """Run Spark jobs from several driver threads, which keep the session's job group and tags."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(session)(work), items))
+
+
 def _trial(
     number: int,
     candidate: Candidate,
@@ -132,10 +138,7 @@ def _trial(
         scored = model.transform(data.filter(F.col(FOLD) == fold))
         return model, area_under_roc(scored, score_column(candidate.algorithm), spec.label)
 
-    # Local properties of the session, such as its job group, follow into the threads.
-    with ThreadPoolExecutor(parallelism) as pool:
-        session = data.sparkSession
-        done = list(pool.map(inheritable_thread_target(session)(one_fold), range(len(features))))
+    done = _at_once(data.sparkSession, parallelism, one_fold, range(len(features)))
     return Trial(
         number,
         candidate,
@@ -169,7 +172,8 @@ def search(
     with held(folded, spec, FOLD, balance=balance) as data:
         check_inputs(data, spec, any(c.algorithm == "naive_bayes" for c in candidates))
         stages = feature_pipeline(spec)
-        features = [stages.fit(data.filter(F.col(FOLD) != fold)) for fold in range(folds)]
+        rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
+        *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
         trials: list[Trial] = []
         skipped: list[Candidate] = []
         for number, candidate in enumerate(candidates):
@@ -179,7 +183,6 @@ def search(
                 continue
             trials.append(_trial(number, candidate, data, features, spec, seed, parallelism))
         best = min(trials, key=lambda trial: (-trial.mean, trial.number)).candidate
-        everything = stages.fit(data)
         winner = make_estimator(best.algorithm, best.params, seed, spec.label)
         leader = with_estimator(everything, winner.fit(everything.transform(data)))
     return SearchResult(df.sparkSession, trials, skipped, leader)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,51 +93,63 @@ def stratified_split(
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``floor(frac * n)`` rows of each class in hash order, and the others.
 
-    Ranking a class would sort it in one task. Instead the cut is found digit by digit: count the
-    rows per class and hash prefix (at most 65,536 prefixes a class), walk to the prefix that holds
-    the cut, and look closer only inside it. The split itself is then a plain filter.
+    Ranking a class would sort it in one task. Instead the cut is found by hash prefix: count the
+    rows per class and prefix (at most 65,536 prefixes a class), walk to the prefix that holds the
+    cut, and look closer only at the rows inside it. The split itself is then a plain filter.
     """
-    hashed = df.select(
-        F.col(label).alias("_class"), _digest(df, key, seed).alias("_hash")
-    ).filter(F.col("_class").isNotNull())
-    sizes = {
-        row["_class"]: row["n"]
-        for row in hashed.groupBy("_class").agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1)
-        .collect()
-    }
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"column {label} has more than {MAX_CLASSES} classes")
-    wanted = {value: int(frac * n) for value, n in sizes.items()}
-    cuts = _hash_cuts(hashed, wanted)
     digest = _digest(df, key, seed)
+    cuts = _hash_cuts(df.select(F.col(label).alias("_class"), digest.alias("_hash")), frac)
     inside = by_class(
         label, {value: digest <= F.lit(cut) for value, cut in cuts.items()}, F.lit(False)
     )
     return df.filter(inside), df.filter(~inside)
 
 
-def _hash_cuts(hashed: DataFrame, wanted: Mapping[object, int]) -> dict[object, str]:
-    """The largest hash to take from each class so that ``wanted`` rows are taken."""
-    prefix: dict[object, str] = {value: "" for value, n in wanted.items() if n > 0}
-    left = {value: wanted[value] for value in prefix}
-    by_prefix = Window.partitionBy("_class").orderBy("_prefix")
-    for digits in (4, 8, 32):
-        if not prefix:
-            break
-        within = by_class(
+def _hash_cuts(hashed: DataFrame, frac: float) -> dict[object, str]:
+    """The largest hash to take from each class so that its share of rows is taken."""
+    counts = _by_prefix(hashed.filter(F.col("_class").isNotNull()), 4)
+    whole = Window.partitionBy("_class")
+    need = F.floor(F.lit(frac) * F.sum("_n").over(whole))
+    cuts = _cut_rows(counts.withColumn("_need", need))
+    if not cuts:
+        return {}
+    near = hashed.filter(
+        by_class(
             "_class",
-            {v: F.col("_hash").startswith(F.lit(p)) for v, p in prefix.items()},
+            {value: F.substring("_hash", 1, 4) == F.lit(cut[0]) for value, cut in cuts.items()},
             F.lit(False),
         )
-        need = by_class("_class", {v: F.lit(n) for v, n in left.items()}, F.lit(0))
-        counted = (
-            hashed.filter(within)
-            .groupBy("_class", F.substring("_hash", 1, digits).alias("_prefix"))
-            .agg(F.count("*").alias("_n"))
-            .withColumn("_upto", F.sum("_n").over(by_prefix))
-            .filter((F.col("_upto") >= need) & (F.col("_upto") - F.col("_n") < need))
-        )
-        for row in counted.collect():
-            prefix[row["_class"]] = row["_prefix"]
-            left[row["_class"]] -= row["_upto"] - row["_n"]
-    return prefix
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for digits in (8, 32):
+            within = {v: F.col("_hash").startswith(F.lit(p)) for v, (p, _) in cuts.items()}
+            left = {v: F.lit(n) for v, (_, n) in cuts.items()}
+            counts = _by_prefix(near.filter(by_class("_class", within, F.lit(False))), digits)
+            cuts = _cut_rows(counts.withColumn("_need", by_class("_class", left, F.lit(0))))
+    finally:
+        near.unpersist()
+    return {value: prefix for value, (prefix, _) in cuts.items()}
+
+
+def _by_prefix(hashed: DataFrame, digits: int) -> DataFrame:
+    """Rows per class and hash prefix, with the running total of the class."""
+    in_order = Window.partitionBy("_class").orderBy("_prefix")
+    return (
+        hashed.groupBy("_class", F.substring("_hash", 1, digits).alias("_prefix"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(in_order))
+    )
+
+
+def _cut_rows(counts: DataFrame) -> dict[object, tuple[str, int]]:
+    """Per class, the prefix that holds row number ``_need``, and how many of its rows to take."""
+    before = F.col("_upto") - F.col("_n")
+    found = (
+        counts.filter((before < F.col("_need")) & (F.col("_need") <= F.col("_upto")))
+        .select("_class", "_prefix", (F.col("_need") - before).alias("_take"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"the label has more than {MAX_CLASSES} classes")
+    return {row["_class"]: (row["_prefix"], row["_take"]) for row in found}
