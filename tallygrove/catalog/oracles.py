@@ -110,15 +110,16 @@ NB_FOLDS = naive_bayes(
 )
 # One model per candidate and fold; g = 10 * candidate + fold.
 CANDIDATES = "(VALUES (0, 0.5), (1, 1.0), (2, 4.0)) c(candidate, lam)"
+# The search's list: the default smoothing, and the two variants of it in either order.
+SEARCHED = "(VALUES (0, 1.0), (1, 0.5), (2, 2.0)) c(candidate, lam)"
 
 
-def candidate_folds(whole_lines: bool = True) -> str:
+def candidate_folds(candidates: str = CANDIDATES) -> str:
     return naive_bayes(
         f"SELECT 10 * candidate + k AS g, folded.* EXCLUDE (fold) "
-        f"FROM folded, range(5) r(k), {CANDIDATES} WHERE fold <> k",
-        f"SELECT 10 * candidate + fold AS g, folded.* EXCLUDE (fold) FROM folded, {CANDIDATES}",
-        f"SELECT 10 * candidate + k AS g, lam::DOUBLE AS lam FROM range(5) r(k), {CANDIDATES}",
-        whole_lines,
+        f"FROM folded, range(5) r(k), {candidates} WHERE fold <> k",
+        f"SELECT 10 * candidate + fold AS g, folded.* EXCLUDE (fold) FROM folded, {candidates}",
+        f"SELECT 10 * candidate + k AS g, lam::DOUBLE AS lam FROM range(5) r(k), {candidates}",
     )
 
 
@@ -502,6 +503,16 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, round(rate, 5) AS p1 FROM band_rows JOIN band_rates USING (qty_band)",
         BANDED,
     ),
+    "auto_search_naive_bayes": with_profile(
+        f"""
+        SELECT CAST(row_number() OVER (ORDER BY avg(auc) DESC) AS INTEGER) AS rank,
+               'naive_bayes' AS algorithm,
+               CASE WHEN lam = 1 THEN '' ELSE 'smoothing=' || lam END AS params,
+               round(avg(auc), 6) AS auc
+        FROM aucs JOIN {SEARCHED} ON candidate = g // 10 GROUP BY lam""",
+        candidate_folds(SEARCHED),
+        auc("nb", "g"),
+    ),
     "cross_validate": with_profile(
         "SELECT 0 AS candidate, CAST(g AS INTEGER) AS fold, 'areaUnderROC' AS metric, "
         "round(auc, 6) AS value FROM aucs",
@@ -699,6 +710,21 @@ long AS (
         "aucs AS (SELECT * FROM judged WHERE g < 100)",
         CANDIDATE_TABLE,
     ),
+    "automl_job_naive_bayes": with_profile(
+        f"SELECT part, {PERFORMANCE} FROM judged GROUP BY part",
+        """
+all_folds AS (
+  SELECT * EXCLUDE (h), CAST(CAST('0x' || substr(h, 9, 8) AS BIGINT) % 5 AS INTEGER) AS fold
+  FROM hashed)""",
+        naive_bayes(
+            "SELECT k AS g, all_folds.* EXCLUDE (fold) FROM all_folds, range(6) r(k) "
+            "WHERE fold <> k",
+            "SELECT fold AS g, all_folds.* EXCLUDE (fold) FROM all_folds "
+            "UNION ALL SELECT 5, * FROM prepared",
+            whole_lines=False,
+        ),
+        "judged AS (SELECT *, CASE WHEN g < 5 THEN 'cv' ELSE 'train' END AS part FROM nb)",
+    ),
     "predict_job": with_profile(NB_ROWS, NB_ALL),
     "train_and_score": with_profile(NB_ROWS, NB_TEXT_ALL),
 }

@@ -436,6 +436,16 @@ def auto_search(spark: SparkSession, sf: str) -> DataFrame:
     return selection.leaderboard(found)
 
 
+@query
+def auto_search_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    found = selection.auto_search(
+        _parts(spark, sf)[0], ORDER_SPEC, max_models=3, max_runtime_secs=None,
+        algorithms=("naive_bayes",),
+    )
+    table = selection.leaderboard(found)
+    return table.select("rank", "algorithm", "params", _r("auc").alias("auc"))
+
+
 # --- model selection ---------------------------------------------------------------------------
 
 
@@ -749,6 +759,13 @@ def automl_job(spark: SparkSession, sf: str) -> DataFrame:
     return report.performance
 
 
+@query
+def automl_job_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    spec = JobSpec(TEXT_SPEC, max_models=1, max_runtime_secs=None, algorithms=("naive_bayes",))
+    report = jobs.automl_job(spark, spec, _profile_text(spark, sf), scratch_path(spark, "model"))
+    return _rounded_performance(report.performance)
+
+
 @query
 def predict_job(spark: SparkSession, sf: str) -> DataFrame:
     spec = JobSpec(TEXT_SPEC, "naive_bayes")

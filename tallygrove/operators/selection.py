@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -48,13 +48,12 @@ class Candidate:
 
 @dataclass
 class Trial:
-    """A candidate's pipelines and metric, fold by fold."""
+    """A candidate's metric fold by fold. Only the best trial keeps its pipelines."""
 
     number: int
     candidate: Candidate
     models: list[PipelineModel]
     metrics: list[float]
-    seconds: float
 
     @property
     def mean(self) -> float:
@@ -75,7 +74,7 @@ class SearchResult:
     leader: PipelineModel
 
     def ranked(self) -> list[Trial]:
-        return sorted(self.trials, key=lambda trial: (-trial.mean, trial.number))
+        return sorted(self.trials, key=_order)
 
     @property
     def best(self) -> Trial:
@@ -106,7 +105,15 @@ def search_candidates(
     draw = random.Random(seed)
     queues = []
     for algorithm in algorithms:
-        variants = grid_candidates(algorithm, grids[algorithm])
+        default = make_estimator(algorithm)
+        variants = [
+            candidate
+            for candidate in grid_candidates(algorithm, grids[algorithm])
+            if any(
+                default.getOrDefault(default.getParam(name)) != value
+                for name, value in candidate.params.items()
+            )
+        ]
         draw.shuffle(variants)
         queues.append([Candidate(algorithm), *variants])
     turns = max(len(queue) for queue in queues)
@@ -114,38 +121,46 @@ def search_candidates(
     return ordered[:max_models]
 
 
-def _at_once(session: SparkSession, parallelism: int, work: Callable, items: Iterable) -> list:
-    """Run Spark jobs from several driver threads, which keep the session's job group and tags."""
+def _at_once(
+    session: SparkSession, parallelism: int, work: Callable, items: Iterable
+) -> Iterator:
+    """Run Spark jobs from several driver threads, which keep the session's job group and tags.
+
+    Results come in the order of the items, each as soon as it and those before it are done.
+    """
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(session)(work), items))
+        yield from pool.map(inheritable_thread_target(session)(work), items)
 
 
-def _trial(
-    number: int,
-    candidate: Candidate,
+def _trials(
     data: DataFrame,
-    features: Sequence[PipelineModel],
     spec: TableSpec,
+    candidates: Sequence[Candidate],
+    features: Sequence[PipelineModel],
     seed: int,
     parallelism: int,
-) -> Trial:
-    started = time.monotonic()
+    first: int = 0,
+) -> Iterator[Trial]:
+    """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
 
-    def one_fold(fold: int) -> tuple[PipelineModel, float]:
+    def one_fold(pair: tuple[Candidate, int]) -> tuple[PipelineModel, float]:
+        candidate, fold = pair
         estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label)
         rest = features[fold].transform(data.filter(F.col(FOLD) != fold))
         model = with_estimator(features[fold], estimator.fit(rest))
         scored = model.transform(data.filter(F.col(FOLD) == fold))
         return model, area_under_roc(scored, score_column(candidate.algorithm), spec.label)
 
-    done = _at_once(data.sparkSession, parallelism, one_fold, range(len(features)))
-    return Trial(
-        number,
-        candidate,
-        [model for model, _ in done],
-        [metric for _, metric in done],
-        time.monotonic() - started,
-    )
+    pairs = list(product(candidates, range(len(features))))
+    results = _at_once(data.sparkSession, parallelism, one_fold, pairs)
+    for number, candidate in enumerate(candidates, start=first):
+        done = [next(results) for _ in features]
+        yield Trial(number, candidate, [m for m, _ in done], [metric for _, metric in done])
+    results.close()
+
+
+def _order(trial: Trial) -> tuple[float, int]:
+    return (-trial.mean, trial.number)
 
 
 def search(
@@ -154,14 +169,15 @@ def search(
     candidates: Sequence[Candidate],
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     max_runtime_secs: float | None = None,
     balance: bool | None = None,
 ) -> SearchResult:
-    """Cross-validate the candidates in order and fit the best one on all rows.
+    """Cross-validate the candidates and fit the best one on all rows.
 
-    The clock is looked at between candidates: at least one finishes, and those left out are
-    reported. Without ``max_runtime_secs`` the result does not depend on speed.
+    With ``max_runtime_secs`` they are tried one after the other and the clock is looked at between
+    them: at least one finishes, and those left out are reported. Without it, the result does not
+    depend on speed.
     """
     if not candidates:
         raise ValueError("no candidates to search")
@@ -169,20 +185,32 @@ def search(
     if balance is None:
         balance = any(c.algorithm in TREES for c in candidates)
     folded = assign_fold(df, spec.key, folds, seed, FOLD)
+    trials: list[Trial] = []
+    skipped: list[Candidate] = []
+
+    def note(trial: Trial) -> None:
+        trials.append(trial)
+        winner = min(trials, key=_order)
+        for other in trials:
+            if other is not winner:
+                other.models = []
+
     with held(folded, spec, FOLD, balance=balance) as data:
         check_inputs(data, spec, any(c.algorithm == "naive_bayes" for c in candidates))
         stages = feature_pipeline(spec)
         rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
         *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
-        trials: list[Trial] = []
-        skipped: list[Candidate] = []
-        for number, candidate in enumerate(candidates):
-            spent = time.monotonic() - started
-            if trials and max_runtime_secs is not None and spent >= max_runtime_secs:
-                skipped.append(candidate)
-                continue
-            trials.append(_trial(number, candidate, data, features, spec, seed, parallelism))
-        best = min(trials, key=lambda trial: (-trial.mean, trial.number)).candidate
+        if max_runtime_secs is None:
+            for trial in _trials(data, spec, candidates, features, seed, parallelism):
+                note(trial)
+        else:
+            for number, candidate in enumerate(candidates):
+                if trials and time.monotonic() - started >= max_runtime_secs:
+                    skipped.append(candidate)
+                    continue
+                for trial in _trials(data, spec, [candidate], features, seed, parallelism, number):
+                    note(trial)
+        best = min(trials, key=_order).candidate
         winner = make_estimator(best.algorithm, best.params, seed, spec.label)
         leader = with_estimator(everything, winner.fit(everything.transform(data)))
     return SearchResult(df.sparkSession, trials, skipped, leader)
@@ -195,7 +223,7 @@ def cross_validate(
     grid: Mapping[str, Sequence] | None = None,
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> SearchResult:
     """Search over one algorithm's parameter grid."""
     return search(df, spec, grid_candidates(algorithm, grid or {}), folds, seed, parallelism)
@@ -209,7 +237,7 @@ def auto_search(
     folds: int = 5,
     seed: int = 42,
     algorithms: Sequence[str] = ("gbt",),
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> SearchResult:
     """Budgeted search over several algorithms."""
     candidates = search_candidates(max_models, algorithms, seed)

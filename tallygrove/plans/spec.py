@@ -78,7 +78,7 @@ class JobSpec:
     params: Mapping[str, object] = field(default_factory=dict)
     grid: Mapping[str, tuple] = field(default_factory=dict)
     folds: int = 5
-    parallelism: int = 4
+    parallelism: int = 8
     max_models: int = 5
     max_runtime_secs: float | None = 180.0
     algorithms: tuple[str, ...] = ("gbt",)

@@ -8,7 +8,7 @@ from check_oracles import compare, connect
 SMALL = "/root/testdata/sf0.001"
 # Queries that train many models; compared with --all-queries.
 SLOW = {
-    "auto_search", "automl_job", "best_params", "compare", "cross_validate", "cv_metrics_summary",
+    "auto_search", "auto_search_naive_bayes", "automl_job", "automl_job_naive_bayes", "best_params", "compare", "cross_validate", "cv_metrics_summary",
     "cv_summary", "gbt", "leader_params", "leader_round_trip", "leaderboard", "linear_svm",
     "oof_predictions", "param_grid", "performance_bundle", "random_forest", "svm_area_under_roc",
     "tune_job", "tune_job_naive_bayes", "forest_importance", "sampled_contributions",
