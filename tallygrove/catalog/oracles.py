@@ -238,6 +238,36 @@ FROM (SELECT o_orderkey, CASE WHEN t.value <= threshold THEN left_rate ELSE righ
     )
 
 
+# The second boosting round: the split that best explains the first round's pseudo-residuals.
+SECOND_ROUND = """
+first_round AS (
+  SELECT o_orderkey, label,
+         2 * CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - 1 AS margin
+  FROM tree_fit t JOIN root USING (feature)),
+residuals AS (
+  SELECT o_orderkey, 4 * (2 * label - 1) / (1 + exp(2 * (2 * label - 1) * margin)) AS r
+  FROM first_round),
+second_values AS (
+  SELECT feature, value, count(*) AS n, sum(r) AS s
+  FROM tree_fit JOIN residuals USING (o_orderkey) GROUP BY feature, value),
+second_cuts AS (
+  SELECT feature, value, lead(value) OVER w AS nxt, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+         sum(n) OVER f AS nt, sum(s) OVER f AS st
+  FROM second_values
+  WINDOW w AS (PARTITION BY feature ORDER BY value), f AS (PARTITION BY feature)),
+second_split AS (
+  SELECT feature, (value + nxt) / 2 AS cut, sl / nl AS left_mean, (st - sl) / (nt - nl) AS right_mean
+  FROM second_cuts WHERE nxt IS NOT NULL
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, feature LIMIT 1),
+margins AS (
+  SELECT a.o_orderkey,
+         2 * CASE WHEN a.value <= threshold THEN left_rate ELSE right_rate END - 1
+         + 0.1 * CASE WHEN b.value <= cut THEN left_mean ELSE right_mean END AS margin
+  FROM root JOIN tree_rows a ON a.feature = root.feature
+  JOIN tree_rows b ON b.o_orderkey = a.o_orderkey 
+  JOIN second_split q ON b.feature = q.feature)
+"""
+
 _NAMES = "SELECT feature AS name FROM slots UNION ALL SELECT 'n_lines_IMPUTED'"
 IMPORTANCE = (
     *TREE,
@@ -428,6 +458,16 @@ ORACLES: dict[str, str] = {
         'SELECT label, count(*) AS "count" FROM inside GROUP BY label'
     ),
     "frequency_table": 'SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type',
+    "schema_table": with_profile(
+        """
+        SELECT CAST(unnest([0, 1, 2, 3, 4, 5, 6]) AS INTEGER) AS position,
+               unnest(['o_orderkey', 'o_orderstatus', 'o_orderpriority', 'c_mktsegment',
+                       'n_lines', 'sum_qty', 'label']) AS "column",
+               unnest(['bigint', 'string', 'string', 'string', 'int', 'double', 'int']) AS type,
+               unnest([count(o_orderkey), count(o_orderstatus), count(o_orderpriority),
+                       count(c_mktsegment), count(n_lines), count(sum_qty), count(label)]) AS filled
+        FROM prepared"""
+    ),
     "preview": with_profile("SELECT * FROM prepared ORDER BY o_orderkey LIMIT 10"),
     "describe_table": with_profile(
         "\nUNION ALL ".join(
@@ -498,6 +538,19 @@ ORACLES: dict[str, str] = {
     "decision_tree_stump": stump("leaf"),
     "random_forest_stump": stump("leaf"),
     "gbt_stump": stump("1 / (1 + exp(-2 * (2 * leaf - 1)))"),
+    "gbt_two_rounds": with_profile(
+        "SELECT o_orderkey, round(1 / (1 + exp(-2 * margin)), 6) AS p1, "
+        "CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction FROM margins",
+        *TREE,
+        SECOND_ROUND,
+    ),
+    "logistic_regression_totals": with_profile(
+        "\nUNION ALL ".join(
+            f"SELECT {c} AS category, count(*) AS n, round(avg(label), 4) AS positive_rate "
+            f"FROM inside GROUP BY {c}"
+            for c in CATEGORIES
+        )
+    ),
     "naive_bayes": with_profile(NB_ROWS, NB),
     "logistic_regression_groups": with_profile(
         "SELECT o_orderkey, round(rate, 5) AS p1 FROM band_rows JOIN band_rates USING (qty_band)",

@@ -302,6 +302,17 @@ def frequency_table(spark: SparkSession, sf: str) -> DataFrame:
     return profile.frequency_table(load(spark, sf, "events"), "event_type")
 
 
+@query
+def schema_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of the prepared table, each with its filled rows."""
+    df = _prepared(spark, sf)
+    filled = df.agg(*(F.count(c).alias(c) for c in df.columns))
+    counts = filled.unpivot([], filled.columns, "column", "filled")
+    return profile.schema_table(df).join(counts, "column").select(
+        "position", "column", "type", "filled"
+    )
+
+
 @query
 def preview(spark: SparkSession, sf: str) -> DataFrame:
     return profile.preview(_prepared(spark, sf), 10, KEY)
@@ -410,6 +421,28 @@ def naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
     return _probabilities(_nb_scored(spark, sf))
 
 
+@query
+def gbt_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """A second one-split tree fitted to what the first one leaves over."""
+    inside, outside = _parts(spark, sf)
+    model = train(inside, TREE_SPEC, "gbt", {"maxDepth": 1, "maxIter": 2}, SEED)
+    return _probabilities(model.transform(outside))
+
+
+@query
+def logistic_regression_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """At the optimum, predicted and actual positives agree within every category."""
+    inside, _ = _parts(spark, sf)
+    model = train(inside, ORDER_SPEC, "logistic_regression", {"tol": 1e-10}, SEED)
+    long = model.transform(inside).select(
+        F.explode(F.array(*ORDER_SPEC.categorical)).alias("category"),
+        class_score("probability").alias("p"),
+    )
+    return long.groupBy("category").agg(
+        F.count("*").alias("n"), _r(F.avg("p"), 4).alias("positive_rate")
+    )
+
+
 def _banded(spark: SparkSession, sf: str) -> DataFrame:
     """The prepared table with its quantities in five bands, as a category."""
     band = F.least(F.floor(F.coalesce(F.col("sum_qty"), F.lit(0.0)) / 40), F.lit(4))

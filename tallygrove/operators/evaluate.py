@@ -111,13 +111,15 @@ def score_curve(
 def area_by_group(
     df: DataFrame, by: Sequence[str], score: str = "probability", label: str = "label"
 ) -> DataFrame:
-    """Exact area under the ROC curve of every group at once; reads ``df`` twice."""
+    """Exact area under the ROC curve of every group at once; reads ``df`` twice.
+
+    NULL for a group with one class only.
+    """
     curve = score_curve(score_points(df, positive_score(df, score), label, by), by)
     # Each negative ranks below the positives above it and level with half of its ties.
     wins = F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2)
-    return curve.groupBy(*by).agg(
-        (F.sum(wins) / F.first("n_pos") / F.first("n_neg")).alias("auc")
-    )
+    pairs = F.first("n_pos").cast("double") * F.first("n_neg")
+    return curve.groupBy(*by).agg(F.try_divide(F.sum(wins), pairs).alias("auc"))
 
 
 def max_f1_threshold(df: DataFrame, label: str = "label") -> float:
@@ -205,7 +207,7 @@ def performance(
     right = cells["tp"] + cells["tn"]
     metrics = {
         "n": F.count("*"),
-        "accuracy": right / F.count("*"),
+        "accuracy": F.try_divide(right, F.count("*")),
         "mean_per_class_error": _class_error(**cells),
         **losses,
         **cells,

@@ -124,11 +124,15 @@ def test_ties_and_one_class_only(spark):
     def table(rows):
         df = spark.createDataFrame(rows, "g STRING, p DOUBLE, label INT")
         vector = array_to_vector(F.array(1 - F.col("p"), F.col("p")))
-        return df.select("g", "label", vector.alias("probability"))
+        called = (F.col("p") > 0.5).cast("double")
+        return df.select("g", "label", vector.alias("probability"), called.alias("prediction"))
 
-    ties = table([("a", 0.5, 0), ("a", 0.5, 1), ("a", 0.9, 1), ("b", 0.5, 1), ("b", 0.5, 0)])
+    ties = table([("a", 0.5, 0), ("a", 0.5, 1), ("a", 0.9, 1), ("b", 0.5, 1), ("b", 0.5, 0),
+                  ("c", 0.1, 0), (None, 0.2, 0), (None, 0.4, 1)])
     got = {r["g"]: r["auc"] for r in evaluate.area_by_group(ties, ["g"]).collect()}
-    assert got == {"a": 0.75, "b": 0.5}
+    assert got == {"a": 0.75, "b": 0.5, "c": None, None: 1.0}
+    nothing = evaluate.performance(ties.limit(0)).first()
+    assert (nothing["n"], nothing["accuracy"], nothing["log_loss"]) == (0, None, None)
 
 
 def test_metric_name():
