@@ -172,9 +172,13 @@ def search(
     parallelism: int = 8,
     max_runtime_secs: float | None = None,
     balance: bool | None = None,
+    report: Callable[[DataFrame, SearchResult], None] | None = None,
 ) -> SearchResult:
     """Cross-validate the candidates and fit the best one on all rows.
 
+    ``report`` is called with the cached rows, which carry their fold, and the result, so that
+    tables about the search can be computed before the cache is released.
+
     With ``max_runtime_secs`` they are tried one after the other and the clock is looked at between
     them: at least one finishes, and those left out are reported. Without it, the result does not
     depend on speed.
@@ -213,7 +217,10 @@ def search(
         best = min(trials, key=_order).candidate
         winner = make_estimator(best.algorithm, best.params, seed, spec.label)
         leader = with_estimator(everything, winner.fit(everything.transform(data)))
-    return SearchResult(df.sparkSession, trials, skipped, leader)
+        result = SearchResult(df.sparkSession, trials, skipped, leader)
+        if report is not None:
+            report(data, result)
+    return result
 
 
 def cross_validate(
@@ -238,10 +245,13 @@ def auto_search(
     seed: int = 42,
     algorithms: Sequence[str] = ("gbt",),
     parallelism: int = 8,
+    report: Callable[[DataFrame, SearchResult], None] | None = None,
 ) -> SearchResult:
     """Budgeted search over several algorithms."""
     candidates = search_candidates(max_models, algorithms, seed)
-    return search(df, spec, candidates, folds, seed, parallelism, max_runtime_secs)
+    return search(
+        df, spec, candidates, folds, seed, parallelism, max_runtime_secs, report=report
+    )
 
 
 def actual_params(model: PipelineModel) -> dict[str, str]:
@@ -301,18 +311,22 @@ def leader(result: SearchResult) -> PipelineModel:
     return result.leader
 
 
+def held_out_predictions(folded: DataFrame, models: Sequence[PipelineModel]) -> DataFrame:
+    """Each row scored by the model of its fold, which did not see it; one read per fold."""
+    parts = [
+        model.transform(folded.filter(F.col(FOLD) == fold)) for fold, model in enumerate(models)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def oof_predictions(
     df: DataFrame,
     spec: TableSpec,
     models: Sequence[PipelineModel],
     seed: int = 42,
 ) -> DataFrame:
-    """Each row scored by the model that did not see it; ``models`` holds one per fold."""
-    folded = assign_fold(df, spec.key, len(models), seed, FOLD)
-    parts = [
-        model.transform(folded.filter(F.col(FOLD) == fold)) for fold, model in enumerate(models)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """``held_out_predictions`` of a table without fold column; ``models`` holds one per fold."""
+    return held_out_predictions(assign_fold(df, spec.key, len(models), seed, FOLD), models)
 
 
 def compare(

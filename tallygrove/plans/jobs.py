@@ -13,12 +13,13 @@ from tallygrove.operators.classifiers import score_column, train
 from tallygrove.operators.evaluate import area_under_roc, cv_metrics_summary, performance_bundle
 from tallygrove.operators.explain import feature_importance
 from tallygrove.operators.prepare import prepare
+from tallygrove.operators.profile import label_distribution
 from tallygrove.operators.scoring import score_table
 from tallygrove.operators.selection import (
     SearchResult,
     auto_search,
     cross_validate,
-    oof_predictions,
+    held_out_predictions,
 )
 from tallygrove.operators.splits import hash_split, in_train
 from tallygrove.plans.spec import JobSpec, TableSpec
@@ -30,7 +31,7 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class JobReport:
-    """What a training job found. Tables are lazy; ``auc`` is on the held-out rows."""
+    """What a training job found. Tables may be lazy; ``auc`` is on the held-out rows."""
 
     model: PipelineModel
     model_path: str
@@ -105,30 +106,44 @@ def tune_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str)
     )
 
 
+def _now(table: DataFrame) -> DataFrame:
+    """A report of a few rows, computed at once while its input is cached."""
+    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+
+
 def automl_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str) -> JobReport:
     """Search on all rows, judged by cross-validation alone; the leader goes under a fixed name."""
     df = _prepared(spark, spec, in_path)
+    label = spec.table.label
+    tables: dict[str, DataFrame] = {}
+
+    def report(rows: DataFrame, found: SearchResult) -> None:
+        held_out = held_out_predictions(rows, found.best.models)
+        parts = {"train": found.leader.transform(rows), "cv": held_out}
+        tables["counts"] = _now(label_distribution(rows, label))
+        tables["performance"] = _now(performance_bundle(parts, label))
+        if "probability" in held_out.columns:
+            tables["fold_metrics"] = _now(cv_metrics_summary(held_out, label))
+
     found = auto_search(
         df, spec.table, spec.max_models, spec.max_runtime_secs, spec.folds, spec.seed,
-        spec.algorithms, spec.parallelism,
+        spec.algorithms, spec.parallelism, report,
     )
     target = save_leader(found.leader, model_path, spec.leader_name)
     stored = load_model(target)
-    label = spec.table.label
-    held_out = oof_predictions(df, spec.table, found.best.models, spec.seed)
-    counts = df.groupBy(label).agg(F.count("*").alias("count"))
     log.info("leader %s saved to %s", found.best.candidate, target)
     for left_out in found.skipped:
         log.warning("no time left for %s", left_out)
+    trees = hasattr(stored.stages[-1], "featureImportances")
     return JobReport(
         stored,
         target,
-        counts,
+        tables["counts"],
         None,
-        feature_importance(stored, df) if hasattr(stored.stages[-1], "featureImportances") else None,
+        feature_importance(stored, df) if trees else None,
         found,
-        performance_bundle({"train": stored.transform(df), "cv": held_out}, label),
-        cv_metrics_summary(held_out, label) if "probability" in held_out.columns else None,
+        tables["performance"],
+        tables.get("fold_metrics"),
     )
 
 
