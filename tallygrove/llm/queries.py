@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.llm import language_id, line_crf, quality_rules
+from tallygrove.llm import (
+    decontaminate,
+    language_id,
+    license_scan,
+    line_crf,
+    mixing,
+    quality_rules,
+    simhash,
+    token_shards,
+)
 from tallygrove.llm.text import crc_remainder
+from tallygrove.sources.scratch import scratch_path
+
+TARGET = mixing.Weights(
+    domain={"group0": 5, "group1": 3, "group2": 2},
+    lang={"en": 4, "de": 2, "fr": 2, "es": 1},
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +39,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return license_scan.scanned(documents).select("doc_id", *(f"_licence.{c}" for c in kept))
+
+
 def op4_line_chain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = crc_remainder("doc_id", 4) == 2
@@ -46,11 +67,37 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "_lang.*")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return decontaminate.contaminated(documents, _table(spark, sf_dir, "benchmark"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return mixing.selection(documents, 0.8, TARGET, max_epochs=3).drop("_key1", "_key2")
+
+
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    shards = token_shards.write_shards(documents, scratch_path(spark, "token-shards"))
+    read = token_shards.read_shards(spark, shards)
+    return read.select("slot", "shard", "place", "sequence", F.crc32("tokens").alias("checksum"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_license_scan,
         op4_line_chain_quality,
         op6_language_id,
+        op7_decontaminate,
+        op8_mixing,
+        op9_token_shards,
+        op10_simhash,
     )
 }
