@@ -26,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     model = quality_rules.train_quality(docs, _table(spark, sf_dir, "labels"))
-    return quality_rules.judged(docs, model).filter("_quality.kept").select(*docs.columns)
+    return quality_rules.kept_documents(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

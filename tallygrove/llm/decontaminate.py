@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrove.llm.tables import packed
 from tallygrove.llm.text import bounded_batches, runs, whole
 
 K1, B = 1.2, 0.75
@@ -269,5 +270,5 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, **limits) -> DataFr
 
 def clean(documents: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     """The documents that hold no item, with their own columns."""
-    marked = with_matches(documents, benchmark, **limits)
-    return marked.filter(F.size("_matches") == 0).select(*documents.columns)
+    marked = with_matches(packed(documents, "text"), benchmark, **limits)
+    return marked.filter(F.size("_matches") == 0).select("_row.*")

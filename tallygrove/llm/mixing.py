@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrove.llm.tables import row_key, saved
+from tallygrove.llm.tables import packed, row_key, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
@@ -208,17 +208,18 @@ def mixed(documents: DataFrame, share: float, weights: Weights, **options) -> Da
     """The chosen documents with their own columns, once per epoch; a cut document has its prefix."""
     columns = documents.columns
     chosen = selection(documents, share, weights, **options).select(
-        "_key1", "_key2", "n_tokens", "taken_tokens"
+        "_key1", "_key2", F.col("n_tokens").alias("_has"), F.col("taken_tokens").alias("_taken")
     )
-    chosen = chosen.withColumnsRenamed({"n_tokens": "_has", "taken_tokens": "_taken"})
     # Equal rows are one row here and as many as were chosen after the join.
-    distinct = documents.select("*", *row_key(columns)).dropDuplicates(["_key1", "_key2"])
+    distinct = packed(documents, *row_key(columns)).dropDuplicates(["_key1", "_key2"])
     joined = distinct.join(chosen, ["_key1", "_key2"])
-    words = F.slice(F.split("text", WORD_END), F.lit(1), F.col("_taken").cast("int"))
     cut = F.col("_taken") < F.col("_has")
-    joined = joined.withColumn("text", F.when(cut, F.array_join(words, "")).otherwise(F.col("text")))
+    words = F.slice(F.split("_row.text", WORD_END), F.lit(1), F.col("_taken").cast("int"))
+    joined = joined.withColumn(
+        "_text", F.when(cut, F.array_join(words, "")).otherwise(F.col("_row.text"))
+    )
+    own = {"text": F.col("_text")}
     if "n_chars" in columns:
-        joined = joined.withColumn(
-            "n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        )
-    return joined.select(*columns)
+        shorter = F.length("_text").cast(documents.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(cut, shorter).otherwise(F.col("_row.n_chars"))
+    return joined.select(*(own.get(c, F.col(f"_row.`{c}`")).alias(c) for c in columns))

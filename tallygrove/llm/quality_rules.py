@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrove.llm.tables import packed
 from tallygrove.llm.text import (
     bounded_batches,
     char_grams,
@@ -267,3 +268,11 @@ def judged(
             (~failed & (tier != "reject")).alias("kept"),
         ),
     )
+
+
+def kept_documents(
+    documents: DataFrame, model: QualityModel, limits: Thresholds = Thresholds()
+) -> DataFrame:
+    """The documents that pass, with their own columns."""
+    marked = judged(packed(documents, "text"), model, limits)
+    return marked.filter("_quality.kept").select("_row.*")

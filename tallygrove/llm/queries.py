@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tallygrove.llm import (
     decontaminate,
+    html_render,
     language_id,
     license_scan,
     line_crf,
+    line_dedup,
     mixing,
     quality_rules,
     simhash,
@@ -45,6 +47,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(documents).select("doc_id", *(f"_licence.{c}" for c in kept))
 
 
+def op3_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = html_render.rendered(pages.select("page_id", "html"))
+    return found.select("page_id", "text", F.length("text").alias("n_chars"))
+
+
 def op4_line_chain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = crc_remainder("doc_id", 4) == 2
@@ -59,6 +67,10 @@ def op4_line_chain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = crc_remainder("doc_id", 3) == 1
@@ -93,7 +105,9 @@ QUERIES = {
     for f in (
         op1_quality_rules,
         op2_license_scan,
+        op3_html_render,
         op4_line_chain_quality,
+        op5_line_dedup,
         op6_language_id,
         op7_decontaminate,
         op8_mixing,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove.llm.components import star_forest
-from tallygrove.llm.tables import row_key, saved
+from tallygrove.llm.tables import packed, row_key, saved
 from tallygrove.llm.text import bounded_batches
 
 SEED = 42
@@ -223,11 +223,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
     Among rows with that id, a hash of the row decides; of fully equal rows one stays.
     """
-    columns = documents.columns
-    keyed = documents.select("*", *row_key(columns))
+    keys = row_key(documents.columns)
     marked = saved(
-        with_fingerprint(keyed.select("doc_id", "text", "_key1", "_key2")).drop("text"),
-        "simhash-marked",
+        with_fingerprint(documents.select("doc_id", "text", *keys)).drop("text"), "simhash-marked"
     )
     found = marked.join(component_ids(marked), F.col("_fingerprint") == F.col("fingerprint"))
     # Null ids come last within a component.
@@ -236,5 +234,5 @@ def one_of_each(documents: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key1", "_key2")).alias("least"))
         .select("least._key1", "least._key2")
     )
-    stays = keyed.join(kept, ["_key1", "_key2"], "left_semi")
-    return stays.dropDuplicates(["_key1", "_key2"]).select(*columns)
+    stays = packed(documents, *keys).join(kept, ["_key1", "_key2"], "left_semi")
+    return stays.dropDuplicates(["_key1", "_key2"]).select("_row.*")

@@ -34,3 +34,8 @@ def row_key(columns: Sequence[str]) -> list[Column]:
         F.xxhash64(F.lit(1), *every, *(c.isNull() for c in every)).alias("_key1"),
         F.xxhash64(F.lit(2), *every, *(c.isNull() for c in every)).alias("_key2"),
     ]
+
+
+def packed(df: DataFrame, *more: Column | str) -> DataFrame:
+    """All columns as one struct ``_row``, so that no name of the table can clash, and ``more``."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *more)
