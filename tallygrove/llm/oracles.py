@@ -2,4 +2,44 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from tallygrove.llm.license_scan import LOWER, TEMPLATES, UPPER
+
+
+def licence_sql(least: float = 0.8) -> str:
+    """Join the words of all texts with the words of all templates and count per beginning."""
+    rows = ", ".join(
+        f"({number}, '{t.label}', {str(t.base).lower()}, {len(t.words)}, {i}, '{word}', "
+        f"{int(any(b <= i < e for b, e in t.keys))})"
+        for number, t in enumerate(TEMPLATES)
+        for i, word in enumerate(t.words)
+    )
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH templates(t, label, base, size, i, word, is_key) AS (VALUES {rows}),
+keys AS (SELECT t, sum(is_key) AS n_keys FROM templates GROUP BY t),
+texts AS (
+  SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{word}') AS words
+  FROM documents),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM texts),
+found AS (
+  SELECT doc_id, t, label, base, place - i AS begins, count(*)::DOUBLE / size::DOUBLE AS score
+  FROM placed JOIN templates USING (word) JOIN keys USING (t)
+  GROUP BY doc_id, t, label, base, size, n_keys, place - i
+  HAVING sum(is_key) = n_keys AND count(*)::DOUBLE / size::DOUBLE >= {least}),
+summed AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(begins) FILTER (base) AS first_word,
+    max(begins) FILTER (base) AS last_word,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(score) AS score
+  FROM found GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+  first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN summed USING (doc_id)
+"""
+
+
+ORACLES: dict[str, str] = {"op2_license_scan": licence_sql()}
