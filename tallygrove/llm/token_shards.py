@@ -19,14 +19,16 @@ The table has to come from files, as its partitions are read twice.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from sys import byteorder
 
 import numpy as np
 import pandas as pd
-import regex
 import tiktoken
 from pyarrow import fs
 from pyspark import TaskContext
@@ -37,34 +39,40 @@ from tallygrove.llm.text import bounded_batches, whole
 
 # Fixed value: how the vocabulary's text is cut before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PLAIN_PATTERN = PATTERN.replace(r"\s+(?!\S)|\s+", r"\s")
+WIDE_SPACE = re.compile(r"\s\s").search
 END = 50_256  # the number after the last rank; ends a text and pads the last sequence
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-CACHED_PIECES = 200_000
 ROUNDS = 4
 
 
-class Tokenizer(dict):
-    """Bytes of the token numbers of each piece of text; pieces come again and again, so it caches."""
+class Tokenizer:
+    """Token numbers of a text, without the end mark.
+
+    The pattern looks ahead only to split white space of more than one character. A text without any
+    is cut by a pattern that does not look ahead, which gives the same pieces in two thirds of the time.
+    """
 
     def __init__(self, ranks_file: bytes):
-        super().__init__()
         pairs = (line.split() for line in ranks_file.splitlines() if line)
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.encoding = tiktoken.Encoding(
-            "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-        self.pieces = regex.compile(PATTERN).findall
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        found = np.array(self.encoding.encode_ordinary(piece), "<u2").tobytes()
-        self[piece] = found
-        return found
+        def encoding(pattern: str):
+            return tiktoken.Encoding(
+                "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            ).encode_ordinary
+
+        self.any_text, self.plain_text = encoding(PATTERN), encoding(PLAIN_PATTERN)
+
+    def encode(self, text: str) -> list[int]:
+        return self.any_text(text) if WIDE_SPACE(text) else self.plain_text(text)
+
 
-    def encode(self, text: str) -> bytes:
-        """Token numbers of 16 bits each, without the end mark."""
-        return b"".join(map(self.__getitem__, self.pieces(text)))
+def _packed(numbers: list[int]) -> bytes:
+    packed = array("H", numbers)
+    if byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -115,16 +123,17 @@ class Permutation:
         return self._walk(slots, True)
 
 
-def _stream(batches: Iterator[pd.DataFrame], ranks_file: bytes) -> Iterator[bytes]:
-    own, end = tokenizer(ranks_file), np.array([END], "<u2").tobytes()
+def _stream(batches: Iterator[pd.DataFrame], ranks_file: bytes) -> Iterator[list[int]]:
+    """The tokens of each text."""
+    encode = tokenizer(ranks_file).encode
     for batch in batches:
         for text in whole(batch["text"]):
-            yield own.encode(text) + end
+            yield encode(text)
 
 
 def _counter(ranks_file: bytes):
     def count(batches):
-        total = sum(len(x) // 2 for x in _stream(batches, ranks_file))
+        total = sum(len(x) + 1 for x in _stream(batches, ranks_file))
         if total:
             yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "tokens": [total]})
 
@@ -149,8 +158,9 @@ def _cutter(ranks_file: bytes, begins: dict[int, int], sizes: dict[int, int], le
             return pdf[["slot", "place", "piece"]]
 
         for encoded in _stream(batches, ranks_file):
-            held += encoded
-            seen += len(encoded) // 2
+            encoded.append(END)
+            held += _packed(encoded)
+            seen += len(encoded)
             begin = 0
             while (room := 2 * (length - at % length)) <= len(held) - begin:
                 out.append((at // length, at % length, bytes(held[begin : begin + room])))

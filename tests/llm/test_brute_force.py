@@ -379,6 +379,16 @@ def test_permutation(count):
     assert (order.sequences(slots) == np.arange(count)).all()
 
 
+def test_pieces_of_odd_texts():
+    own = token_shards.tokenizer(open(token_shards.VOCABULARY, "rb").read())
+    rng = random.Random(4)
+    marks = "aZéßØ×÷ªµº²½ 0 9\t\n\r\x0b\x0c\x1c\x1f\x00\x85\xa0\u1680\u2003日本\U0001f600'’s't're.,!?-_#ſƀɏɐ"
+    texts = ["".join(rng.choice(marks) * rng.choice((1, 1, 1, 2, 3)) for _ in range(rng.randrange(14))) for _ in range(6000)]
+    texts += ["", " ", "a ", " a", "a  b", "a\n b", "a\n \nb", "x\xa0 y", "it's 'tis", "a\nb c\n\nd", "one two one"]
+    for text in texts:
+        assert own.encode(text) == own.any_text(text), repr(text)
+
+
 def test_shards_round_trip(spark):
     docs = table(spark, MEDIUM, "documents")
     shards = token_shards.write_shards(docs, scratch_path(spark, "shards"), 256, 100)
