@@ -110,8 +110,9 @@ NB_FOLDS = naive_bayes(
 )
 # One model per candidate and fold; g = 10 * candidate + fold.
 CANDIDATES = "(VALUES (0, 0.5), (1, 1.0), (2, 4.0)) c(candidate, lam)"
-# The search's list: the default smoothing, and the two variants of it in either order.
-SEARCHED = "(VALUES (0, 1.0), (1, 0.5), (2, 2.0)) c(candidate, lam)"
+# The search's list: the default smoothing, then its variants in seeded order.
+_TRIED = (1.0, 2.0, 0.5, 4.0, 0.25)
+SEARCHED = f"(VALUES {', '.join(f'({n}, {lam})' for n, lam in enumerate(_TRIED))}) c(candidate, lam)"
 
 
 def candidate_folds(candidates: str = CANDIDATES) -> str:
@@ -208,7 +209,7 @@ def best_split(name: str, source: str) -> str:
          2 * rate * (1 - rate) - nl / nt * 2 * left_rate * (1 - left_rate)
          - (nt - nl) / nt * 2 * right_rate * (1 - right_rate) AS gain
   FROM {name}_rates),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT * FROM {name}_gains
   QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature) = 1)
 """
@@ -217,10 +218,10 @@ def best_split(name: str, source: str) -> str:
 TREE = (
     f"""
 line_mean AS (SELECT trunc(avg(n_lines)) AS m_lines FROM inside),
-slots AS ({_SLOTS}),
-tree_fit AS ({_tree_long('inside')}),
-tree_rows AS ({_tree_long('outside')}),
-root_rows AS (SELECT 0 AS node, * FROM tree_fit)
+slots AS MATERIALIZED ({_SLOTS}),
+tree_fit AS MATERIALIZED ({_tree_long('inside')}),
+tree_rows AS MATERIALIZED ({_tree_long('outside')}),
+root_rows AS MATERIALIZED (SELECT 0 AS node, * FROM tree_fit)
 """,
     best_split("root", "root_rows"),
 )
@@ -240,14 +241,14 @@ FROM (SELECT o_orderkey, CASE WHEN t.value <= threshold THEN left_rate ELSE righ
 
 # The second boosting round: the split that best explains the first round's pseudo-residuals.
 SECOND_ROUND = """
-first_round AS (
+first_round AS MATERIALIZED (
   SELECT o_orderkey, label,
          2 * CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - 1 AS margin
   FROM tree_fit t JOIN root USING (feature)),
-residuals AS (
+residuals AS MATERIALIZED (
   SELECT o_orderkey, 4 * (2 * label - 1) / (1 + exp(2 * (2 * label - 1) * margin)) AS r
   FROM first_round),
-second_values AS (
+second_values AS MATERIALIZED (
   SELECT feature, value, count(*) AS n, sum(r) AS s
   FROM tree_fit JOIN residuals USING (o_orderkey) GROUP BY feature, value),
 second_cuts AS (
@@ -255,17 +256,19 @@ second_cuts AS (
          sum(n) OVER f AS nt, sum(s) OVER f AS st
   FROM second_values
   WINDOW w AS (PARTITION BY feature ORDER BY value), f AS (PARTITION BY feature)),
-second_split AS (
+second_split AS MATERIALIZED (
   SELECT feature, (value + nxt) / 2 AS cut, sl / nl AS left_mean, (st - sl) / (nt - nl) AS right_mean
   FROM second_cuts WHERE nxt IS NOT NULL
   ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, feature LIMIT 1),
 margins AS (
-  SELECT a.o_orderkey,
-         2 * CASE WHEN a.value <= threshold THEN left_rate ELSE right_rate END - 1
-         + 0.1 * CASE WHEN b.value <= cut THEN left_mean ELSE right_mean END AS margin
-  FROM root JOIN tree_rows a ON a.feature = root.feature
-  JOIN tree_rows b ON b.o_orderkey = a.o_orderkey 
-  JOIN second_split q ON b.feature = q.feature)
+  SELECT o_orderkey,
+         max(CASE WHEN t.feature = root.feature
+                  THEN 2 * CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - 1 END)
+         + 0.1 * max(CASE WHEN t.feature = q.feature
+                          THEN CASE WHEN t.value <= cut THEN left_mean ELSE right_mean END END) AS margin
+  FROM tree_rows t CROSS JOIN root CROSS JOIN second_split q
+  WHERE t.feature IN (root.feature, q.feature)
+  GROUP BY o_orderkey)
 """
 
 _NAMES = "SELECT feature AS name FROM slots UNION ALL SELECT 'n_lines_IMPUTED'"
@@ -378,6 +381,19 @@ filled AS (
          coalesce(sum_qty, (SELECT avg(sum_qty) FROM prepared)) AS qty_filled
   FROM prepared)"""
 
+BEST_F1 = """
+steps AS (
+  SELECT round(p1, 12) AS s, sum(label) AS pos, count(*) AS n FROM nb GROUP BY 1),
+totals AS (
+  SELECT s, sum(pos) OVER w AS tp, sum(n) OVER w AS called, sum(pos) OVER () AS n_pos
+  FROM steps WINDOW w AS (ORDER BY s DESC)),
+best AS (SELECT s FROM totals ORDER BY 2 * tp / (called + n_pos) DESC, s DESC LIMIT 1)"""
+
+_BOARD = (
+    "CAST(rank AS INTEGER) AS rank, 'done' AS status, true AS good, true AS in_order, true AS in_bounds, "
+    "CAST(count(*) OVER () AS INTEGER) AS candidates"
+)
+
 ORACLES: dict[str, str] = {
     "read_delimited": ORDERS_TEXT,
     "read_delimited_header": ORDERS_TEXT,
@@ -560,7 +576,7 @@ ORACLES: dict[str, str] = {
         f"""
         SELECT CAST(row_number() OVER (ORDER BY avg(auc) DESC) AS INTEGER) AS rank,
                'naive_bayes' AS algorithm,
-               CASE WHEN lam = 1 THEN '' ELSE 'smoothing=' || lam END AS params,
+               CASE WHEN lam = 1 THEN '' ELSE 'smoothing=' || lam::DOUBLE END AS params,
                round(avg(auc), 6) AS auc
         FROM aucs JOIN {SEARCHED} ON candidate = g // 10 GROUP BY lam""",
         candidate_folds(SEARCHED),
@@ -581,7 +597,13 @@ ORACLES: dict[str, str] = {
         *SEARCH,
     ),
     "leaderboard": with_profile(
-        "SELECT rank, candidate, algorithm, params, round(mean_auc, 6) AS auc FROM named", *SEARCH
+        "SELECT rank, candidate, algorithm, params, round(mean_auc, 6) AS auc, round(loss, 6) AS log_loss, "
+        "round(error, 6) AS mean_per_class_error, 'done' AS status FROM named JOIN quality USING (candidate)",
+        *SEARCH,
+        f"""
+quality AS (
+  SELECT CAST(g // 10 AS INTEGER) AS candidate, avg(e) AS error, avg(l) AS loss
+  FROM (SELECT g, {ERRORS} AS e, {LOSS} AS l FROM nb GROUP BY g) GROUP BY g // 10)""",
     ),
     "leader_params": with_profile(
         """
@@ -636,13 +658,7 @@ judged AS (
                count(*) AS "count"
         FROM nb, best GROUP BY ALL""",
         NB,
-        """
-steps AS (
-  SELECT round(p1, 12) AS s, sum(label) AS pos, count(*) AS n FROM nb GROUP BY 1),
-totals AS (
-  SELECT s, sum(pos) OVER w AS tp, sum(n) OVER w AS called, sum(pos) OVER () AS n_pos
-  FROM steps WINDOW w AS (ORDER BY s DESC)),
-best AS (SELECT s FROM totals ORDER BY 2 * tp / (called + n_pos) DESC, s DESC LIMIT 1)""",
+        BEST_F1,
     ),
     "score_table": with_profile(
         """
@@ -659,7 +675,8 @@ best AS (SELECT s FROM totals ORDER BY 2 * tp / (called + n_pos) DESC, s DESC LI
         NB,
     ),
     "performance_bundle": with_profile(
-        f"SELECT part, {PERFORMANCE} FROM judged GROUP BY part",
+        f"SELECT part, {PERFORMANCE}, round(any_value(auc), 6) AS auc "
+        "FROM judged JOIN aucs USING (part) GROUP BY part",
         naive_bayes(
             "SELECT k AS g, folded.* EXCLUDE (fold) FROM folded, range(6) r(k) WHERE fold <> k",
             "SELECT fold AS g, folded.* EXCLUDE (fold) FROM folded "
@@ -670,6 +687,7 @@ judged AS (
   SELECT nb.*, CASE WHEN g < 5 THEN 'cv' WHEN i.o_orderkey IS NULL THEN 'holdout'
                     ELSE 'train' END AS part
   FROM nb LEFT JOIN inside i ON i.o_orderkey = nb.o_orderkey)""",
+        auc("judged", "part"),
     ),
     "cv_metrics_summary": with_profile(
         """
@@ -764,20 +782,111 @@ long AS (
         CANDIDATE_TABLE,
     ),
     "automl_job_naive_bayes": with_profile(
-        f"SELECT part, {PERFORMANCE} FROM judged GROUP BY part",
+        f"SELECT part, {PERFORMANCE}, round(any_value(auc), 6) AS auc "
+        "FROM judged JOIN part_aucs USING (part) GROUP BY part",
         """
 all_folds AS (
   SELECT * EXCLUDE (h), CAST(CAST('0x' || substr(h, 9, 8) AS BIGINT) % 5 AS INTEGER) AS fold
   FROM hashed)""",
+        # Of each candidate a model per fold, g = 10 * candidate + fold, and one of all rows.
         naive_bayes(
-            "SELECT k AS g, all_folds.* EXCLUDE (fold) FROM all_folds, range(6) r(k) "
-            "WHERE fold <> k",
-            "SELECT fold AS g, all_folds.* EXCLUDE (fold) FROM all_folds "
-            "UNION ALL SELECT 5, * FROM prepared",
+            f"SELECT 10 * candidate + k AS g, all_folds.* EXCLUDE (fold) "
+            f"FROM all_folds, range(6) r(k), {SEARCHED} WHERE fold <> k",
+            f"SELECT 10 * candidate + fold AS g, all_folds.* EXCLUDE (fold) FROM all_folds, {SEARCHED} "
+            f"UNION ALL SELECT 10 * candidate + 5, prepared.* FROM prepared, {SEARCHED}",
+            f"SELECT 10 * candidate + k AS g, lam::DOUBLE AS lam FROM range(6) r(k), {SEARCHED}",
             whole_lines=False,
         ),
-        "judged AS (SELECT *, CASE WHEN g < 5 THEN 'cv' ELSE 'train' END AS part FROM nb)",
+        auc("nb", "g"),
+        """
+best AS (
+  SELECT g // 10 AS candidate FROM aucs WHERE g % 10 < 5
+  GROUP BY g // 10 ORDER BY avg(auc) DESC, g // 10 LIMIT 1),
+judged AS (
+  SELECT nb.*, CASE WHEN g % 10 < 5 THEN 'cv' ELSE 'train' END AS part
+  FROM nb JOIN best ON g // 10 = candidate)""",
+        auc("judged", "part", "part_aucs"),
+    ),
+    "automl_job": with_profile(
+        """
+        SELECT part, count(*) AS n, count(*) FILTER (label = 1) AS positives, true AS cells_add_up,
+               true AS ranks_well, true AS loss_is_sound
+        FROM prepared, (VALUES ('train'), ('cv')) p(part) GROUP BY part"""
+    ),
+    "job_parameters": with_profile(
+        """
+        SELECT name, value FROM (VALUES ('maxDepth', '4'), ('numTrees', '9'), ('seed', '7'),
+                                        ('subsamplingRate', '0.75')) p(name, value)
+        UNION ALL
+        SELECT CASE WHEN substr(md5(concat(o_orderkey, '-', 7)), 1, 8) < '80000000' THEN 'train'
+                    ELSE 'validation' END, CAST(count(*) AS VARCHAR)
+        FROM prepared GROUP BY 1"""
+    ),
+    "predict_job_without_key": with_profile(
+        "SELECT p.o_orderkey, o_orderstatus_raw AS o_orderstatus, p.o_orderpriority, p.c_mktsegment, "
+        "p.n_lines, round(p.sum_qty, 6) AS sum_qty, round(p1, 6) AS p1 "
+        "FROM prepared p JOIN nb USING (o_orderkey) "
+        "JOIN (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'NA' ELSE o_orderstatus END "
+        "AS o_orderstatus_raw FROM profile) USING (o_orderkey)",
+        NB_ALL,
     ),
     "predict_job": with_profile(NB_ROWS, NB_ALL),
     "train_and_score": with_profile(NB_ROWS, NB_TEXT_ALL),
+    "random_split": with_profile(
+        """
+        SELECT count(DISTINCT o_orderkey) AS n, max(times)::BIGINT AS most_parts_of_a_row,
+               true AS near_the_rate
+        FROM (SELECT o_orderkey, count(*) AS times FROM prepared GROUP BY o_orderkey)"""
+    ),
+    **{
+        algorithm: with_profile(
+            "SELECT o_orderkey, label, true AS score_is_sound, true AS class_agrees, true AS ranks_well "
+            "FROM outside"
+        )
+        for algorithm in (
+            "random_forest", "gbt", "linear_svm", "logistic_regression", "decision_tree",
+        )
+    },
+    "linear_svm_groups": with_profile(
+        "SELECT o_orderkey, CASE WHEN rate > 0.5 THEN 1 ELSE 0 END AS prediction "
+        "FROM band_rows JOIN band_rates USING (qty_band)",
+        BANDED,
+    ),
+    "svm_area_under_roc": with_profile(
+        "SELECT count(*) AS n, true AS areas_agree, true AS ranks_well FROM outside"
+    ),
+    "performance_at_max_f1": with_profile(
+        """
+        SELECT 'holdout' AS part, count(*) AS n,
+               count(*) FILTER (label = 1 AND round(p1, 12) >= s) AS tp,
+               count(*) FILTER (label = 1 AND round(p1, 12) < s) AS fn,
+               count(*) FILTER (label = 0 AND round(p1, 12) >= s) AS fp,
+               count(*) FILTER (label = 0 AND round(p1, 12) < s) AS tn,
+               round(any_value(auc), 6) AS auc
+        FROM nb, best, aucs""",
+        NB,
+        auc("nb", "g"),
+        BEST_F1,
+    ),
+    "auto_search": f"SELECT {_BOARD} FROM range(1, 6) r(rank)",
+    "tune_job": f"SELECT {_BOARD} FROM range(1, 10) r(rank)",
+    "param_grid": """
+        SELECT CAST(3 * d.i + t.i AS INTEGER) AS candidate, 'random_forest' AS algorithm,
+               'maxDepth=' || d.v || ', numTrees=' || t.v AS params, true AS good, true AS folds_differ
+        FROM (VALUES (0, 3), (1, 5), (2, 7)) d(i, v), (VALUES (0, 50), (1, 100), (2, 200)) t(i, v)""",
+    "compare": """
+        SELECT algorithm, part, true AS ranks_well, true AS classes_well
+        FROM (VALUES ('random_forest'), ('gbt'), ('linear_svm'), ('logistic_regression'),
+                     ('decision_tree'), ('naive_bayes')) a(algorithm),
+             (VALUES ('validation'), ('test')) p(part)""",
+    "forest_importance": with_profile(
+        f"SELECT name, true AS sound, 1.0::DOUBLE AS total FROM ({_NAMES} UNION ALL SELECT 'sum_qty_IMPUTED')",
+        *TREE,
+    ),
+    "boosted_contributions": with_profile(
+        "SELECT o_orderkey, 5::BIGINT AS n, 0.0::DOUBLE AS gap FROM outside"
+    ),
+    "wide_contributions": with_profile(
+        "SELECT o_orderkey, 8::BIGINT AS n, 0.0::DOUBLE AS gap FROM outside"
+    ),
 }

@@ -28,8 +28,6 @@ CLASSIFIERS = {
     "decision_tree": DecisionTreeClassifier,
     "naive_bayes": NaiveBayes,
 }
-# Classifiers that do enough work per row in each of many passes to repay a shuffle beforehand.
-TREES = ("random_forest", "gbt", "decision_tree")
 # Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
 ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
@@ -51,6 +49,11 @@ def make_estimator(
     return estimator
 
 
+def needs_non_negative(estimator: Estimator) -> bool:
+    """Whether the estimator refuses negative numbers: all naive Bayes kinds but the Gaussian one."""
+    return isinstance(estimator, NaiveBayes) and estimator.getModelType() != "gaussian"
+
+
 def score_column(algorithm: str) -> str:
     """The column that ranks rows: the SVM has no probability."""
     return "rawPrediction" if algorithm == "linear_svm" else "probability"
@@ -73,13 +76,11 @@ def _persist(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool) -> Iterator[DataFrame]:
+def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool = False) -> Iterator[DataFrame]:
     """The used columns, cached in memory and on disk for as long as the fits need them.
 
-    ``balance`` adds one rebalancing shuffle of those columns. Tree fits go over the cache tens of
-    times, and too few or uneven partitions (one big file, a skewed join) would slow every pass.
-    Adaptive execution picks the partition sizes: small tables get few, large ones get partitions
-    of the advisory size, and oversized ones are split.
+    ``balance`` adds one rebalancing shuffle of those columns, for inputs with few or uneven partitions
+    (one big file, a skewed join), which would slow every pass over the cache.
     """
     used = used_columns(df, spec, *others)
     if balance:
@@ -97,15 +98,10 @@ def train(
     algorithm: str = "random_forest",
     params: Mapping[str, object] | None = None,
     seed: int = 42,
-    balance: bool | None = None,
+    balance: bool = False,
 ) -> PipelineModel:
-    """Fit feature stages and classifier on a prepared table.
-
-    ``balance`` defaults to true for trees and their ensembles.
-    """
-    if balance is None:
-        balance = algorithm in TREES
+    """Fit feature stages and classifier on a prepared table; ``balance`` as in ``held``."""
     estimator = make_estimator(algorithm, params, seed, spec.label)
     with held(df, spec, balance=balance) as data:
-        check_inputs(data, spec, non_negative=algorithm == "naive_bayes")
+        check_inputs(data, spec, needs_non_negative(estimator))
         return build_pipeline(spec, estimator).fit(data)

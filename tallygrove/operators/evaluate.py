@@ -8,6 +8,8 @@ one unpartitioned window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import inf
 
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -18,10 +20,12 @@ from pyspark.sql import functions as F
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators.scoring import require_probability
 
-# The clip that keeps log loss finite, and the number of ranges that running totals
-# over scores are cut into.
+# Fixed value: the clip that keeps log loss finite.
 LOG_LOSS_CLIP = 1e-15
-SCORE_RANGES = 2_000
+# Running totals over scores go range by range: cuts at so many quantiles, and between two of them as
+# many equal steps as it takes for about this many scores in a range.
+SCORE_QUANTILES = 1_000
+SCORES_PER_RANGE = 100_000
 
 
 def _evaluator(score: str, label: str, bins: int) -> BinaryClassificationEvaluator:
@@ -61,24 +65,42 @@ def score_points(
     )
 
 
+def _ranged(points: DataFrame, per_range: int) -> DataFrame:
+    """Add ``_range``, a number that rises with the score; the points are read once to find the cuts."""
+    probes = [i / SCORE_QUANTILES for i in range(1, SCORE_QUANTILES)]
+    seen = points.agg(
+        F.count("score").alias("n"),
+        F.min("score").alias("low"),
+        F.max("score").alias("high"),
+        F.percentile_approx("score", probes, 4 * SCORE_QUANTILES).alias("cuts"),
+    ).first()
+    inner = sorted(set(seen["cuts"] or [0.0]))
+    buckets = Bucketizer(splits=[-inf, *inner, inf], inputCol="score", outputCol="_bucket")
+    bucketed = buckets.transform(points).withColumn("_bucket", F.col("_bucket").cast("int"))
+    steps = -(-seen["n"] // (SCORE_QUANTILES * per_range)) or 1
+    if steps == 1:
+        return bucketed.withColumn("_range", F.col("_bucket").cast("long"))
+    edges = F.lit([min(seen["low"], inner[0]), *inner, max(seen["high"], inner[-1])])
+    low, high = F.get(edges, F.col("_bucket")), F.get(edges, F.col("_bucket") + 1)
+    step = F.floor(steps * F.coalesce(F.try_divide(F.col("score") - low, high - low), F.lit(0.0)))
+    step = F.least(F.greatest(step, F.lit(0)), F.lit(steps - 1))
+    return bucketed.withColumn("_range", F.col("_bucket").cast("long") * steps + step)
+
+
 def score_curve(
-    points: DataFrame, by: Sequence[str] = (), ranges: int = SCORE_RANGES
+    points: DataFrame, by: Sequence[str] = (), per_range: int = SCORES_PER_RANGE
 ) -> DataFrame:
     """Add the totals at and above each score of ``score_points``: tp, fp, n_pos, n_neg.
 
-    The distinct scores are cut into ranges of about equal size. Totals above a range come from a
-    table with one row per group and range, totals inside it from a window over the range. The
+    The distinct scores are cut into ranges whose number grows with theirs. Totals above a range come
+    from a table with one row per group and range, totals inside it from a window over the range. The
     points are read twice: once to find the cuts, once for the totals.
     """
-    probes = [i / ranges for i in range(1, ranges)]
-    inner = points.approxQuantile("score", probes, 0.25 / ranges) if probes else []
-    cuts = [float("-inf"), *sorted(set(inner) or {0.0}), float("inf")]
     # Keys that cannot be NULL: groups without a value stay in, and both sides of the join below
     # have the same plan, so that Spark computes the points once for the two.
     keyed = (
-        Bucketizer(splits=cuts, inputCol="score", outputCol="_bucket")
-        .transform(points)
-        .withColumn("_range", F.coalesce(F.col("_bucket").cast("int"), F.lit(-1)))
+        _ranged(points, per_range)
+        .withColumn("_range", F.coalesce(F.col("_range"), F.lit(-1)))
         .withColumn("_group", F.struct(F.lit(0).alias("_all"), *by))
     )
     downward = Window.partitionBy("_group").orderBy(F.desc("_range"))
@@ -215,17 +237,41 @@ def performance(
     return df.groupBy(*by).agg(*(column.alias(name) for name, column in metrics.items()))
 
 
+def max_f1_thresholds(
+    df: DataFrame, by: Sequence[str], label: str = "label"
+) -> DataFrame:
+    """``max_f1_threshold`` of every group at once, as column ``threshold``."""
+    curve = score_curve(score_points(df, positive_score(df), label, by), by)
+    f1 = 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("n_pos"))
+    return curve.groupBy(*by).agg(F.max_by("score", F.struct(f1, "score")).alias("threshold"))
+
+
 def performance_bundle(
-    parts: dict[str, DataFrame], label: str = "label"
+    parts: dict[str, DataFrame],
+    label: str = "label",
+    score: str = "probability",
+    max_f1: bool = False,
 ) -> DataFrame:
-    """``performance`` of several scored tables, such as train, cross-validation and holdout."""
-    named = [
-        performance(part, label).withColumn("part", F.lit(name)) for name, part in parts.items()
-    ]
-    bundle = named[0]
-    for other in named[1:]:
-        bundle = bundle.unionByName(other)
-    return bundle
+    """``performance`` and area under the curve of several scored tables, in one tagged union.
+
+    With ``max_f1`` the classes are those at each part's best F1 threshold, which is added.
+    """
+    shown = {label, "prediction", "probability", "rawPrediction"}
+    tagged = reduce(
+        DataFrame.unionByName,
+        (
+            part.select(F.lit(name).alias("part"), *(c for c in part.columns if c in shown))
+            for name, part in parts.items()
+        ),
+    )
+    areas = area_by_group(tagged, ["part"], score, label)
+    if not max_f1:
+        return performance(tagged, label, ["part"]).join(areas, "part")
+    # A row per part: few enough to be looked up in every row.
+    best = max_f1_thresholds(tagged, ["part"], label)
+    called = positive_score(tagged) >= F.col("threshold")
+    judged = tagged.join(best, "part").withColumn("prediction", called.cast("double"))
+    return performance(judged, label, ["part", "threshold"]).join(areas, "part")
 
 
 def cv_metrics_summary(

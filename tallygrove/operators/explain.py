@@ -7,9 +7,12 @@ row's output and the output of the reference point.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import factorial
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from math import factorial, inf
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -33,8 +36,8 @@ from tallygrove.operators.features import (
 from tallygrove.plans.spec import TableSpec
 
 LINEAR_MODELS = (LogisticRegressionModel, LinearSVCModel, NaiveBayesModel)
-# Up to this many source columns, all coalitions are scored; beyond it, permutations are sampled.
-EXACT_COLUMNS = 6
+# Rows that a task explains at a time.
+CHUNK_ROWS = 4096
 
 
 def _importances(model: PipelineModel, df: DataFrame) -> list[tuple[str, float]]:
@@ -61,12 +64,25 @@ def variable_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def _weights(fitted) -> list[float]:
-    """Change of the margin per unit of each slot."""
-    if isinstance(fitted, NaiveBayesModel):
-        theta = fitted.theta.toArray()
-        return (theta[1] - theta[0]).tolist()
-    return fitted.coefficients.toArray().tolist()
+def _slot_terms(fitted) -> tuple[list[float], list[float]]:
+    """Change of the margin per unit and per squared unit of each slot.
+
+    The margin of Gaussian naive Bayes has a squared term for each slot; that of Bernoulli naive Bayes is
+    linear, with weights from the chances that a slot is set and that it is not.
+    """
+    if not isinstance(fitted, NaiveBayesModel):
+        linear = fitted.coefficients.toArray()
+        return linear.tolist(), [0.0] * len(linear)
+    kind, theta = fitted.getOrDefault("modelType"), fitted.theta.toArray()
+    if kind == "gaussian":
+        sigma = fitted.sigma.toArray()
+        linear = theta[1] / sigma[1] - theta[0] / sigma[0]
+        return linear.tolist(), (0.5 / sigma[0] - 0.5 / sigma[1]).tolist()
+    if kind == "bernoulli":
+        unset = np.log1p(-np.exp(theta))
+        return (theta[1] - unset[1] - theta[0] + unset[0]).tolist(), [0.0] * theta.shape[1]
+    # The weights of the complement form are log-odds against a class, as Spark scores with them.
+    return (theta[1] - theta[0]).tolist(), [0.0] * theta.shape[1]
 
 
 def linear_contributions(
@@ -81,22 +97,31 @@ def linear_contributions(
     looked up by its index, so no vector is unpacked.
     """
     stages = PipelineModel(stages=model.stages[:-1])
-    weights = _weights(model.stages[-1])
+    weights, squared = _slot_terms(model.stages[-1])
     features = stages.transform(df)
     reference = features if background is None else stages.transform(background)
-    means = reference.select(Summarizer.mean(F.col(FEATURES)).alias("mean")).first()["mean"]
+    summary = Summarizer.metrics("mean", "normL2", "count").summary(F.col(FEATURES))
+    seen = reference.select(summary.alias("s")).select("s.*").first()
+    means, rows = seen["mean"], max(seen["count"], 1)
+    mean_squares = [norm * norm / rows for norm in seen["normL2"]]
     slots: dict[str, list[int]] = {}
     for slot, source in slot_sources(features, spec):
         slots.setdefault(source, []).append(slot)
 
     def part(source: str) -> Column:
-        own = [weights[slot] for slot in slots[source]]
-        offset = sum(weights[slot] * float(means[slot]) for slot in slots[source])
+        own = slots[source]
+        offset = sum(
+            weights[i] * float(means[i]) + squared[i] * mean_squares[i] for i in own
+        )
         if source in spec.numeric:
-            value = F.col(source + IMPUTED_SUFFIX) * F.lit(own[0])
+            x = F.col(source + IMPUTED_SUFFIX)
+            value = x * F.lit(weights[own[0]])
+            if squared[own[0]]:
+                value = value + x * x * F.lit(squared[own[0]])
         else:
             index = F.col(source + INDEX_SUFFIX).cast("int")
-            value = F.coalesce(F.get(F.lit(own), index), F.lit(0.0))
+            terms = [weights[i] + squared[i] for i in own]
+            value = F.coalesce(F.get(F.lit(terms), index), F.lit(0.0))
         return value - F.lit(offset)
 
     cells = [
@@ -131,118 +156,199 @@ def model_output(model: PipelineModel) -> Column:
     return class_score("probability")
 
 
-def shapley_contributions(
-    model: PipelineModel,
-    df: DataFrame,
-    spec: TableSpec,
-    permutations: int | None = None,
-    seed: int = 42,
-) -> DataFrame:
-    """Shapley values against ``reference_row`` for any model, by scoring mixed rows.
+@dataclass(frozen=True)
+class Leaf:
+    """A leaf's share of the output and, per source column on its path, the values that reach it.
 
-    A mixed row takes some columns from the row and the others from the reference point. Without
-    ``permutations`` every coalition of columns is scored and the values are exact; with it, that
-    many column orders are drawn per row from a hash of the key, and the values still add up
-    exactly. All mixed rows of a row come from one task and are summed there before the shuffle.
+    For a category that is a flag per index, for a number the interval above the first and up to the
+    second bound.
+    """
+
+    value: float
+    reached_by: dict[str, tuple]
+
+
+def _leaf_value(model, node, share: float) -> float:
+    """A leaf's part of ``model_output``; ``share`` is its tree's weight."""
+    if isinstance(model, GBTClassificationModel):
+        return 2 * share * node.prediction()
+    stats = list(node.impurityStats().stats())
+    return share * stats[1] / sum(stats) if sum(stats) else 0.0
+
+
+def tree_leaves(model: PipelineModel, df: DataFrame, spec: TableSpec) -> list[Leaf]:
+    """All leaves of a tree model, in terms of the source columns; as many as the model has."""
+    fitted = model.stages[-1]
+    features = PipelineModel(stages=model.stages[:-1]).transform(df)
+    source_of, place, width = {}, {}, {}
+    for slot, source in slot_sources(features, spec):
+        source_of[slot] = source
+        place[slot] = width.get(source, 0)
+        width[source] = place[slot] + 1
+    trees = getattr(fitted, "trees", None)
+    if trees is None:
+        weighted = [(fitted, 1.0)]
+    elif isinstance(fitted, GBTClassificationModel):
+        weighted = list(zip(trees, fitted.treeWeights))
+    else:
+        weighted = [(tree, 1.0 / len(trees)) for tree in trees]
+
+    def narrowed(path: dict[str, tuple], split, left: bool) -> dict[str, tuple]:
+        slot = split.featureIndex()
+        source = source_of[slot]
+        if source in spec.numeric:
+            low, high = path.get(source, (-inf, inf))
+            cut = split.threshold()
+            bounds = (low, min(high, cut)) if left else (max(low, cut), high)
+            return {**path, source: bounds}
+        # Index i puts a one into slot i; the index after the last label leaves all slots at zero.
+        if split.getClass().getSimpleName() == "CategoricalSplit":
+            to_left = set(split.leftCategories())
+            goes_left = [x in to_left for x in (0.0, 1.0)]
+        else:
+            goes_left = [x <= split.threshold() for x in (0.0, 1.0)]
+        before = path.get(source, (True,) * (width[source] + 1))
+        flags = tuple(
+            seen and goes_left[int(i == place[slot])] == left for i, seen in enumerate(before)
+        )
+        return {**path, source: flags}
+
+    leaves = []
+    for tree, share in weighted:
+        open_ = [(tree._java_obj.rootNode(), {})]
+        while open_:
+            node, path = open_.pop()
+            if node.subtreeDepth() == 0:
+                leaves.append(Leaf(_leaf_value(fitted, node, share), path))
+                continue
+            open_.append((node.leftChild(), narrowed(path, node.split(), True)))
+            open_.append((node.rightChild(), narrowed(path, node.split(), False)))
+    return leaves
+
+
+def _reaches(condition: tuple, values: np.ndarray) -> np.ndarray:
+    if isinstance(condition[0], bool):
+        # An index beyond the labels has all slots at zero, like the index after the last label.
+        return np.array(condition)[np.minimum(values.astype(np.int64), len(condition) - 1)]
+    return (values > condition[0]) & (values <= condition[1])
+
+
+def tree_contributions(model: PipelineModel, df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Exact Shapley values against ``reference_row``, for trees and their ensembles of any width.
+
+    A coalition of columns takes their values from the row and the others from the reference point. A
+    leaf counts for a coalition if every column on its path passes with the value it has. Let the row
+    alone pass in a columns of the path and the reference alone in b; if any column fails in both, the
+    leaf never counts. Then each of the a columns gets ``value * (a-1)! b! / (a+b)!`` and each of the b
+    loses ``value * a! (b-1)! / (a+b)!``. Rows are explained where they are, with neither a key nor a
+    shuffle; the leaves, which the model's size bounds, go to the tasks.
     """
     columns = [*spec.categorical, *spec.numeric]
-    n = len(columns)
+    stages = PipelineModel(stages=model.stages[:-1])
     point = reference_row(model, df)
-    rows = df.select(*spec.key, *columns)
-    if permutations is None:
-        mixed = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))).alias("_mix"))
-        present = [F.col("_mix").bitwiseAND(F.lit(1 << i)) != 0 for i in range(n)]
-        size = F.bit_count("_mix")
-        joined = F.lit([0.0] + [factorial(k - 1) * factorial(n - k) / factorial(n)
-                                for k in range(1, n + 1)])
-        missed = F.lit([factorial(k) * factorial(n - k - 1) / factorial(n)
-                        for k in range(n)] + [0.0])
-        shares = [
-            F.when(there, F.get(joined, size)).otherwise(-F.get(missed, size)) for there in present
-        ]
-    else:
-        draws = F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("_draw")
-        hashes = [
-            F.xxhash64(*(F.col(k) for k in spec.key), F.col("_draw"), F.lit(c), F.lit(seed))
+    types = {c: df.schema[c].dataType for c in columns}
+    reference = df.sparkSession.range(1).select(
+        *(F.lit(point[c]).cast(types[c]).alias(c) for c in columns)
+    )
+
+    def numbers(features: DataFrame) -> list[Column]:
+        return [
+            F.col(c + (INDEX_SUFFIX if c in spec.categorical else IMPUTED_SUFFIX)).cast("double")
             for c in columns
         ]
-        drawn = rows.select("*", draws).select(
-            "*", *(h.alias(f"_hash{i}") for i, h in enumerate(hashes))
-        )
 
-        def rank(i: int) -> Column:
-            # Equal hashes, however unlikely, are told apart by the column's position.
-            earlier = F.lit(0)
-            for j in range(n):
-                if j != i:
-                    ahead = (
-                        F.col(f"_hash{j}") <= F.col(f"_hash{i}")
-                        if j < i
-                        else F.col(f"_hash{j}") < F.col(f"_hash{i}")
-                    )
-                    earlier = earlier + ahead.cast("int")
-            return earlier
-
-        mixed = drawn.select(
-            *spec.key,
-            *columns,
-            *(rank(i).alias(f"_rank{i}") for i in range(n)),
-            F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_step"),
+    at = list(stages.transform(reference).select(*numbers(reference)).first())
+    start = {c: np.array([x]) for c, x in zip(columns, at)}
+    prepared = []
+    for leaf in tree_leaves(model, df, spec):
+        held = {c: bool(_reaches(cond, start[c])[0]) for c, cond in leaf.reached_by.items()}
+        prepared.append(
+            (
+                leaf.value,
+                [(columns.index(c), leaf.reached_by[c]) for c, there in held.items() if not there],
+                [(columns.index(c), leaf.reached_by[c]) for c, there in held.items() if there],
+            )
         )
-        step = F.col("_step")
-        present = [F.col(f"_rank{i}") < step for i in range(n)]
-        shares = [
-            F.when(F.col(f"_rank{i}") == step - 1, F.lit(1.0 / permutations))
-            .when(F.col(f"_rank{i}") == step, F.lit(-1.0 / permutations))
-            .otherwise(F.lit(0.0))
-            for i in range(n)
-        ]
-    types = {f.name: f.dataType for f in rows.schema.fields}
-    inputs = mixed.select(
-        *spec.key,
-        *(share.alias(f"_share{i}") for i, share in enumerate(shares)),
-        *(
-            F.when(there, F.col(c)).otherwise(F.lit(point[c]).cast(types[c])).alias(c)
-            for c, there in zip(columns, present)
+    n = len(columns)
+
+    def explain(*values: pd.Series) -> pd.Series:
+        rows = [v.to_numpy(np.float64) for v in values]
+        out = np.zeros((len(rows[0]), n))
+        for at in range(0, len(out), CHUNK_ROWS):
+            part = [v[at : at + CHUNK_ROWS] for v in rows]
+            seen: dict[tuple, np.ndarray] = {}
+
+            def reaches(column: int, condition: tuple) -> np.ndarray:
+                if (column, condition) not in seen:
+                    seen[column, condition] = _reaches(condition, part[column])
+                return seen[column, condition]
+
+            for value, row_only, shared in prepared:
+                reached = np.ones(len(part[0]), bool)
+                for column, condition in row_only:
+                    reached &= reaches(column, condition)
+                chosen = np.flatnonzero(reached)
+                if not len(chosen):
+                    continue
+                missed = [(c, ~reaches(c, condition)[chosen]) for c, condition in shared]
+                b = sum((m for _, m in missed), np.zeros(len(chosen), np.int64))
+                a = len(row_only)
+                if a:
+                    gain = np.array([factorial(a - 1) * factorial(k) / factorial(a + k) for k in range(n + 1)])
+                    for column, _ in row_only:
+                        out[at + chosen, column] += value * gain[b]
+                loss = np.array(
+                    [0.0] + [factorial(a) * factorial(k - 1) / factorial(a + k) for k in range(1, n + 1)]
+                )
+                for column, m in missed:
+                    out[at + chosen[m], column] -= value * loss[b[m]]
+        return pd.Series(list(out))
+
+    # Marked so that the values are worked out once, not once per feature.
+    values = F.pandas_udf(explain, "ARRAY<DOUBLE>").asNondeterministic()
+    features = stages.transform(df)
+    explained = features.select(*spec.key, values(*numbers(features)).alias("_values"))
+    cells = F.arrays_zip(F.array(*(F.lit(c) for c in columns)).alias("feature"), F.col("_values"))
+    named = F.transform(
+        cells,
+        lambda cell: F.struct(
+            cell["feature"].alias("feature"), cell["_values"].alias("contribution")
         ),
     )
-    scored = model.transform(inputs).withColumn("_output", model_output(model))
-    summed = scored.groupBy(*spec.key).agg(
-        *(F.sum(F.col(f"_share{i}") * F.col("_output")).alias(f"_sum{i}") for i in range(n))
-    )
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"_sum{i}").alias("contribution"))
-        for i, c in enumerate(columns)
-    ]
-    return summed.select(*spec.key, F.inline(F.array(*cells)))
+    return explained.select(*spec.key, F.inline(named))
 
 
 def contributions(
-    model: PipelineModel,
-    df: DataFrame,
-    spec: TableSpec,
-    background: DataFrame | None = None,
-    permutations: int = 16,
-    seed: int = 42,
+    model: PipelineModel, df: DataFrame, spec: TableSpec, background: DataFrame | None = None
 ) -> DataFrame:
-    """Per-row contributions by the cheapest method that fits the model."""
+    """Per-row contributions by the method that is exact for the model."""
     if isinstance(model.stages[-1], LINEAR_MODELS):
         return linear_contributions(model, df, spec, background)
-    few = len(spec.categorical) + len(spec.numeric) <= EXACT_COLUMNS
-    return shapley_contributions(model, df, spec, None if few else permutations, seed)
+    return tree_contributions(model, df, spec)
 
 
 def explain_row(
     model: PipelineModel,
     df: DataFrame,
     spec: TableSpec,
-    key: Sequence[object],
+    row: Sequence[object] | Mapping[str, object] | Column,
     background: DataFrame | None = None,
 ) -> DataFrame:
-    """Contributions of one row, largest first. Only that row is expanded and scored."""
-    one = df
-    for column, value in zip(spec.key, key, strict=True):
-        one = one.filter(F.col(column) == F.lit(value))
+    """Contributions of the chosen rows, largest first. Only those rows are explained.
+
+    ``row`` holds the values of the key, values by column (NULL matches NULL), or a condition; a table
+    without a key needs one of the latter two.
+    """
+    if isinstance(row, Column):
+        one = df.filter(row)
+    else:
+        if not isinstance(row, Mapping):
+            if not spec.key:
+                raise ValueError("the table has no key; give column values or a condition")
+            row = dict(zip(spec.key, row, strict=True))
+        one = df
+        for column, value in row.items():
+            one = one.filter(F.col(column).eqNullSafe(F.lit(value)))
     explained = contributions(model, one, spec, background if background is not None else df)
     return explained.orderBy(F.desc(F.abs("contribution")), "feature")
 

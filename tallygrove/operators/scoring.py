@@ -61,12 +61,14 @@ def score_table(
 ) -> DataFrame:
     """The table a scoring job writes.
 
-    ``form='ml'``: the keys, then rawPrediction, probability, prediction and prob.
+    ``form='ml'``: the keys, then rawPrediction, probability, prediction and prob; a table without a
+    key has all input columns instead, so that a score can be told to its row.
     ``form='classes'``: predicted class, p0 and p1, then every input column.
     """
     scored = model.transform(df)
     if form == "ml":
-        return positive_probability(scored).select(*keys, *SCORE_COLUMNS)
+        told = list(keys) or [c for c in df.columns if c not in SCORE_COLUMNS]
+        return positive_probability(scored).select(*told, *SCORE_COLUMNS)
     if form != "classes":
         raise ValueError("form must be 'ml' or 'classes'")
     require_probability(scored)

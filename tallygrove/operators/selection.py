@@ -18,13 +18,13 @@ from statistics import fmean, pstdev
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
-    TREES,
     held,
     make_estimator,
+    needs_non_negative,
     score_column,
 )
 from tallygrove.operators.evaluate import area_under_roc, metric_name, performance
@@ -54,6 +54,8 @@ class Trial:
     candidate: Candidate
     models: list[PipelineModel]
     metrics: list[float]
+    errors: list[float]
+    losses: list[float | None]
 
     @property
     def mean(self) -> float:
@@ -100,7 +102,7 @@ def search_candidates(
         "decision_tree": {"maxDepth": (3, 5, 7, 10)},
         "logistic_regression": {"regParam": (0.0, 0.01, 0.1), "elasticNetParam": (0.0, 0.5)},
         "linear_svm": {"regParam": (0.0, 0.01, 0.1)},
-        "naive_bayes": {"smoothing": (0.5, 1.0, 2.0)},
+        "naive_bayes": {"smoothing": (0.25, 0.5, 1.0, 2.0, 4.0)},
     }
     draw = random.Random(seed)
     queues = []
@@ -143,19 +145,28 @@ def _trials(
 ) -> Iterator[Trial]:
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
 
-    def one_fold(pair: tuple[Candidate, int]) -> tuple[PipelineModel, float]:
+    def one_fold(pair: tuple[Candidate, int]) -> tuple[PipelineModel, float, Row]:
         candidate, fold = pair
         estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label)
         rest = features[fold].transform(data.filter(F.col(FOLD) != fold))
         model = with_estimator(features[fold], estimator.fit(rest))
         scored = model.transform(data.filter(F.col(FOLD) == fold))
-        return model, area_under_roc(scored, score_column(candidate.algorithm), spec.label)
+        auc = area_under_roc(scored, score_column(candidate.algorithm), spec.label)
+        return model, auc, performance(scored, spec.label).first()
 
     pairs = list(product(candidates, range(len(features))))
     results = _at_once(data.sparkSession, parallelism, one_fold, pairs)
     for number, candidate in enumerate(candidates, start=first):
         done = [next(results) for _ in features]
-        yield Trial(number, candidate, [m for m, _ in done], [metric for _, metric in done])
+        models, areas, seen = zip(*done)
+        yield Trial(
+            number,
+            candidate,
+            list(models),
+            list(areas),
+            [row["mean_per_class_error"] for row in seen],
+            [row.asDict().get("log_loss") for row in seen],
+        )
     results.close()
 
 
@@ -171,7 +182,7 @@ def search(
     seed: int = 42,
     parallelism: int = 8,
     max_runtime_secs: float | None = None,
-    balance: bool | None = None,
+    balance: bool = False,
     report: Callable[[DataFrame, SearchResult], None] | None = None,
 ) -> SearchResult:
     """Cross-validate the candidates and fit the best one on all rows.
@@ -186,8 +197,6 @@ def search(
     if not candidates:
         raise ValueError("no candidates to search")
     started = time.monotonic()
-    if balance is None:
-        balance = any(c.algorithm in TREES for c in candidates)
     folded = assign_fold(df, spec.key, folds, seed, FOLD)
     trials: list[Trial] = []
     skipped: list[Candidate] = []
@@ -200,7 +209,8 @@ def search(
                 other.models = []
 
     with held(folded, spec, FOLD, balance=balance) as data:
-        check_inputs(data, spec, any(c.algorithm == "naive_bayes" for c in candidates))
+        made = [make_estimator(c.algorithm, c.params, seed, spec.label) for c in candidates]
+        check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
         rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
         *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
@@ -297,14 +307,32 @@ def fold_metrics(result: SearchResult) -> DataFrame:
 
 
 def leaderboard(result: SearchResult) -> DataFrame:
-    """Candidates from best to worst, ties by the order tried."""
+    """Candidates from best to worst, ties by the order tried; then those that the budget left out.
+
+    Metrics are means over the folds. Models without a probability have no log loss.
+    """
+
+    def mean(values: Sequence[float | None]) -> float | None:
+        known = [v for v in values if v is not None]
+        return fmean(known) if known else None
+
+    tried = [
+        (
+            rank, t.number, t.candidate.algorithm, t.candidate.settings(),
+            t.mean, mean(t.losses), mean(t.errors), "done",
+        )
+        for rank, t in enumerate(result.ranked(), start=1)
+    ]
+    first = len(tried)
+    skipped = [
+        (None, number, c.algorithm, c.settings(), None, None, None, "skipped")
+        for number, c in enumerate(result.skipped, start=first)
+    ]
     return result.spark.createDataFrame(
-        [
-            (rank, t.number, t.candidate.algorithm, t.candidate.settings(), t.mean)
-            for rank, t in enumerate(result.ranked(), start=1)
-        ],
-        "rank INT, candidate INT, algorithm STRING, params STRING, auc DOUBLE",
-    ).orderBy("rank")
+        tried + skipped,
+        "rank INT, candidate INT, algorithm STRING, params STRING, auc DOUBLE, log_loss DOUBLE, "
+        "mean_per_class_error DOUBLE, status STRING",
+    ).orderBy(F.col("rank").asc_nulls_last(), "candidate")
 
 
 def leader(result: SearchResult) -> PipelineModel:
@@ -342,17 +370,21 @@ def compare(
     are fitted once.
     """
     rows = []
-    with held(parts["train"], spec, balance=any(a in TREES for a in algorithms)) as data:
-        check_inputs(data, spec, "naive_bayes" in algorithms)
+    with held(parts["train"], spec) as data:
+        made = {a: make_estimator(a, (params or {}).get(a), seed, spec.label) for a in algorithms}
+        check_inputs(data, spec, any(map(needs_non_negative, made.values())))
         features = feature_pipeline(spec).fit(data)
         ready = features.transform(data)
-        for algorithm in algorithms:
-            estimator = make_estimator(algorithm, (params or {}).get(algorithm), seed, spec.label)
-            model = with_estimator(features, estimator.fit(ready))
-            for name, part in parts.items():
-                if name == "train":
-                    continue
-                scored = model.transform(part)
+        models = {
+            a: with_estimator(features, estimator.fit(ready)) for a, estimator in made.items()
+        }
+    for name, part in parts.items():
+        if name == "train":
+            continue
+        # Each part is read once; the metrics of all models come from the cached rows.
+        with held(part, spec) as judged:
+            for algorithm, model in models.items():
+                scored = model.transform(judged)
                 auc = area_under_roc(scored, score_column(algorithm), spec.label)
                 seen = performance(scored, spec.label).first()
                 rows.append((algorithm, name, auc, seen["accuracy"], seen["mean_per_class_error"]))

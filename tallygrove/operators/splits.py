@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import by_class, hash_below, hash_modulo, key_hash
-
-MAX_CLASSES = 1_000
+from tallygrove.sources.scratch import saved_table
 
 
 def _digest(df: DataFrame, key: Sequence[str], seed: int) -> Column:
@@ -51,6 +50,8 @@ def assign_part(
         cuts.append(total)
     if total > 1.0 + 1e-9:
         raise ValueError("the ratios add up to more than 1")
+    if cuts and total > 1.0 - 1e-9:
+        cuts[-1] = 1.0  # the sum of the ratios may miss 1 by a rounding error
     part = F.lit(len(cuts))
     for number in range(len(cuts) - 1, -1, -1):
         part = F.when(hash_below(digest, cuts[number]), F.lit(number)).otherwise(part)
@@ -95,40 +96,47 @@ def stratified_split(
 
     Ranking a class would sort it in one task. Instead the cut is found by hash prefix: count the
     rows per class and prefix (at most 65,536 prefixes a class), walk to the prefix that holds the
-    cut, and look closer only at the rows inside it. The split itself is then a plain filter.
+    cut, and look closer only at the rows inside it. The cuts are a table with a row per class, however
+    many there are, and the split joins it. Rows without a class are among the others.
     """
     digest = _digest(df, key, seed)
     cuts = _hash_cuts(df.select(F.col(label).alias("_class"), digest.alias("_hash")), frac)
-    inside = by_class(
-        label, {value: digest <= F.lit(cut) for value, cut in cuts.items()}, F.lit(False)
+    joined = df.join(cuts, df[label] == cuts["_class"], "left")
+    inside = F.coalesce(digest <= cuts["_prefix"], F.lit(False))
+    return (
+        joined.filter(inside).select(*(df[c] for c in df.columns)),
+        joined.filter(~inside).select(*(df[c] for c in df.columns)),
     )
-    return df.filter(inside), df.filter(~inside)
 
 
-def _hash_cuts(hashed: DataFrame, frac: float) -> dict[object, str]:
-    """The largest hash to take from each class so that its share of rows is taken."""
+def _hash_cuts(hashed: DataFrame, frac: float) -> DataFrame:
+    """(class, prefix): the largest hash to take from each class so that its share of rows is taken."""
     counts = _by_prefix(hashed.filter(F.col("_class").isNotNull()), 4)
     whole = Window.partitionBy("_class")
     need = F.floor(F.lit(frac) * F.sum("_n").over(whole))
-    cuts = _cut_rows(counts.withColumn("_need", need))
-    if not cuts:
-        return {}
-    near = hashed.filter(
-        by_class(
-            "_class",
-            {value: F.substring("_hash", 1, 4) == F.lit(cut[0]) for value, cut in cuts.items()},
-            F.lit(False),
-        )
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    cuts = _kept(_cut_rows(counts.withColumn("_need", need)))
+    held = _within(hashed, cuts, 4).persist(StorageLevel.MEMORY_AND_DISK)
+    near = held
     try:
         for digits in (8, 32):
-            within = {v: F.col("_hash").startswith(F.lit(p)) for v, (p, _) in cuts.items()}
-            left = {v: F.lit(n) for v, (_, n) in cuts.items()}
-            counts = _by_prefix(near.filter(by_class("_class", within, F.lit(False))), digits)
-            cuts = _cut_rows(counts.withColumn("_need", by_class("_class", left, F.lit(0))))
+            need = cuts.select("_class", F.col("_take").alias("_need"))
+            cuts = _kept(_cut_rows(_by_prefix(near, digits).join(need, "_class")))
+            near = _within(near, cuts, digits)
     finally:
-        near.unpersist()
-    return {value: prefix for value, (prefix, _) in cuts.items()}
+        held.unpersist()
+    return cuts.select("_class", "_prefix")
+
+
+def _kept(cuts: DataFrame) -> DataFrame:
+    """A row per class, computed once; its size then tells Spark how to join it."""
+    return saved_table(cuts, "cuts")
+
+
+def _within(hashed: DataFrame, cuts: DataFrame, digits: int) -> DataFrame:
+    """The rows that share the cut's prefix."""
+    own = cuts.select("_class", F.col("_prefix").alias("_cut"))
+    joined = hashed.join(own, "_class")
+    return joined.filter(F.substring("_hash", 1, digits) == F.col("_cut")).select("_class", "_hash")
 
 
 def _by_prefix(hashed: DataFrame, digits: int) -> DataFrame:
@@ -141,15 +149,9 @@ def _by_prefix(hashed: DataFrame, digits: int) -> DataFrame:
     )
 
 
-def _cut_rows(counts: DataFrame) -> dict[object, tuple[str, int]]:
+def _cut_rows(counts: DataFrame) -> DataFrame:
     """Per class, the prefix that holds row number ``_need``, and how many of its rows to take."""
     before = F.col("_upto") - F.col("_n")
-    found = (
-        counts.filter((before < F.col("_need")) & (F.col("_need") <= F.col("_upto")))
-        .select("_class", "_prefix", (F.col("_need") - before).alias("_take"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
+    return counts.filter((before < F.col("_need")) & (F.col("_need") <= F.col("_upto"))).select(
+        "_class", "_prefix", (F.col("_need") - before).alias("_take")
     )
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"the label has more than {MAX_CLASSES} classes")
-    return {row["_class"]: (row["_prefix"], row["_take"]) for row in found}

@@ -31,12 +31,15 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class JobReport:
-    """What a training job found. Tables may be lazy; ``auc`` is on the held-out rows."""
+    """What a training job found. Tables may be lazy.
+
+    ``auc`` is on the held-out rows, for a search on those that each fold's model did not see.
+    """
 
     model: PipelineModel
     model_path: str
     counts: DataFrame
-    auc: float | None
+    auc: float
     importance: DataFrame | None = None
     search: SearchResult | None = None
     performance: DataFrame | None = None
@@ -121,7 +124,8 @@ def automl_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str
         held_out = held_out_predictions(rows, found.best.models)
         parts = {"train": found.leader.transform(rows), "cv": held_out}
         tables["counts"] = _now(label_distribution(rows, label))
-        tables["performance"] = _now(performance_bundle(parts, label))
+        kind = score_column(found.best.candidate.algorithm)
+        tables["performance"] = _now(performance_bundle(parts, label, kind))
         if "probability" in held_out.columns:
             tables["fold_metrics"] = _now(cv_metrics_summary(held_out, label))
 
@@ -135,11 +139,12 @@ def automl_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str
     for left_out in found.skipped:
         log.warning("no time left for %s", left_out)
     trees = hasattr(stored.stages[-1], "featureImportances")
+    by_part = {row["part"]: row["auc"] for row in tables["performance"].collect()}
     return JobReport(
         stored,
         target,
         tables["counts"],
-        None,
+        by_part["cv"],
         feature_importance(stored, df) if trees else None,
         found,
         tables["performance"],

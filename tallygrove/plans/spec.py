@@ -31,8 +31,8 @@ class TableSpec:
     """What each column of a table is for.
 
     ``key`` names the columns that identify a row; hash splits use all columns when it is empty.
-    ``max_categories`` bounds the number of distinct values of a categorical column, because the
-    fitted index of a column is held on the driver and in every task.
+    ``max_categories`` refuses categorical columns with more distinct values; the fitted index of a
+    column is held on the driver and in every task. Without it there is no such limit.
     """
 
     categorical: tuple[str, ...]
@@ -48,7 +48,7 @@ class TableSpec:
     dropped: tuple[str, ...] = ()
     header: bool = False
     separator: str = ","
-    max_categories: int = 10_000
+    max_categories: int | None = None
 
     def using(self, **changes) -> "TableSpec":
         return replace(self, **changes)
@@ -67,10 +67,16 @@ CENSUS = TableSpec(
 
 @dataclass(frozen=True)
 class JobSpec:
-    """Parameters of a training or scoring job; every one of them reaches Spark."""
+    """Parameters of a training or scoring job.
+
+    ``max_depth``, ``learning_rate`` and ``params`` set the algorithm of a training or tuning job, and
+    ``grid`` what tuning varies. A search tries its own candidates of ``algorithms`` and reads the last
+    four of the parameters below.
+    """
 
     table: TableSpec
     algorithm: str = "random_forest"
+    # Rate, seed, folds, models, seconds and the leader's name.
     train_rate: float = 0.8
     seed: int = 42
     max_depth: int | None = None

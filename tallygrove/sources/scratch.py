@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import SparkSession
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tallygrove-")
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the session's ``spark.checkpoint.dir``.
+    """A new path below the session's ``spark.checkpoint.dir``, or else below its warehouse.
 
-    Only a local session, whose executors share the driver's disk, may fall back to a temporary
-    folder. On a cluster the setting has to be there.
+    Both are folders that Spark itself shares between driver and executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new scratch path and read back, so that its size is known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch files through Spark's own file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)

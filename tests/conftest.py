@@ -9,14 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 SMALL = "/root/testdata/sf0.001"
 
 
-def pytest_addoption(parser):
-    parser.addoption(
-        "--all-queries",
-        action="store_true",
-        help="compare every registered query with its SQL, also the slow ones",
-    )
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

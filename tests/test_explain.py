@@ -65,20 +65,95 @@ def test_exact_shapley_against_all_orders(spark, boosted):
     assert got[row["o_orderkey"]] == pytest.approx(want, abs=1e-9)
 
 
-@pytest.mark.parametrize("draws", [None, 1, 5])
-def test_shapley_values_add_up(spark, boosted, draws):
+WIDE = ORDER_SPEC.using(
+    categorical=("o_orderstatus", "o_orderpriority", "c_mktsegment", "weekday"),
+    numeric=("n_lines", "sum_qty", "digit", "half"),
+)
+
+
+def widened(df):
+    return df.withColumns(
+        {
+            "weekday": F.concat(F.lit("d"), (F.col("o_orderkey") % 7).cast("string")),
+            "digit": F.col("o_orderkey") % 10,
+            "half": F.when(F.col("o_orderkey") % 3 > 0, F.col("sum_qty") / 2),
+        }
+    )
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join"), (
+        df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    )
+
+
+def base_output(spark, model, df, spec):
+    point = explain.reference_row(model, df)
+    columns = [*spec.categorical, *spec.numeric]
+    schema = df.select("o_orderkey", *columns).schema
+    row = spark.createDataFrame([(0, *(point[c] for c in columns))], schema)
+    return output_of(model, row)[0]
+
+
+@pytest.mark.parametrize(
+    "algorithm, params",
+    [
+        ("decision_tree", {"maxDepth": 6}),
+        ("random_forest", {"numTrees": 7}),
+        ("gbt", {"maxIter": 6, "maxDepth": 4}),
+    ],
+)
+def test_tree_contributions_of_a_wide_table_add_up(spark, orders, algorithm, params):
+    inside, outside = hash_split(widened(orders), WIDE.key)
+    model = train(inside, WIDE, algorithm, params)
+    # A value that training did not see, and nulls.
+    odd = outside.withColumns(
+        {"weekday": F.when(F.col("o_orderkey") % 5 > 0, F.lit("never")), "n_lines": F.lit(None).cast("int")}
+    )
+    for rows in (outside, odd):
+        explained = explain.contributions(model, rows, WIDE)
+        assert exchanges(explained) == exchanges(rows)
+        got, outputs = by_key(explained), output_of(model, rows)
+        base = base_output(spark, model, rows, WIDE)
+        assert got.keys() == outputs.keys()
+        for key, parts in got.items():
+            assert len(parts) == 8
+            assert sum(parts.values()) == pytest.approx(outputs[key] - base, abs=1e-9)
+
+
+def test_rows_without_a_key_or_with_a_repeated_one(boosted):
     model, outside = boosted
-    got = by_key(explain.shapley_contributions(model, outside, SPEC, draws))
-    outputs = output_of(model, outside)
-    point = explain.reference_row(model, outside)
-    columns = [*SPEC.categorical, *SPEC.numeric]
-    base_row = spark.createDataFrame(
-        [(0, *(point[c] for c in columns))], outside.select("o_orderkey", *columns).schema
+    n = outside.count()
+    keyless = explain.contributions(model, outside, SPEC.using(key=()))
+    assert keyless.count() == 3 * n and keyless.columns == ["feature", "contribution"]
+    one = by_key(explain.contributions(model, outside, SPEC))
+    twice = explain.contributions(model, outside.unionAll(outside), SPEC).collect()
+    assert len(twice) == 6 * n
+    assert all(r["contribution"] == one[r["o_orderkey"]][r["feature"]] for r in twice)
+    with pytest.raises(ValueError):
+        explain.explain_row(model, outside, SPEC.using(key=()), (1,))
+    row = outside.filter("n_lines is not null").first()
+    chosen = {c: row[c] for c in ("o_orderkey", "n_lines")}
+    by_values = explain.explain_row(model, outside, SPEC.using(key=()), chosen)
+    by_condition = explain.explain_row(
+        model, outside, SPEC.using(key=()), F.col("o_orderkey") == row["o_orderkey"]
     )
-    base = output_of(model, base_row)[0]
-    assert got.keys() == outputs.keys()
-    for key, parts in got.items():
-        assert sum(parts.values()) == pytest.approx(outputs[key] - base, abs=1e-9)
+    assert by_values.collect() == by_condition.collect()
+    assert by_values.count() == 3
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "bernoulli", "complement"])
+def test_naive_bayes_kinds_add_up(orders, kind):
+    spec = ORDER_SPEC.using(numeric=()) if kind == "bernoulli" else ORDER_SPEC
+    frame = orders.withColumn("n_lines", F.col("n_lines") - 4) if kind == "gaussian" else orders
+    inside, outside = hash_split(frame, spec.key)
+    model = train(inside, spec, "naive_bayes", {"modelType": kind})
+    got = by_key(explain.contributions(model, outside, spec))
+    margin = class_score("rawPrediction") - class_score("rawPrediction", 0)
+    rows = model.transform(outside).select("o_orderkey", margin.alias("m")).collect()
+    mean = sum(r["m"] for r in rows) / len(rows)
+    for r in rows:
+        assert sum(got[r["o_orderkey"]].values()) == pytest.approx(r["m"] - mean, rel=1e-6, abs=1e-6)
 
 
 @pytest.mark.parametrize("algorithm", ["naive_bayes", "logistic_regression", "linear_svm"])

@@ -89,11 +89,13 @@ def test_scoring_stays_in_the_jvm(scored):
     assert "Python" not in plan and "Exchange" not in plan.split("InMemoryRelation")[0]
 
 
-@pytest.mark.parametrize("ranges", [1, 7, 1000])
-def test_grouped_area_equals_the_evaluator(scored, ranges):
+@pytest.mark.parametrize("quantiles, per_range", [(1, 1_000), (7, 5), (1_000, 100_000)])
+def test_grouped_area_equals_the_evaluator(scored, monkeypatch, quantiles, per_range):
+    monkeypatch.setattr(evaluate, "SCORE_QUANTILES", quantiles)
+    monkeypatch.setattr(evaluate, "SCORES_PER_RANGE", per_range)
     *_, table = scored
     points = evaluate.score_points(table, evaluate.positive_score(table))
-    curve = evaluate.score_curve(points, ranges=ranges)
+    curve = evaluate.score_curve(points, per_range=per_range)
     last = curve.orderBy("score").first()
     assert (last["tp"], last["fp"]) == (last["n_pos"], last["n_neg"])
     groups = evaluate.area_by_group(table, ["o_orderstatus"]).collect()
@@ -169,6 +171,9 @@ def test_search_respects_the_clock_and_sorts(orders):
     candidates = [selection.Candidate("naive_bayes", {"smoothing": s}) for s in (4.0, 1.0, 0.5)]
     found = selection.search(orders, ORDER_SPEC, candidates, folds=2, max_runtime_secs=0.0)
     assert len(found.trials) == 1 and found.skipped == candidates[1:]
+    short = selection.leaderboard(found).collect()
+    assert [(r["rank"], r["status"]) for r in short] == [(1, "done"), (None, "skipped"), (None, "skipped")]
+    assert [r["candidate"] for r in short] == [0, 1, 2]
     everything = selection.search(orders, ORDER_SPEC, candidates, folds=2)
     board = selection.leaderboard(everything).collect()
     assert [r["rank"] for r in board] == [1, 2, 3]

@@ -6,14 +6,6 @@ import __spark_entry__ as contract
 from check_oracles import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
-# Queries that train many models; compared with --all-queries.
-SLOW = {
-    "auto_search", "auto_search_naive_bayes", "automl_job", "automl_job_naive_bayes", "best_params", "compare", "cross_validate", "cv_metrics_summary",
-    "cv_summary", "gbt", "leader_params", "leader_round_trip", "leaderboard", "linear_svm",
-    "oof_predictions", "param_grid", "performance_bundle", "random_forest", "svm_area_under_roc",
-    "tune_job", "tune_job_naive_bayes", "forest_importance", "sampled_contributions",
-}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -22,7 +14,6 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert SLOW <= set(contract.queries())
 
 
 def test_entry_has_rows(spark):
@@ -32,8 +23,6 @@ def test_entry_has_rows(spark):
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_query(spark, duck, request, name):
-    if name in SLOW and not request.config.getoption("--all-queries"):
-        pytest.skip("trains many models; run with --all-queries")
+def test_query(spark, duck, name):
     fn, sql = contract.queries()[name], contract.oracle_sql().get(name)
     assert compare(spark, duck, SMALL, name, fn, sql) == ""

@@ -79,3 +79,24 @@ def test_stratified_split_keeps_copies_of_a_key_together(spark):
     assert inside.count() + outside.count() == 900
     both = inside.select("k", "label").intersect(outside.select("k", "label"))
     assert both.count() == 0
+
+
+def test_ratios_that_miss_one_by_rounding_leave_nothing_over(orders):
+    numbered = splits.assign_part(orders, KEY, [0.7, 0.2, 0.1], 42)
+    plan = numbered._jdf.queryExecution().analyzed().toString()
+    assert "ffffffff" not in plan
+    assert {r["part"] for r in numbered.select("part").distinct().collect()} == {0, 1, 2}
+    assert splits.hash_split_n(orders, KEY, [0.7, 0.2, 0.1])[3].count() == 0
+
+
+def test_stratified_split_of_many_classes(spark):
+    df = spark.range(60_000).select(
+        F.col("id").alias("k"), (F.col("id") % 5_000).alias("c"), F.lit("x").alias("_class")
+    )
+    df = df.unionAll(spark.createDataFrame([(-1, None, "y")], df.schema))
+    inside, outside = splits.stratified_split(df, "c", ("k",), 0.3, 3)
+    order = Window.partitionBy("c").orderBy(key_hash(("k",), 3))
+    wanted = df.filter("c is not null").withColumn("r", F.row_number().over(order)).filter("r <= floor(0.3 * 12)")
+    assert inside.columns == df.columns
+    assert {r["k"] for r in inside.collect()} == {r["k"] for r in wanted.collect()}
+    assert inside.count() + outside.count() == 60_001
