@@ -356,8 +356,8 @@ def _summary(column: str) -> str:
     return (
         f"SELECT '{column}' AS \"column\", count({column}) AS n, round(avg({column}), 4) AS mean, "
         f"round(stddev_samp({column}), 4) AS stddev, round(min({column})::DOUBLE, 4) AS min, "
-        f"round(max({column})::DOUBLE, 4) AS max, {quantile(0.25)} AS p25, "
-        f"{quantile(0.5)} AS p50, {quantile(0.75)} AS p75 FROM lineitem"
+        f"round(max({column})::DOUBLE, 4) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text, "
+        f"{quantile(0.25)} AS p25, {quantile(0.5)} AS p50, {quantile(0.75)} AS p75 FROM lineitem"
     )
 
 
@@ -501,7 +501,10 @@ ORACLES: dict[str, str] = {
     ),
     "summary_table": "\nUNION ALL ".join(
         _summary(c) for c in ("l_quantity", "l_extendedprice", "l_partkey")
-    ),
+    )
+    + """
+UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, NULL, NULL, min(l_returnflag),
+       max(l_returnflag), NULL, NULL, NULL FROM lineitem""",
     "impute_mean": with_profile(
         "SELECT o_orderkey, CAST(lines_filled AS INTEGER) AS \"n_lines_IMPUTED\", "
         "round(qty_filled, 6) AS \"sum_qty_IMPUTED\" FROM filled",

@@ -334,9 +334,12 @@ def describe_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def summary_table(spark: SparkSession, sf: str) -> DataFrame:
-    lines = load(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_partkey")
+    lines = load(spark, sf, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_partkey", "l_returnflag"
+    )
     table = profile.summary_table(lines)
-    return table.select("column", "n", *(_r(c, 4).alias(c) for c in table.columns[2:]))
+    texts = ("column", "n", "min_text", "max_text")
+    return table.select(*texts, *(_r(c, 4).alias(c) for c in table.columns if c not in texts))
 
 
 # --- feature pipeline --------------------------------------------------------------------------

@@ -88,17 +88,17 @@ def summary_table(
     exact: bool = True,
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """``describe_table`` of the numeric columns plus quantiles, one row per column.
+    """``describe_table`` plus quantiles, one row per numeric or text column; text has no quantile.
 
     A quantile is the smallest value with at least that share of the non-null rows at or below it.
     The approximate form takes it from one sketch per column. The exact form starts from the
     sketches' error bounds and closes in on the value, see ``exact_quantiles``.
     """
     numeric = _numeric(df)
-    base = describe_table(df.select(*numeric)).drop("min_text", "max_text")
+    base = describe_table(df.select(*(c for c in df.columns if c in {*numeric, *_text(df)})))
     names = [f"p{round(share * 100)}" for share in shares]
     if exact:
-        return base.join(exact_quantiles(df, numeric, shares, names, accuracy), "column")
+        return base.join(exact_quantiles(df, numeric, shares, names, accuracy), "column", "left")
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -110,7 +110,7 @@ def summary_table(
         for c in numeric
     ]
     sketched = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    return base.join(sketched, "column")
+    return base.join(sketched, "column", "left")
 
 
 @dataclass

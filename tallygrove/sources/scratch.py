@@ -23,11 +23,3 @@ def saved_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch files through Spark's own file system."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
