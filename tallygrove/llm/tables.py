@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.sources.scratch import scratch_path
+from tallygrove.sources.scratch import saved_table, scratch_path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read back with known size."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return saved_table(df, name)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts are handled in runs of about this many characters, so temporary arrays stay small.
-RUN_CHARS = 1_000_000
+RUN_CHARS = 250_000
 # Blanks after every text, so that no n-gram reaches into the next one.
 GAP = 4
 
@@ -148,7 +148,7 @@ def crc_remainder(key: str | Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string") if isinstance(key, str) else key), modulus)
 
 
-def bounded_batches(df: DataFrame, most: int = 16 << 20) -> None:
+def bounded_batches(df: DataFrame, most: int = 8 << 20) -> None:
     """Let no Arrow batch of the session grow beyond ``most`` bytes of text."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(str(conf.get(name)).rstrip("bB")) > most:
