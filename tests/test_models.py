@@ -5,7 +5,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tallygrove.operators import evaluate, scoring, selection
-from tallygrove.operators.classifiers import CLASSIFIERS, make_estimator, score_column, train
+from tallygrove.operators.classifiers import CLASSIFIERS, held, make_estimator, score_column, train
 from tallygrove.operators.features import build_pipeline
 from tallygrove.operators.splits import assign_fold, hash_split
 from tallygrove.plans.fixtures import ORDER_SPEC
@@ -195,3 +195,12 @@ def test_out_of_fold_rows_are_all_there_once(orders):
     found = selection.cross_validate(orders, ORDER_SPEC, "naive_bayes", folds=3)
     held_out = selection.oof_predictions(orders, ORDER_SPEC, found.best.models)
     assert held_out.count() == orders.count() == held_out.select("o_orderkey").distinct().count()
+
+
+def test_training_rows_are_not_shuffled(spark, orders, tmp_path):
+    orders.write.parquet(f"{tmp_path}/orders")
+    stored = spark.read.parquet(f"{tmp_path}/orders")
+    for balance in (False, True):
+        with held(stored, ORDER_SPEC, balance=balance) as data:
+            plan = data._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange" in plan) == balance
