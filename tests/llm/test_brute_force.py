@@ -15,7 +15,6 @@ from tallygrove.llm import (
     components,
     decontaminate,
     html_render,
-    language_id,
     license_scan,
     line_crf,
     line_dedup,
