@@ -69,16 +69,23 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
         F.coalesce(F.sum("_weight").over(earlier), F.lit(0)).alias("_passed"),
         F.sum("_weight").over(family).alias("_all"),
     )
-    left = F.col("_budget") - F.col("_given")
+    # Tokens times weights may be too large for a long.
+    tokens = {c: F.col(c).cast("decimal(24,0)") for c in ("_most", "_budget", "_given")}
+    weight = {c: F.col(c).cast("decimal(13,0)") for c in ("_all", "_passed", "_weight")}
     full = seen.withColumn(
-        "_full", F.col("_most") * (F.col("_all") - F.col("_passed")) <= left * F.col("_weight")
+        "_full",
+        tokens["_most"] * (weight["_all"] - weight["_passed"])
+        <= (tokens["_budget"] - tokens["_given"]) * weight["_weight"],
     )
     filled = full.select(
         "*",
         F.coalesce(F.sum(F.when(F.col("_full"), F.col("_most"))).over(family), F.lit(0)).alias("_used"),
         F.coalesce(F.sum(F.when(F.col("_full"), F.col("_weight"))).over(family), F.lit(0)).alias("_done"),
     )
-    rest = F.expr("(_budget - _used) * _weight div nullif(_all - _done, 0)")
+    rest = F.expr(
+        "cast(_budget - _used as decimal(24,0)) * cast(_weight as decimal(13,0)) "
+        "div nullif(cast(_all - _done as decimal(13,0)), 0)"
+    )
     share = F.when(F.col("_full"), F.col("_most")).otherwise(rest)
     return filled.select(*children.columns, share.alias("_share"))
 

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import base64
 import numpy as np
+import pandas as pd
 import pytest
 import tiktoken
 import xxhash
@@ -359,6 +360,13 @@ def test_mixing(spark, epochs, share):
             left -= take
 
 
+def test_shares_of_huge_budgets(spark):
+    rows = [(1, f"s{i}", (i + 1) * 10**14, 10**6 + i, 9 * 10**14) for i in range(6)]
+    df = spark.createDataFrame(rows, "p INT, name STRING, _most LONG, _weight LONG, _budget LONG")
+    got = {r["name"]: r["_share"] for r in mixing.share_out(df, ["p"], "name").collect()}
+    assert got == naive_shares(9 * 10**14, {r[1]: (r[2], r[3]) for r in rows})
+
+
 def test_mixed_documents(spark):
     docs = table(spark, MEDIUM, "documents")
     taken = mixing.selection(docs, 0.5, queries.TARGET).collect()
@@ -500,3 +508,19 @@ def test_every_visible_word_is_kept(spark):
 def test_saved_tables_keep_rows(spark):
     df = spark.createDataFrame([(1, None), (None, "x")], "a LONG, b STRING")
     assert sorted(map(str, saved(df, "t").collect())) == sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("named, size", [(100_000, 7), (100_000, 1), (5, 3), (2, 50)])
+def test_shared_buckets_in_batches(monkeypatch, named, size):
+    monkeypatch.setattr(line_dedup, "NAMED", named)
+    rng = random.Random(6)
+    rows = sorted((rng.choice((-5, 3, 3, 3, 9, rng.randrange(100))), rng.getrandbits(60), 20) for _ in range(90))
+    frame = pd.DataFrame(rows, columns=["bucket", "h1", "chars"])
+    parts = [frame[i : i + size] for i in range(0, len(frame), size)]
+    got = pd.concat(line_dedup._shared(iter(parts)))
+    by_bucket, by_name = defaultdict(set), defaultdict(set)
+    for bucket, h1, _ in rows:
+        by_bucket[bucket].add(h1)
+    for bucket, h1 in zip(got["bucket"], got["h1"]):
+        by_name[bucket].add(h1)
+    assert sorted(map(sorted, by_name.values())) == sorted(sorted(m) for m in by_bucket.values() if len(m) > 1)
