@@ -28,7 +28,7 @@ from tallygrove.llm.components import star_forest
 from tallygrove.llm.tables import packed, row_key, saved
 from tallygrove.llm.text import bounded_batches, points, runs, whole
 
-SHINGLE = 8
+SHINGLE = 8  # a power of two
 BANDS, ROWS = 8, 4
 LEAST = 0.8
 BUCKET_LINES = 500
@@ -42,21 +42,18 @@ _FACTORS = np.array(
 def signatures(lines: list[str]) -> np.ndarray:
     """One 64-bit number per band for each line; the lines have at least ``SHINGLE`` characters."""
     p = points(lines)
-    h = np.zeros(len(p.codes), np.uint32)
-    factor = 0xC2B2AE35
-    for i in range(SHINGLE):
-        h[: len(p.codes) - i] += (p.codes[i:] ^ np.uint32(0x5BD1)) * np.uint32(factor)
-        factor = factor * 0x27D4EB2F & 0xFFFFFFFF
-    h ^= h >> np.uint32(16)
-    h *= np.uint32(0x85EBCA6B)
+    # Hashes of 2, 4 and 8 characters, each from two of the one before.
+    h, width = p.codes * np.uint32(0x85EBCA6B), 1
+    while width < SHINGLE:
+        h = h[: len(h) - width] * np.uint32(0xC2B2AE35) + h[width:]
+        h ^= h >> np.uint32(15)
+        width *= 2
+    h *= np.uint32(0x27D4EB2F)
     h ^= h >> np.uint32(13)
     edges = np.column_stack([p.begins, p.ends - SHINGLE + 1]).ravel()
     bands = np.zeros((len(lines), BANDS), np.uint64)
-    for i, salt in enumerate(_FACTORS):
-        # Turned by an exclusive or before the odd factor, so that the orders differ.
-        own = (h ^ (salt >> np.uint32(3))) * salt
-        own ^= own >> np.uint32(15)
-        least = np.minimum.reduceat(own, edges)[::2].astype(np.uint64)
+    for i, factor in enumerate(_FACTORS):
+        least = np.minimum.reduceat(h * factor, edges)[::2].astype(np.uint64)
         band = bands[:, i // ROWS]
         band ^= least + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
         band *= np.uint64(0xBF58476D1CE4E5B9)
@@ -64,10 +61,15 @@ def signatures(lines: list[str]) -> np.ndarray:
     return bands.view(np.int64)
 
 
+BAND_COLUMNS = [f"band{i}" for i in range(BANDS)]
+
+
 def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for run in runs(whole(batch["line"])):
-            yield pd.DataFrame({"line": run, "bands": list(signatures(run))})
+        found = [signatures(run) for run in runs(whole(batch["line"]))]
+        if found:
+            bands = pd.DataFrame(np.concatenate(found), columns=BAND_COLUMNS)
+            yield pd.concat([batch[["h1", "chars"]].reset_index(drop=True), bands], axis=1)
 
 
 def _lines(documents: DataFrame, *more: Column | str) -> DataFrame:
@@ -79,44 +81,54 @@ def _lines(documents: DataFrame, *more: Column | str) -> DataFrame:
     )
 
 
+def _members(bucket, h1: np.ndarray, chars: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"bucket": bucket, "h1": h1, "chars": chars})
+
+
+def _named(bucket: np.ndarray, h1: np.ndarray, chars: np.ndarray) -> pd.DataFrame:
+    """The rows of whole buckets with two or more lines, each bucket named by a hash of its members."""
+    begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    sizes = np.diff(np.append(begins, len(bucket)))
+    several = np.repeat(sizes > 1, sizes)
+    h1, chars, sizes = h1[several], chars[several], sizes[sizes > 1]
+    if not len(h1):
+        return _members(h1, h1, chars)
+    h = h1.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    names = np.add.reduceat(h, np.cumsum(sizes) - sizes).view(np.int64)
+    return _members(np.repeat(names, sizes), h1, chars)
+
+
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Members of buckets with two or more lines, named by a hash of all members.
 
-    Rows come sorted by bucket. Of a bucket at most ``NAMED`` rows are held; a larger one keeps the name
-    it has and is passed on in parts.
+    Rows come sorted by bucket, and the last bucket of a batch waits for the next one. If ``NAMED`` rows of
+    it wait, it keeps the name it has and is passed on in parts.
     """
-    bucket, held, whole_bucket = None, [], True
-
-    def frame(name: int) -> pd.DataFrame:
-        lines = pd.DataFrame(held, columns=["h1", "chars"], dtype=np.int64)
-        lines.insert(0, "bucket", np.int64(name))
-        return lines
-
-    def close():
-        if not whole_bucket:
-            if held:
-                yield frame(bucket)
-        elif len(held) > 1:
-            h = np.array([line for line, _ in held], np.int64).view(np.uint64)
-            h = h * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-            yield frame(int(h.sum(dtype=np.uint64).view(np.int64)))
-
+    names = ("bucket", "h1", "chars")
+    waiting, passed_on = [np.zeros(0, np.int64)] * 3, None
     for batch in batches:
-        out = []
-        for own, h1, chars in zip(*(batch[c].tolist() for c in ("bucket", "h1", "chars"))):
-            if own != bucket:
-                out += close()
-                bucket, held, whole_bucket = own, [], True
-            held.append((h1, chars))
-            if len(held) == NAMED:
-                out.append(frame(own))
-                held, whole_bucket = [], False
-        if out:
-            yield pd.concat(out, ignore_index=True)
-    yield from close()
+        rows = [np.concatenate([w, batch[c].to_numpy(np.int64)]) for w, c in zip(waiting, names)]
+        bucket = rows[0]
+        if passed_on is not None:
+            same = bucket == passed_on
+            yield _members(*(r[same] for r in rows))
+            rows = [r[~same] for r in rows]
+            bucket = rows[0]
+        if not len(bucket):
+            waiting = rows
+            continue
+        last = bucket == bucket[-1]
+        yield _named(*(r[~last] for r in rows))
+        waiting, passed_on = [r[last] for r in rows], None
+        if len(waiting[0]) >= NAMED:
+            yield _members(*waiting)
+            passed_on = bucket[-1]
+            waiting = [np.zeros(0, np.int64)] * 3
+    if len(waiting[0]):
+        yield _named(*waiting)
 
 
 def hashed_shingles(line: str) -> np.ndarray:
@@ -148,19 +160,28 @@ class _Bucket:
     def take(self, number: int, line: str, low: bool) -> Iterator[tuple[int, int]]:
         """A line is compared with each group until it is linked to it.
 
-        Between two parts only lines of different parts are compared.
+        Between two parts only lines of different parts are compared. A line that others link to comes
+        to the front of its group, so the original of many variants is compared with first.
         """
         own = hashed_shingles(line)
         joined, apart = [], []
         for group in self.groups:
-            others = ((n, s) for n, s, side in group if self.one_part or side != low)
-            near = next((n for n, s in others if _near(own, s)), None)
-            if near is None:
+            at = next(
+                (
+                    i
+                    for i, (_, other, side) in enumerate(group)
+                    if (self.one_part or side != low) and _near(own, other)
+                ),
+                None,
+            )
+            if at is None:
                 apart.append(group)
-            else:
-                yield number, near
-                joined += group
-        self.groups = [*apart, [*joined, (number, own, low)]]
+                continue
+            yield number, group[at][0]
+            group[0], group[at] = group[at], group[0]
+            joined = joined + group if joined else group
+        joined.append((number, own, low))
+        self.groups = [*apart, joined]
 
 
 def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,11 +200,11 @@ def near_links(documents: DataFrame) -> DataFrame:
     """(first, second): hashes of lines at least 0.8 similar, enough to connect all such lines."""
     bounded_batches(documents)
     long_lines = _lines(documents).filter(F.length("line") >= SHINGLE)
-    banded = long_lines.select("line").mapInPandas(_banded, "line STRING, bands ARRAY<LONG>")
-    single = banded.select(
-        F.xxhash64("line").alias("h1"), F.length("line").cast("long").alias("chars"), "bands"
-    ).dropDuplicates(["h1"])
-    buckets = single.select("h1", "chars", F.posexplode("bands").alias("band", "value")).select(
+    sized = long_lines.select("h1", F.length("line").cast("long").alias("chars"), "line")
+    kinds = ", ".join(f"{c} LONG" for c in ("h1", "chars", *BAND_COLUMNS))
+    single = sized.mapInPandas(_banded, kinds).dropDuplicates(["h1"])
+    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.col(c).alias("value")) for i, c in enumerate(BAND_COLUMNS)))
+    buckets = single.select("h1", "chars", F.inline(bands)).select(
         F.xxhash64("band", "value").alias("bucket"), "h1", "chars"
     )
     sorted_buckets = buckets.repartition("bucket").sortWithinPartitions("bucket", "h1")
