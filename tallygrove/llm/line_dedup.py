@@ -1,7 +1,9 @@
 """Fuzzy line dedup: MinHash of character shingles, banding, exact Jaccard, one line per component.
 
-Every line with at least ``SHINGLE`` characters gets a signature of ``BANDS * ROWS`` minima over its
-character shingles, computed where the text is read. Equal lines are brought together first. Lines that
+Every line with at least ``shingle`` characters gets a signature of ``BANDS * ROWS`` minima over its
+character shingles, computed where the text is read. One changed character touches as many shingles as
+a shingle has characters, so with long shingles short lines are never found after one edit: the query
+works on 5 characters, ``SHINGLE`` is what the functions take when nothing is said. Equal lines are brought together first. Lines that
 agree in a whole band share a bucket (at a similarity of 0.8 a pair shares one with a probability of
 98.5 %). Buckets with the same members are one. The texts of lines in shared buckets, and only those,
 are fetched, and within a bucket the exact Jaccard similarity of the shingle sets decides; a pair that
@@ -18,6 +20,7 @@ result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,7 @@ from tallygrove.llm.components import star_forest
 from tallygrove.llm.tables import packed, row_key, saved
 from tallygrove.llm.text import bounded_batches, points, runs, whole
 
-SHINGLE = 8  # a power of two
+SHINGLE = 8
 BANDS, ROWS = 8, 4
 LEAST = 0.8
 BUCKET_LINES = 500
@@ -39,18 +42,21 @@ _FACTORS = np.array(
 )
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """One 64-bit number per band for each line; the lines have at least ``SHINGLE`` characters."""
+def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
+    """One 64-bit number per band for each line; the lines have at least ``shingle`` characters."""
     p = points(lines)
-    # Hashes of 2, 4 and 8 characters, each from two of the one before.
-    h, width = p.codes * np.uint32(0x85EBCA6B), 1
-    while width < SHINGLE:
-        h = h[: len(h) - width] * np.uint32(0xC2B2AE35) + h[width:]
+    # Hashes of 2, 4, 8 ... characters, each from two of the one before; then one character at a time.
+    own = p.codes * np.uint32(0x85EBCA6B)
+    h, width = own, 1
+    while width < shingle:
+        step = width if 2 * width <= shingle else 1
+        more = h if step == width else own
+        h = h[: len(h) - step] * np.uint32(0xC2B2AE35) + more[width:]
         h ^= h >> np.uint32(15)
-        width *= 2
+        width += step
     h *= np.uint32(0x27D4EB2F)
     h ^= h >> np.uint32(13)
-    edges = np.column_stack([p.begins, p.ends - SHINGLE + 1]).ravel()
+    edges = np.column_stack([p.begins, p.ends - shingle + 1]).ravel()
     bands = np.zeros((len(lines), BANDS), np.uint64)
     for i, factor in enumerate(_FACTORS):
         least = np.minimum.reduceat(h * factor, edges)[::2].astype(np.uint64)
@@ -64,9 +70,9 @@ def signatures(lines: list[str]) -> np.ndarray:
 BAND_COLUMNS = [f"band{i}" for i in range(BANDS)]
 
 
-def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _banded(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [signatures(run) for run in runs(whole(batch["line"]))]
+        found = [signatures(run, shingle) for run in runs(whole(batch["line"]))]
         if found:
             bands = pd.DataFrame(np.concatenate(found), columns=BAND_COLUMNS)
             yield pd.concat([batch[["h1", "chars"]].reset_index(drop=True), bands], axis=1)
@@ -131,12 +137,12 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _named(*waiting)
 
 
-def hashed_shingles(line: str) -> np.ndarray:
+def hashed_shingles(line: str, shingle: int = SHINGLE) -> np.ndarray:
     """The line's shingles as sorted, distinct 64-bit hashes."""
     codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
-    for i in range(SHINGLE):
-        h += codes[i : len(codes) - SHINGLE + 1 + i]
+    h = np.zeros(len(codes) - shingle + 1, np.uint64)
+    for i in range(shingle):
+        h += codes[i : len(codes) - shingle + 1 + i]
         h *= np.uint64(0x5851F42D4C957F2D)
         h ^= h >> np.uint64(33)
     return np.unique(h)
@@ -153,8 +159,8 @@ def _near(a: np.ndarray, b: np.ndarray) -> bool:
 class _Bucket:
     """Links of one bucket, or between two parts of a large one, as a spanning forest."""
 
-    def __init__(self, one_part: bool):
-        self.one_part = one_part
+    def __init__(self, one_part: bool, shingle: int):
+        self.one_part, self.shingle = one_part, shingle
         self.groups: list[list[tuple[int, np.ndarray, bool]]] = []
 
     def take(self, number: int, line: str, low: bool) -> Iterator[tuple[int, int]]:
@@ -163,7 +169,7 @@ class _Bucket:
         Between two parts only lines of different parts are compared. A line that others link to comes
         to the front of its group, so the original of many variants is compared with first.
         """
-        own = hashed_shingles(line)
+        own = hashed_shingles(line, self.shingle)
         joined, apart = [], []
         for group in self.groups:
             at = next(
@@ -184,25 +190,25 @@ class _Bucket:
         self.groups = [*apart, joined]
 
 
-def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _links(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     current, bucket = None, None
     for batch in batches:
         out: list[tuple[int, int]] = []
         columns = (batch[c].tolist() for c in ("bucket", "low", "high", "own", "h1", "line"))
         for name, low, high, own, h1, line in zip(*columns):
             if (name, low, high) != current:
-                current, bucket = (name, low, high), _Bucket(low == high)
+                current, bucket = (name, low, high), _Bucket(low == high, shingle)
             out.extend(bucket.take(h1, line, own == low))
         yield pd.DataFrame(out, columns=["first", "second"], dtype=np.int64)
 
 
-def near_links(documents: DataFrame) -> DataFrame:
+def near_links(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(first, second): hashes of lines at least 0.8 similar, enough to connect all such lines."""
     bounded_batches(documents)
-    long_lines = _lines(documents).filter(F.length("line") >= SHINGLE)
+    long_lines = _lines(documents).filter(F.length("line") >= shingle)
     sized = long_lines.select("h1", F.length("line").cast("long").alias("chars"), "line")
     kinds = ", ".join(f"{c} LONG" for c in ("h1", "chars", *BAND_COLUMNS))
-    single = sized.mapInPandas(_banded, kinds).dropDuplicates(["h1"])
+    single = sized.mapInPandas(partial(_banded, shingle=shingle), kinds).dropDuplicates(["h1"])
     bands = F.array(*(F.struct(F.lit(i).alias("band"), F.col(c).alias("value")) for i, c in enumerate(BAND_COLUMNS)))
     buckets = single.select("h1", "chars", F.inline(bands)).select(
         F.xxhash64("band", "value").alias("bucket"), "h1", "chars"
@@ -233,13 +239,13 @@ def near_links(documents: DataFrame) -> DataFrame:
     texts = texts.join(members.select("h1").distinct(), "h1", "left_semi")
     unit = ("bucket", "low", "high")
     sorted_tasks = tasks.join(texts, "h1").repartition(*unit).sortWithinPartitions(*unit, "own", "h1")
-    return sorted_tasks.mapInPandas(_links, "first LONG, second LONG")
+    return sorted_tasks.mapInPandas(partial(_links, shingle=shingle), "first LONG, second LONG")
 
 
-def dropped_lines(documents: DataFrame) -> DataFrame:
+def dropped_lines(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(_key1, _key2, dropped): per row of ``documents`` the numbers of the lines that go, if any."""
     keys = row_key(documents.columns)
-    forest = star_forest(near_links(documents.select("text")), "first", "second")
+    forest = star_forest(near_links(documents.select("text"), shingle), "first", "second")
     own = F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key1", "_key2", F.col("line_no").alias("line")
     )
@@ -268,11 +274,11 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     ).agg(F.array_sort(F.collect_set("place.line")).alias("dropped"))
 
 
-def without_near_lines(documents: DataFrame, into: str = "text") -> DataFrame:
+def without_near_lines(documents: DataFrame, into: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The documents with the remaining lines; one row of each set of equal rows."""
     columns = documents.columns
     keyed = packed(documents, *row_key(columns)).dropDuplicates(["_key1", "_key2"])
-    marked = keyed.join(dropped_lines(documents), ["_key1", "_key2"], "left")
+    marked = keyed.join(dropped_lines(documents, shingle), ["_key1", "_key2"], "left")
     own = F.col("_row.text")
     kept = F.filter(
         F.transform(F.split(own, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("line"))),
@@ -285,7 +291,7 @@ def without_near_lines(documents: DataFrame, into: str = "text") -> DataFrame:
     return marked.select(*others, text.alias(into))
 
 
-def line_report(documents: DataFrame) -> DataFrame:
+def line_report(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per distinct row ``doc_id``, ``n_lines``, ``n_kept`` and the numbers of dropped lines."""
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     n_lines = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(n_lines)
@@ -293,7 +299,7 @@ def line_report(documents: DataFrame) -> DataFrame:
         documents.select("doc_id", n_lines.alias("n_lines"), *row_key(documents.columns))
         .dropDuplicates(["_key1", "_key2"])
     )
-    marked = keyed.join(dropped_lines(documents), ["_key1", "_key2"], "left")
+    marked = keyed.join(dropped_lines(documents, shingle), ["_key1", "_key2"], "left")
     none = F.array().cast("array<int>")
     return marked.select(
         "doc_id",

@@ -68,7 +68,7 @@ def op4_line_chain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), shingle=5)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -450,6 +450,50 @@ def test_fuzzy_lines(spark):
         assert cleaned[d] == "\n".join(kept)
 
 
+def test_one_edit_in_short_lines(spark):
+    """One changed character in 62, one swapped word in 97: near by 5-character shingles, not by 8."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(30):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(23)]
+        short, long = " ".join(words[:9]), " ".join(words[9:])
+        rows += [(4 * i, short), (4 * i + 1, short[:30] + "9" + short[31:])]
+        rows += [(4 * i + 2, long), (4 * i + 3, long.replace(words[15], "999999"))]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    sets = {d: {x[i : i + 5] for i in range(len(x) - 4)} for d, x in rows}
+    near = [d for d in sets if d % 2 and len(sets[d] & sets[d - 1]) >= 0.8 * len(sets[d] | sets[d - 1])]
+    assert len(near) == 60
+    found = line_dedup.line_report(docs, shingle=5).collect()
+    gone = {r["doc_id"] for r in found if r["dropped"]}
+    assert gone <= set(near) and len(gone) >= 57
+    assert not any(r["dropped"] for r in line_dedup.line_report(docs).collect())
+
+
+def naive_dropped(docs, size):
+    """Numbers of the lines that go, by comparing all lines that share a shingle."""
+    lines = [(r["doc_id"], i, x) for r in docs for i, x in enumerate((r["text"] or "").split("\n"))]
+    texts = sorted({x for *_, x in lines if SPACE.search(x)})
+    sets = {x: {x[i : i + size] for i in range(len(x) - size + 1)} for x in texts}
+    holders = defaultdict(list)
+    for x in texts:
+        for s in sets[x]:
+            holders[s].append(x)
+    shared = Counter((a, b) for found in holders.values() for i, a in enumerate(found) for b in found[i + 1 :])
+    links = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    group, first, gone = classes(links, texts), {}, set()
+    for d, i, x in sorted(lines):
+        if x in group and first.setdefault(group[x], (d, i)) != (d, i):
+            gone.add((d, i))
+    return gone
+
+
+def test_line_query_finds_one_word_edits(spark):
+    docs = table(spark, SMALL, "documents").collect()
+    want = naive_dropped(docs, 5)
+    got = {(r["doc_id"], i) for r in queries.op5_line_dedup(spark, SMALL).collect() for i in r["dropped"]}
+    assert got <= want and len(want - got) <= 1 and want - naive_dropped(docs, 8)
+
+
 def test_large_line_buckets(spark, monkeypatch):
     rng = random.Random(3)
     base = " ".join(f"w{rng.randrange(1000)}" for _ in range(60))
