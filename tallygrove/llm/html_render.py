@@ -271,32 +271,50 @@ def render(element: Element, pre: bool = False, depth: int = 0) -> list[str]:
     return lines
 
 
-def _rows(element: Element) -> list[Element]:
-    rows = []
+def _parts(element: Element, rows: list[list[Element]], row: list[Element] | None = None) -> list[Element | str]:
+    """Cells into ``rows``, through whatever wraps them; what is in no cell comes back, as it is laid
+    out before the table. A cell outside a row opens one."""
+    stray: list[Element | str] = []
     for child in element.children:
-        if isinstance(child, Element) and child.shown:
-            if child.name == "tr":
-                rows.append(child)
-            elif child.name in ("thead", "tbody", "tfoot"):
-                rows += _rows(child)
-    return rows
+        if isinstance(child, str):
+            stray.append(child)
+            continue
+        if not child.shown:
+            continue
+        if child.name in ("td", "th"):
+            if row is None:
+                row = []
+                rows.append(row)
+            row.append(child)
+            stray.append(" ")
+            continue
+        if child.name in VOID or child.name in ("table", "details"):
+            stray.append(child)
+            continue
+        own = row
+        if child.name == "tr":
+            own = []
+            rows.append(own)
+        rest = Element("div" if child.name in TABLE_PART else child.name, child.attributes)
+        rest.children = _parts(child, rows, own)
+        stray.append(rest)
+        if child.name in TABLE_PART:
+            row = None
+    return stray
 
 
 def _table(element: Element, depth: int) -> list[str]:
     """Captions and stray content, then the rows with their cells in columns."""
+    rows: list[list[Element]] = []
     stray = Element("div", {})
-    stray.children = [
-        c for c in element.children if isinstance(c, str) or c.name not in TABLE_PART
-    ]
+    stray.children = _parts(element, rows)
     above = render(stray, False, depth + 1)
     grid: list[list[tuple[int, int, list[str]]]] = []
     held: dict[int, int] = {}  # column to the number of rows it is still taken
     widths: dict[int, int] = {}
-    for row in _rows(element):
+    for row in rows:
         cells, column, taken = [], 0, {c: n - 1 for c, n in held.items() if n > 1}
-        for cell in row.children:
-            if isinstance(cell, str) or not cell.shown:
-                continue
+        for cell in row:
             while column in held:
                 column += 1
             lines = render(cell, False, depth + 1)

@@ -525,6 +525,26 @@ def test_layout(source):
     assert html_render.visible_text(source) == PAGES[source]
 
 
+LOOSE = {
+    "<table><tbody><form><tr><td>x</td><td>y</td></tr></form></tbody></table>": "x  y",
+    "<table><tbody>note<tr><td>5</td></tr></tbody></table>": "note\n5",
+    "<table><tbody><div>note</div><tr><td>5</td></tr></tbody></table>": "note\n5",
+    "<table><tr>Total: <td>5</td></tr><tr>Sum:<td>6</td>end</tr></table>": "Total:\nSum: end\n5\n6",
+    "<table><tbody><caption>C</caption><tr><td>5</td></tr></tbody></table>": "C\n5",
+    "<table><caption>C<tr><td>a<td>b<tr><td>c<td>d</table>": "C\na  b\nc  d",
+    "<table><tr><form><td>a<td>b</form></tr><tr><td>long<td>d</tr></table>": "a     b\nlong  d",
+    "<table><form><td>a</td><td>b</td></form></table>": "a  b",
+    "<table><tr><b>bold</b><td>5</table>": "bold\n5",
+    "<table><tbody hidden>no<tr><td>no</tbody><tbody><tr hidden>no<td>no</tr><tr><td>y</table>": "y",
+    "<table><tr>in<table><tr><td>n</table><td>5</table>": "in\n\nn\n5",
+}
+
+
+@pytest.mark.parametrize("source", LOOSE)
+def test_words_outside_cells(source):
+    assert html_render.visible_text(source) == LOOSE[source]
+
+
 def test_deep_and_broken_pages():
     assert html_render.visible_text("<div>" * 50_000 + "deep") == "deep"
     assert html_render.visible_text("<ul><li>" * 3_000 + "deep").endswith("deep")
