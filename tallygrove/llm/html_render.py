@@ -9,14 +9,16 @@ in columns. ``pre`` keeps its spaces and line breaks.
 
 Null, empty and markup-only pages give an empty text. Broken markup never fails: an unfinished tag is
 text, an unfinished comment or script hides the rest. Elements nested deeper than ``DEPTH`` become
-children of the element at that depth, and columns wider than ``WIDE`` are not padded, so the text grows
-in proportion to the page. Repeated rows are each rendered.
+children of the element at that depth. Columns are at most ``WIDE`` wide: longer lines are broken between
+words, except in a table's last column, and a longer word has the rest of its line to itself. A line has
+at most ``WIDE`` blanks for each column before its text. Repeated rows are each rendered.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import textwrap
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -321,29 +323,64 @@ def _table(element: Element, depth: int) -> list[str]:
             span = min(max(cell.number("colspan", 1), 1), SPANS)
             cells.append((column, span, lines))
             if span == 1:
-                widths[column] = max(widths.get(column, 0), *(len(x) for x in lines), 0)
+                widths[column] = max(widths.get(column, 0), min(max(map(len, lines), default=0), WIDE))
             down = min(max(cell.number("rowspan", 1), 1), SPANS)
             if down > 1:
                 taken.update((c, down - 1) for c in range(column, column + span))
             column += span
         held = taken
         grid.append(cells)
+    end = max((at + span for cells in grid for at, span, _ in cells), default=0)
+
+    def width(at: int, span: int) -> int:
+        return sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
+
+    for cells in grid:
+        for at, span, lines in cells:
+            if span > 1 and at + span < end:
+                more = min(max(map(len, lines), default=0), WIDE) - width(at, span)
+                if more > 0:
+                    widths[at + span - 1] = widths.get(at + span - 1, 0) + more
     out = list(above)
     for cells in grid:
-        height = max((len(lines) for *_, lines in cells), default=0)
+        full: set[int] = set()  # lines that a word wider than its column fills to the end
+        fitted = []
+        for at, span, lines in cells:
+            own = width(at, span)
+            # Nothing is aligned after the last column.
+            fitted.append((at, span, own, _fit(lines, own if at + span < end else None, full)))
+        height = max((len(lines) for *_, lines in fitted), default=0)
         for i in range(height):
             parts, column = [], 0
-            for at, span, lines in cells:
-                parts += [_pad("", widths.get(c, 0)) for c in range(column, at)]
-                width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-                parts.append(_pad(lines[i] if i < len(lines) else "", width))
+            for at, span, own, lines in fitted:
+                parts += [" " * widths.get(c, 0) for c in range(column, at)]
+                parts.append((lines[i] if i < len(lines) else "").ljust(own))
                 column = at + span
             out.append("  ".join(parts).rstrip())
     return out if any(out) else []
 
 
-def _pad(text: str, width: int) -> str:
-    return text.ljust(width) if width <= WIDE else text
+def _fit(lines: list[str], width: int | None, full: set[int]) -> list[str]:
+    """The lines broken between words at ``width``, on lines that are not ``full``.
+
+    A word that is wider stays whole and fills its line, so what comes after it goes to later ones.
+    """
+    out: list[str] = []
+    before = set(full)
+    for line in lines:
+        for part in [line] if width is None or len(line) <= width else _broken(line, width):
+            while len(out) in before:
+                out.append("")
+            if width is not None and len(part) > width:
+                full.add(len(out))
+            out.append(part)
+    return out
+
+
+def _broken(line: str, width: int) -> list[str]:
+    return textwrap.wrap(
+        line, max(width, 1), expand_tabs=False, replace_whitespace=False, break_long_words=False, break_on_hyphens=False
+    )
 
 
 def visible_text(source: str | None) -> str:

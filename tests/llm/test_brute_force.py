@@ -545,6 +545,26 @@ def test_words_outside_cells(source):
     assert html_render.visible_text(source) == LOOSE[source]
 
 
+def test_wide_cells_stay_aligned():
+    words = " ".join(f"word{i}" for i in range(30))
+    url = "http://x/" + "y" * 90
+    source = (
+        f"<table><tr><th>Text<th>Qty<th>Note<tr><td>{words}<td>3<br>4<td>{words}"
+        f"<tr><td>short<td>5<td>n<tr><td>{url} after<td>6<td>m<tr><td colspan=2>{words}<td>k</table>"
+    )
+    lines = html_render.visible_text(source).split("\n")
+    second = lines[0].index("Qty")
+    third = lines[0].index("Note")
+    assert second <= html_render.WIDE + 2
+    for mark in "3456":
+        assert any(line[second:].split()[:1] == [mark] for line in lines), mark
+    for mark in ("n", "m", "k", words):
+        assert any(line[third:] == mark for line in lines), mark
+    assert url in lines
+    want = re.sub("<[^>]*>", " ", source).split()
+    assert Counter(want) == Counter(" ".join(lines).split())
+
+
 def test_deep_and_broken_pages():
     assert html_render.visible_text("<div>" * 50_000 + "deep") == "deep"
     assert html_render.visible_text("<ul><li>" * 3_000 + "deep").endswith("deep")
