@@ -311,3 +311,28 @@ def scored(documents: DataFrame, model: ChainModel, into: str = "_score") -> Dat
         return pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return documents.withColumn(into, F.pandas_udf(score, "DOUBLE").asNondeterministic()("text"))
+
+
+LINES = "ARRAY<STRUCT<line_no: INT, probability: DOUBLE, label: INT>>"
+
+
+def line_labels(documents: DataFrame, model: ChainModel, into: str = "_lines") -> DataFrame:
+    """All columns and, per line of the text, its number, the probability of "good" and the label 0 or 1.
+
+    The probabilities are the marginals of which ``scored`` takes the length-weighted mean. A model of
+    one class only gives 0.5 for each line.
+    """
+    bounded_batches(documents)
+
+    def label(texts: pd.Series) -> pd.Series:
+        out: list[list[dict]] = []
+        for part in runs(whole(texts)):
+            lines = lines_of(part)
+            good, _ = marginals(lines.features @ model.weights, lines.counts, model.steps)
+            for own in np.split(good, np.cumsum(lines.counts)[:-1]):
+                out.append(
+                    [{"line_no": i, "probability": p, "label": int(p >= 0.5)} for i, p in enumerate(own.tolist())]
+                )
+        return pd.Series(out, dtype=object)
+
+    return documents.withColumn(into, F.pandas_udf(label, LINES).asNondeterministic()("text"))

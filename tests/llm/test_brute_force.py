@@ -162,6 +162,21 @@ def test_line_chain_held_out(spark, name):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
 
 
+def test_every_line_is_labelled(spark):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    model = line_crf.fit_line_chain(docs, table(spark, SMALL, "labels"))
+    got = line_crf.scored(line_crf.line_labels(docs, model, "lines"), model, "score").collect()
+    assert {x["label"] for r in got for x in r["lines"]} == {0, 1}
+    for r in got:
+        texts = (r["text"] or "").split("\n")
+        assert [x["line_no"] for x in r["lines"]] == list(range(len(texts)))
+        assert all(x["label"] == (x["probability"] >= 0.5) for x in r["lines"])
+        heavy = line_crf.lines_of([r["text"] or ""]).sizes + 1.0
+        mean = np.clip(np.average([x["probability"] for x in r["lines"]], weights=heavy), 1e-6, 1 - 1e-6)
+        margin = np.clip(model.slope * np.log(mean / (1 - mean)) + model.offset, -40, 40)
+        assert np.isclose(r["score"], 1 / (1 + np.exp(-margin)))
+
+
 def test_chain_marginals():
     rng = np.random.default_rng(0)
     counts, steps = np.array([3, 1, 4]), rng.normal(size=(2, 2))
