@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallygrove.llm.license_scan import LOWER, TEMPLATES, UPPER
+from tallygrove.llm.url_filter import RULES, TRACKING
 
 
 def licence_sql(least: float = 0.8) -> str:
@@ -42,4 +43,41 @@ FROM texts LEFT JOIN summed USING (doc_id)
 """
 
 
-ORACLES: dict[str, str] = {"op2_license_scan": licence_sql()}
+def url_sql() -> str:
+    """Rules and list membership without a filter: a plain semi-join of canonical forms."""
+    rest = "substr(url, instr(url, '://') + 3)"
+    rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+    spam = "(^|\\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\\."
+    return f"""
+WITH rules(rule_host, rule_path, says) AS (VALUES {rules}),
+split AS (
+  SELECT page_id, coalesce(instr(url, '://') > 0, false) AS has,
+    CASE WHEN has THEN translate(regexp_extract({rest}, '^[^/?#]*'), '{UPPER}', '{LOWER}') ELSE '' END AS host,
+    CASE WHEN has THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+    CASE WHEN has THEN list_sort(list_filter(
+      string_split(regexp_extract({rest}, '^[^?#]*\\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '{TRACKING}'))) END AS more
+  FROM pages),
+formed AS (
+  SELECT page_id, host, path, CASE WHEN has THEN
+    regexp_replace(regexp_replace(regexp_replace(
+      regexp_replace(host, '^[^@]*@', ''), ':(80|443)?$', ''), '^www\\.', ''), '\\.$', '')
+    || regexp_replace(regexp_replace(
+      regexp_replace(path, '/+', '/', 'g'), '/index\\.html?$', '/'), '/$', '')
+    || CASE WHEN len(more) > 0 THEN '?' || array_to_string(more, '&') ELSE '' END END AS canonical
+  FROM split),
+listed AS (SELECT DISTINCT canonical FROM formed WHERE regexp_matches(host, '{spam}')),
+fitting AS (
+  SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    max_by(says, length(rule_host || rule_path)) AS says
+  FROM formed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+    AND starts_with(path, rule_path)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule,
+  coalesce(says, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+  f.canonical AS canonical, l.canonical IS NOT NULL AS listed
+FROM formed f LEFT JOIN fitting USING (page_id) LEFT JOIN listed l ON l.canonical = f.canonical
+"""
+
+
+ORACLES: dict[str, str] = {"op2_license_scan": licence_sql(), "op12_url_filter": url_sql()}

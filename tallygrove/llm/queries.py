@@ -16,6 +16,7 @@ from tallygrove.llm import (
     quality_rules,
     simhash,
     token_shards,
+    url_filter,
 )
 from tallygrove.llm.text import crc_remainder
 from tallygrove.sources.scratch import scratch_path
@@ -100,6 +101,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+# Labels of hosts that ad and spam lists name. Their pages' addresses are the list.
+SPAM_HOSTS = r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = url_filter.url_list(pages.filter(url_filter.host_of(F.col("url")).rlike(SPAM_HOSTS)))
+    kept = ("host", "path", "rule", "verdict", "canonical", "listed")
+    return url_filter.judged(pages, listed).select("page_id", *(f"_url.{c}" for c in kept))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -113,5 +125,6 @@ QUERIES = {
         op8_mixing,
         op9_token_shards,
         op10_simhash,
+        op12_url_filter,
     )
 }

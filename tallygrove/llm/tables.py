@@ -37,3 +37,11 @@ def row_key(columns: Sequence[str]) -> list[Column]:
 def packed(df: DataFrame, *more: Column | str) -> DataFrame:
     """All columns as one struct ``_row``, so that no name of the table can clash, and ``more``."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *more)
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores added until no column has it (upper and lower case are one)."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
