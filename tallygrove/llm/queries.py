@@ -16,6 +16,7 @@ from tallygrove.llm import (
     quality_rules,
     simhash,
     token_shards,
+    turn_repair,
     url_filter,
 )
 from tallygrove.llm.text import crc_remainder
@@ -112,6 +113,11 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages, listed).select("page_id", *(f"_url.{c}" for c in kept))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,5 +132,6 @@ QUERIES = {
         op9_token_shards,
         op10_simhash,
         op12_url_filter,
+        op13_turn_repair,
     )
 }
