@@ -15,6 +15,7 @@ from tallygrove.llm import (
     mixing,
     quality_rules,
     simhash,
+    spelling,
     token_shards,
     turn_repair,
     url_filter,
@@ -102,6 +103,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents"), slips=199))
+
+
 # Labels of hosts that ad and spam lists name. Their pages' addresses are the list.
 SPAM_HOSTS = r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
 
@@ -131,6 +136,7 @@ QUERIES = {
         op8_mixing,
         op9_token_shards,
         op10_simhash,
+        op11_spelling_variants,
         op12_url_filter,
         op13_turn_repair,
     )
