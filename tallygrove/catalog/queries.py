@@ -849,6 +849,44 @@ def wide_contributions(spark: SparkSession, sf: str) -> DataFrame:
     return _gaps(train(inside, WIDE_SPEC, "random_forest", seed=SEED), outside, WIDE_SPEC)
 
 
+@query
+def path_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    """A one-split tree by cover: the split's column moves the row from the mean to its leaf."""
+    inside, outside = _parts(spark, sf)
+    model = train(inside, TREE_SPEC, "decision_tree", STUMPS["decision_tree"], SEED)
+    return _rounded_contributions(explain.contributions(model, outside, TREE_SPEC, method="path"))
+
+
+def _two_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    inside, outside = _parts(spark, sf)
+    model = train(inside, TREE_SPEC, "gbt", {"maxDepth": 1, "maxIter": 2}, SEED)
+    return explain.contributions(model, outside, TREE_SPEC, method="path")
+
+
+@query
+def boosted_path_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    """Log-odds of two boosted one-split trees, with where they start from."""
+    return _rounded_contributions(_two_rounds(spark, sf))
+
+
+@query
+def path_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return explain.contribution_summary(_two_rounds(spark, sf)).withColumn(
+        "mean_abs_contribution", _r("mean_abs_contribution")
+    )
+
+
+@query
+def path_additivity(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees at Spark's defaults: all rows of a key add up to its log-odds."""
+    inside, outside = _parts(spark, sf)
+    model = train(inside, ORDER_SPEC, "gbt", seed=SEED)
+    parts = explain.contributions(model, outside, ORDER_SPEC, method="path")
+    summed = parts.groupBy(*KEY).agg(F.count("*").alias("n"), F.sum("contribution").alias("sum"))
+    outputs = model.transform(outside).select(*KEY, explain.model_output(model).alias("output"))
+    return summed.join(outputs, list(KEY)).select(*KEY, "n", _r(F.col("sum") - F.col("output")).alias("gap"))
+
+
 @query
 def explain_row(spark: SparkSession, sf: str) -> DataFrame:
     model, inside, _ = _nb(spark, sf)
