@@ -272,6 +272,78 @@ margins AS (
   GROUP BY o_orderkey)
 """
 
+# A fifth of the inside rows, by a hash of its own, says when boosted trees stop; the others learn.
+LEARNED = """
+marked AS (
+  SELECT *, substr(md5(concat(o_orderkey, '-', o_orderkey, '-', 42)), 1, 8) < '33333333' AS held FROM inside),
+learned AS (SELECT * EXCLUDE (held) FROM marked WHERE NOT held)
+"""
+VALIDATED_TREE = (
+    f"""
+line_mean AS (SELECT trunc(avg(n_lines)) AS m_lines FROM inside),
+slots AS MATERIALIZED ({_SLOTS}),
+tree_fit AS MATERIALIZED ({_tree_long('learned')}),
+tree_rows AS MATERIALIZED ({_tree_long('inside')}),
+root_rows AS MATERIALIZED (SELECT 0 AS node, * FROM tree_fit)
+""",
+    best_split("root", "root_rows"),
+)
+
+
+def second_order(rounds: int) -> str:
+    """Rounds of one-split trees by gradients and hessians, of the rows that are neither out nor held:
+    ``so0``, ``so1``, ... hold each row's margin."""
+    parts = [
+        """
+so0 AS (
+  SELECT o_orderkey, label, o_orderstatus, o_orderpriority, c_mktsegment, n_lines,
+         substr(h, 1, 8) >= 'cccccccc' AS is_out, {held} AS held, 0.0::DOUBLE AS margin FROM hashed)"""
+    ]
+    for k in range(1, rounds + 1):
+        by_value = "\n  UNION ALL ".join(
+            f"SELECT {i} AS col, false AS ml, NULL::INTEGER AS cut, {c} AS v, sum(g) AS gl, sum(hess) AS hl "
+            f"FROM so{k}_grad GROUP BY {c}"
+            for i, c in enumerate(CATEGORIES)
+        )
+        left = " ".join(f"WHEN {i} THEN t.{c} IS NOT DISTINCT FROM b.v" for i, c in enumerate(CATEGORIES))
+        parts.append(
+            f"""
+so{k}_grad AS MATERIALIZED (
+  SELECT *, p - label AS g, p * (1 - p) AS hess
+  FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM so{k - 1}) WHERE NOT is_out AND NOT held),
+so{k}_cuts AS (
+  SELECT DISTINCT n_lines AS cut FROM so{k}_grad
+  WHERE n_lines > (SELECT min(n_lines) FROM so{k}_grad)),
+so{k}_sides AS (
+  {by_value}
+  UNION ALL
+  SELECT {len(CATEGORIES)}, ml, cut, NULL,
+         coalesce(sum(g) FILTER (n_lines < cut OR (ml AND n_lines IS NULL)), 0),
+         coalesce(sum(hess) FILTER (n_lines < cut OR (ml AND n_lines IS NULL)), 0)
+  FROM so{k}_grad CROSS JOIN so{k}_cuts CROSS JOIN (VALUES (false), (true)) m(ml) GROUP BY ml, cut),
+so{k}_best AS MATERIALIZED (
+  SELECT *, round((gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)) / 2, 9) AS gain
+  FROM so{k}_sides CROSS JOIN (SELECT sum(g) AS gt, sum(hess) AS ht FROM so{k}_grad)
+  WHERE hl >= 1 AND ht - hl >= 1
+  ORDER BY gain DESC, col, ml, cut NULLS FIRST, v NULLS FIRST LIMIT 1),
+so{k} AS MATERIALIZED (
+  SELECT t.* REPLACE (margin - 0.3 * CASE WHEN CASE col {left} ELSE coalesce(n_lines < cut, ml) END
+    THEN gl / (hl + 1) ELSE (gt - gl) / (ht - hl + 1) END AS margin)
+  FROM so{k - 1} t CROSS JOIN so{k}_best b)"""
+        )
+    return ",".join(parts)
+
+
+def _second_order_scores(rounds: int) -> str:
+    return with_profile(
+        f"SELECT o_orderkey, round(1 / (1 + exp(-margin)), 6) AS p1, "
+        f"CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction FROM so{rounds} WHERE is_out",
+        second_order(rounds).format(held="false"),
+    )
+
+
+_HELD = "substr(md5(concat(o_orderkey, '-', o_orderkey, '-', 42)), 1, 8) < '33333333'"
+
 # Contributions by cover: each tree's column gets what the row's leaf is above the tree's mean.
 _SOURCES = "(VALUES ('o_orderstatus'), ('o_orderpriority'), ('c_mktsegment'), ('n_lines')) f(feature)"
 
@@ -588,6 +660,36 @@ UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, NULL, NULL, mi
         *TREE,
         SECOND_ROUND,
     ),
+    "second_order_stump": _second_order_scores(1),
+    "second_order_two_rounds": _second_order_scores(2),
+    "second_order": with_profile(
+        "SELECT o_orderkey, label, true AS score_is_sound, true AS class_agrees, true AS ranks_well FROM outside"
+    ),
+    "second_order_round_losses": with_profile(
+        "\nUNION ALL ".join(
+            f"SELECT {k} AS round, CASE WHEN held THEN 'validation' ELSE 'train' END AS part, "
+            f"round(avg(ln(1 + exp(-(2 * label - 1) * margin))), 6) AS loss "
+            f"FROM so{k} WHERE NOT is_out GROUP BY held"
+            for k in (1, 2)
+        ),
+        second_order(2).format(held=_HELD),
+    ),
+    "gbt_round_losses": with_profile(
+        """
+        SELECT round, CASE WHEN held THEN 'validation' ELSE 'train' END AS part,
+               round(avg(ln(1 + exp(-2 * (2 * label - 1) * margin))), 6) AS loss
+        FROM (SELECT 2 AS round, o_orderkey, margin FROM margins
+              UNION ALL
+              SELECT 1, o_orderkey, 2 * CASE WHEN t.value <= threshold THEN left_rate ELSE right_rate END - 1
+              FROM tree_rows t JOIN root USING (feature))
+        JOIN marked USING (o_orderkey) GROUP BY round, held""",
+        LEARNED,
+        *VALIDATED_TREE,
+        SECOND_ROUND,
+    ),
+    "search_with_early_stopping": """
+        SELECT 0 AS candidate, 'gbt' AS algorithm, CAST(fold AS INTEGER) AS fold, true AS stopped
+        FROM range(2) r(fold)""",
     "logistic_regression_totals": with_profile(
         "\nUNION ALL ".join(
             f"SELECT {c} AS category, count(*) AS n, round(avg(label), 4) AS positive_rate "
@@ -633,6 +735,14 @@ quality AS (
   SELECT CAST(g // 10 AS INTEGER) AS candidate, avg(e) AS error, avg(l) AS loss
   FROM (SELECT g, {ERRORS} AS e, {LOSS} AS l FROM nb GROUP BY g) GROUP BY g // 10)""",
     ),
+    "search_with_a_limit": with_profile(
+        """
+        SELECT 1 AS rank, 0 AS candidate, 'naive_bayes' AS algorithm, 'done' AS status,
+               round(avg(auc), 6) AS auc FROM aucs
+        UNION ALL SELECT NULL, 1, 'gbt', 'cancelled', NULL""",
+        NB_FOLDS,
+        auc("nb", "g"),
+    ),
     "leader_params": with_profile(
         """
         SELECT * FROM (VALUES

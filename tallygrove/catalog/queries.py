@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators import explain, features, prepare, profile, scoring, selection, splits
 from tallygrove.operators import evaluate as ev
-from tallygrove.operators.classifiers import CLASSIFIERS, score_column, train
+from tallygrove.operators.classifiers import (
+    CLASSIFIERS,
+    SECOND_ORDER,
+    VALIDATION,
+    marked_for_validation,
+    round_losses,
+    score_column,
+    train,
+)
 from tallygrove.plans import jobs
 from tallygrove.plans.fixtures import ORDER_SPEC, load, order_profile
 from tallygrove.plans.spec import JobSpec, TableSpec
@@ -452,6 +460,58 @@ def gbt_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return _probabilities(model.transform(outside))
 
 
+@query
+def second_order_stump(spark: SparkSession, sf: str) -> DataFrame:
+    inside, outside = _parts(spark, sf)
+    model = train(inside, TREE_SPEC, SECOND_ORDER, {"maxDepth": 1, "maxIter": 1}, SEED)
+    return _probabilities(model.transform(outside))
+
+
+@query
+def second_order_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    inside, outside = _parts(spark, sf)
+    model = train(inside, TREE_SPEC, SECOND_ORDER, {"maxDepth": 1, "maxIter": 2}, SEED)
+    return _probabilities(model.transform(outside))
+
+
+@query
+def second_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Second-order trees on all columns: sound scores that rank at least as well as boosted trees do."""
+    inside, outside = _parts(spark, sf)
+    params = {"maxDepth": 4, "maxIter": 8, "stepSize": 0.4}
+    scored = train(inside, ORDER_SPEC, SECOND_ORDER, params, SEED).transform(outside)
+    chance = class_score("probability")
+    auc = ev.area_under_roc(scored)
+    return scored.select(
+        "o_orderkey",
+        "label",
+        (chance.between(0, 1) & (F.abs(class_score("probability", 0) + chance - 1) < 1e-9)).alias("score_is_sound"),
+        ((chance > 0.5) == (F.col("prediction") == 1)).alias("class_agrees"),
+        F.lit(auc >= FLOORS["gbt"]).alias("ranks_well"),
+    )
+
+
+def _validated(spark: SparkSession, sf: str, algorithm: str) -> DataFrame:
+    """Losses of two rounds on the rows that learn and on those that say when to stop."""
+    inside, _ = _parts(spark, sf)
+    model = train(
+        inside, TREE_SPEC, algorithm, {"maxDepth": 1, "maxIter": 2}, SEED, validation_rate=0.2
+    )
+    marked = marked_for_validation(inside, TREE_SPEC, 0.2, SEED)
+    parts = {"train": marked.filter(~F.col(VALIDATION)), "validation": marked.filter(F.col(VALIDATION))}
+    return round_losses(model, parts).withColumn("loss", _r("loss"))
+
+
+@query
+def gbt_round_losses(spark: SparkSession, sf: str) -> DataFrame:
+    return _validated(spark, sf, "gbt")
+
+
+@query
+def second_order_round_losses(spark: SparkSession, sf: str) -> DataFrame:
+    return _validated(spark, sf, SECOND_ORDER)
+
+
 @query
 def logistic_regression_totals(spark: SparkSession, sf: str) -> DataFrame:
     """At the optimum, predicted and actual positives agree within every category."""
@@ -512,6 +572,31 @@ def auto_search(spark: SparkSession, sf: str) -> DataFrame:
     return _board(selection.leaderboard(found), 0.85)
 
 
+@query
+def search_with_early_stopping(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees whose rounds a share of the rows ends before their maximum."""
+    candidates = [selection.Candidate("gbt", {"maxIter": 30, "maxDepth": 4, "stepSize": 1.0})]
+    found = selection.search(
+        _parts(spark, sf)[0], ORDER_SPEC, candidates, folds=2, seed=SEED, validation_rate=0.2
+    )
+    rounds = selection.rounds_table(found)
+    return rounds.select("candidate", "algorithm", "fold", F.col("rounds").between(1, 29).alias("stopped"))
+
+
+@query
+def search_with_a_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """A candidate that would take many minutes is cancelled while it is fitted; the session goes on."""
+    candidates = [
+        selection.Candidate("naive_bayes"),
+        selection.Candidate("gbt", {"maxIter": 2000, "maxDepth": 5}),
+    ]
+    found = selection.search(
+        _parts(spark, sf)[0], ORDER_SPEC, candidates, FOLDS, SEED, max_candidate_secs=8.0
+    )
+    board = selection.leaderboard(found)
+    return board.select("rank", "candidate", "algorithm", "status", _r("auc").alias("auc"))
+
+
 @query
 def auto_search_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
     found = selection.auto_search(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -16,7 +18,10 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallygrove.functions.expressions import hash_below, key_hash
+from tallygrove.operators.boosting import SecondOrderBoosting, SecondOrderModel, logistic_loss, tree_sql
 from tallygrove.operators.features import FEATURES, build_pipeline, check_inputs
 from tallygrove.plans.spec import TableSpec
 
@@ -28,6 +33,10 @@ CLASSIFIERS = {
     "decision_tree": DecisionTreeClassifier,
     "naive_bayes": NaiveBayes,
 }
+# Boosted trees of this library, next to Spark's classifiers.
+SECOND_ORDER = "second_order"
+# Marks the rows that tell boosted trees when to stop.
+VALIDATION = "_validation"
 # Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
 ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
@@ -37,11 +46,23 @@ def make_estimator(
     params: Mapping[str, object] | None = None,
     seed: int = 42,
     label: str = "label",
+    spec: TableSpec | None = None,
 ) -> Estimator:
-    """A classifier with Spark's defaults, the given settings, and the seed if it takes one."""
-    if algorithm not in CLASSIFIERS:
-        raise ValueError(f"unknown algorithm {algorithm}; choose from {sorted(CLASSIFIERS)}")
-    estimator = CLASSIFIERS[algorithm](labelCol=label, featuresCol=FEATURES)
+    """A classifier with its defaults, the given settings, and the seed if it takes one.
+
+    ``spec`` names the columns of the second-order trees, which read them rather than the vector.
+    """
+    if algorithm == SECOND_ORDER:
+        if spec is None:
+            raise ValueError(f"{SECOND_ORDER} needs the table's spec")
+        estimator: Estimator = SecondOrderBoosting(
+            labelCol=label, categoricalCols=list(spec.categorical), numericCols=list(spec.numeric)
+        )
+    elif algorithm in CLASSIFIERS:
+        estimator = CLASSIFIERS[algorithm](labelCol=label, featuresCol=FEATURES)
+    else:
+        known = sorted([*CLASSIFIERS, SECOND_ORDER])
+        raise ValueError(f"unknown algorithm {algorithm}; choose from {known}")
     if estimator.hasParam("seed"):
         estimator.set(estimator.getParam("seed"), seed)
     for name, value in (params or {}).items():
@@ -92,6 +113,55 @@ def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool = False) ->
         used.unpersist()
 
 
+def marked_for_validation(df: DataFrame, spec: TableSpec, rate: float, seed: int = 42) -> DataFrame:
+    """Add the validation mark for a share of the rows, by a hash that splits and folds do not use."""
+    key = spec.key or tuple(df.columns)
+    return df.withColumn(VALIDATION, hash_below(key_hash([*key, *key], seed), rate))
+
+
+def watch_validation(estimator: Estimator) -> bool:
+    """Let boosted trees stop by the marked rows; False for algorithms that have no rounds."""
+    if not estimator.hasParam("validationIndicatorCol"):
+        return False
+    estimator.set(estimator.getParam("validationIndicatorCol"), VALIDATION)
+    return True
+
+
+def round_losses(
+    model: PipelineModel, parts: Mapping[str, DataFrame], label: str = "label"
+) -> DataFrame:
+    """(round, part, loss): mean logistic loss on each part after each round of boosted trees.
+
+    One pass per part for second-order trees; Spark's trees are walked by Spark.
+    """
+    fitted, features = model.stages[-1], PipelineModel(stages=model.stages[:-1])
+    spark = next(iter(parts.values())).sparkSession
+    if isinstance(fitted, GBTClassificationModel):
+        rows = []
+        for part, df in parts.items():
+            # Spark's loss of a margin m is 2 log(1 + exp(-2 y m)), twice that of the log-odds 2 m.
+            losses = fitted.evaluateEachIteration(features.transform(df))
+            rows += [(i, part, loss / 2) for i, loss in enumerate(losses, start=1)]
+        return spark.createDataFrame(rows, "round INT, part STRING, loss DOUBLE")
+    if not isinstance(fitted, SecondOrderModel):
+        raise ValueError("only boosted trees have rounds")
+    trees = [F.expr(tree_sql(tree, False)) for tree in fitted.nodes()]
+    tables = []
+    for part, df in parts.items():
+        values = df.select(F.col(label).alias("_label"), *(t.alias(f"_t{i}") for i, t in enumerate(trees)))
+        margins, total = [], F.lit(0.0)
+        for i in range(len(trees)):
+            total = total + F.col(f"_t{i}")
+            margins.append(F.avg(logistic_loss(total, F.col("_label"))))
+        listed = values.agg(F.array(*margins).alias("_losses"))
+        tables.append(
+            listed.select(F.posexplode("_losses").alias("round", "loss")).select(
+                (F.col("round") + 1).alias("round"), F.lit(part).alias("part"), "loss"
+            )
+        )
+    return reduce(DataFrame.unionByName, tables)
+
+
 def train(
     df: DataFrame,
     spec: TableSpec,
@@ -99,9 +169,19 @@ def train(
     params: Mapping[str, object] | None = None,
     seed: int = 42,
     balance: bool = False,
+    validation_rate: float | None = None,
 ) -> PipelineModel:
-    """Fit feature stages and classifier on a prepared table; ``balance`` as in ``held``."""
-    estimator = make_estimator(algorithm, params, seed, spec.label)
-    with held(df, spec, balance=balance) as data:
+    """Fit feature stages and classifier on a prepared table; ``balance`` as in ``held``.
+
+    With ``validation_rate``, boosted trees do not learn from that share of the rows: the loss on them
+    ends the fit, and the rounds after the best one are cut off. The feature stages use all rows.
+    """
+    estimator = make_estimator(algorithm, params, seed, spec.label, spec)
+    marks = ()
+    if validation_rate is not None:
+        if not watch_validation(estimator):
+            raise ValueError(f"{algorithm} has no rounds to stop")
+        df, marks = marked_for_validation(df, spec, validation_rate, seed), (VALIDATION,)
+    with held(df, spec, *marks, balance=balance) as data:
         check_inputs(data, spec, needs_non_negative(estimator))
         return build_pipeline(spec, estimator).fit(data)

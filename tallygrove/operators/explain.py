@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import class_score
+from tallygrove.operators.boosting import SecondOrderModel
 from tallygrove.operators.features import (
     FEATURES,
     IMPUTED_SUFFIX,
@@ -50,7 +51,13 @@ TABLE_COLUMNS = 6
 
 
 def _importances(model: PipelineModel, df: DataFrame) -> list[tuple[str, float]]:
-    """(feature name, importance) per vector slot, highest first; reads the schema of ``df`` only."""
+    """(feature name, importance) per vector slot, highest first; reads the schema of ``df`` only.
+
+    Second-order trees split source columns, so theirs are by column.
+    """
+    if isinstance(model.stages[-1], SecondOrderModel):
+        gains = model.stages[-1].column_gains()
+        return sorted(gains.items(), key=lambda pair: (-pair[1], pair[0]))
     scores = model.stages[-1].featureImportances
     slots = feature_slots(PipelineModel(stages=model.stages[:-1]).transform(df))
     named = [(name, float(scores[slot])) for slot, name in slots]

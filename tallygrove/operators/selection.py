@@ -8,7 +8,9 @@ refitting the whole pipeline for every candidate and fold.
 from __future__ import annotations
 
 import random
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,10 +24,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
+    SECOND_ORDER,
+    VALIDATION,
     held,
     make_estimator,
+    marked_for_validation,
     needs_non_negative,
     score_column,
+    watch_validation,
 )
 from tallygrove.operators.evaluate import area_under_roc, metric_name, performance
 from tallygrove.operators.features import check_inputs, feature_pipeline, with_estimator
@@ -33,6 +39,9 @@ from tallygrove.operators.splits import assign_fold
 from tallygrove.plans.spec import TableSpec
 
 FOLD = "fold"
+DONE, SKIPPED, CANCELLED = "done", "skipped", "cancelled"
+# Seconds between two cancellations of a candidate whose time is up: a fit is many jobs.
+AGAIN_SECS = 0.2
 
 
 @dataclass(frozen=True)
@@ -56,6 +65,7 @@ class Trial:
     metrics: list[float]
     errors: list[float]
     losses: list[float | None]
+    rounds: list[int | None] = field(default_factory=list)
 
     @property
     def mean(self) -> float:
@@ -68,13 +78,25 @@ class Trial:
 
 @dataclass
 class SearchResult:
-    """Finished trials, candidates that the budget left out, and the winner fitted on all rows."""
+    """Finished trials, candidates that the budget left out, and the winner fitted on all rows.
+
+    ``left_out`` holds (number, candidate, status); a candidate is ``skipped`` if it was not begun and
+    ``cancelled`` if its time ran out while it was being fitted.
+    """
 
     spark: SparkSession
     trials: list[Trial]
-    skipped: list[Candidate]
+    left_out: list[tuple[int, Candidate, str]]
     leader: PipelineModel
 
+    @property
+    def skipped(self) -> list[Candidate]:
+        return [c for _, c, status in self.left_out if status == SKIPPED]
+
+    @property
+    def cancelled(self) -> list[Candidate]:
+        return [c for _, c, status in self.left_out if status == CANCELLED]
+
     def ranked(self) -> list[Trial]:
         return sorted(self.trials, key=_order)
 
@@ -103,11 +125,12 @@ def search_candidates(
         "logistic_regression": {"regParam": (0.0, 0.01, 0.1), "elasticNetParam": (0.0, 0.5)},
         "linear_svm": {"regParam": (0.0, 0.01, 0.1)},
         "naive_bayes": {"smoothing": (0.25, 0.5, 1.0, 2.0, 4.0)},
+        SECOND_ORDER: {"maxDepth": (3, 4, 6), "stepSize": (0.1, 0.2, 0.3), "l2": (1.0, 5.0)},
     }
     draw = random.Random(seed)
     queues = []
     for algorithm in algorithms:
-        default = make_estimator(algorithm)
+        default = make_estimator(algorithm, spec=TableSpec((), ()))
         variants = [
             candidate
             for candidate in grid_candidates(algorithm, grids[algorithm])
@@ -134,6 +157,64 @@ def _at_once(
         yield from pool.map(inheritable_thread_target(session)(work), items)
 
 
+class _OutOfTime(Exception):
+    """A candidate's time ran out before all its folds were done."""
+
+
+class _Deadline:
+    """Ends the Spark jobs of a candidate when its time is up, and nobody else's.
+
+    The calling thread has a job tag meanwhile, which the threads that work for the candidate take over.
+    Once the time is up, the jobs with the tag are cancelled again and again until the work is over, since
+    a fit may be between two jobs.
+    """
+
+    def __init__(self, session: SparkSession, seconds: float | None):
+        self.context, self.seconds = session.sparkContext, seconds
+        self.tag = f"candidate-{uuid.uuid4().hex}"
+        self.over, self.expired = threading.Event(), threading.Event()
+        self.clock = threading.Thread(target=self._watch, daemon=True)
+
+    def _watch(self) -> None:
+        if not self.over.wait(self.seconds):
+            self.expired.set()
+            while not self.over.wait(AGAIN_SECS):
+                self.context.cancelJobsWithTag(self.tag)
+
+    def __enter__(self) -> _Deadline:
+        if self.seconds is not None:
+            self.context.addJobTag(self.tag)
+            self.clock.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.over.set()
+        if self.seconds is not None:
+            self.clock.join()
+            self.context.removeJobTag(self.tag)
+
+    def within(self, work: Callable) -> Callable:
+        """``work``, in which whatever fails after the time is up is ``_OutOfTime``."""
+
+        def limited(item):
+            if self.expired.is_set():
+                raise _OutOfTime
+            try:
+                return work(item)
+            except Exception as failure:
+                if self.expired.is_set():
+                    raise _OutOfTime from failure
+                raise
+
+        return limited
+
+
+def _rounds(model: PipelineModel) -> int | None:
+    """Trees of an ensemble; None for other models."""
+    rounds = getattr(model.stages[-1], "getNumTrees", None)
+    return rounds() if callable(rounds) else rounds
+
+
 def _trials(
     data: DataFrame,
     spec: TableSpec,
@@ -142,12 +223,15 @@ def _trials(
     seed: int,
     parallelism: int,
     first: int = 0,
+    deadline: _Deadline | None = None,
 ) -> Iterator[Trial]:
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
 
     def one_fold(pair: tuple[Candidate, int]) -> tuple[PipelineModel, float, Row]:
         candidate, fold = pair
-        estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label)
+        estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label, spec)
+        if VALIDATION in data.columns:
+            watch_validation(estimator)
         rest = features[fold].transform(data.filter(F.col(FOLD) != fold))
         model = with_estimator(features[fold], estimator.fit(rest))
         scored = model.transform(data.filter(F.col(FOLD) == fold))
@@ -155,7 +239,8 @@ def _trials(
         return model, auc, performance(scored, spec.label).first()
 
     pairs = list(product(candidates, range(len(features))))
-    results = _at_once(data.sparkSession, parallelism, one_fold, pairs)
+    work = one_fold if deadline is None else deadline.within(one_fold)
+    results = _at_once(data.sparkSession, parallelism, work, pairs)
     for number, candidate in enumerate(candidates, start=first):
         done = [next(results) for _ in features]
         models, areas, seen = zip(*done)
@@ -166,6 +251,7 @@ def _trials(
             list(areas),
             [row["mean_per_class_error"] for row in seen],
             [row.asDict().get("log_loss") for row in seen],
+            [_rounds(model) for model in models],
         )
     results.close()
 
@@ -184,22 +270,32 @@ def search(
     max_runtime_secs: float | None = None,
     balance: bool = False,
     report: Callable[[DataFrame, SearchResult], None] | None = None,
+    max_candidate_secs: float | None = None,
+    validation_rate: float | None = None,
 ) -> SearchResult:
     """Cross-validate the candidates and fit the best one on all rows.
 
     ``report`` is called with the cached rows, which carry their fold, and the result, so that
     tables about the search can be computed before the cache is released.
 
-    With ``max_runtime_secs`` they are tried one after the other and the clock is looked at between
-    them: at least one finishes, and those left out are reported. Without it, the result does not
-    depend on speed.
+    With ``max_runtime_secs`` for all of them, or ``max_candidate_secs`` for each, they are tried one
+    after the other. A candidate whose time runs out is cancelled while it is being fitted: its jobs end
+    and its finished folds are discarded. The first candidate has no limit, so there is a winner, whose
+    fit on all rows has none either. Candidates left out are reported. Without limits, the result does
+    not depend on speed.
+
+    With ``validation_rate``, that share of every fit's rows, by a hash of the key, trains no boosted
+    trees but tells them when to stop; other algorithms use all rows.
     """
     if not candidates:
         raise ValueError("no candidates to search")
     started = time.monotonic()
     folded = assign_fold(df, spec.key, folds, seed, FOLD)
+    marks = ()
+    if validation_rate is not None:
+        folded, marks = marked_for_validation(folded, spec, validation_rate, seed), (VALIDATION,)
     trials: list[Trial] = []
-    skipped: list[Candidate] = []
+    left_out: list[tuple[int, Candidate, str]] = []
 
     def note(trial: Trial) -> None:
         trials.append(trial)
@@ -208,26 +304,37 @@ def search(
             if other is not winner:
                 other.models = []
 
-    with held(folded, spec, FOLD, balance=balance) as data:
-        made = [make_estimator(c.algorithm, c.params, seed, spec.label) for c in candidates]
+    with held(folded, spec, FOLD, *marks, balance=balance) as data:
+        made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
         check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
         rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
         *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
-        if max_runtime_secs is None:
+        if max_runtime_secs is None and max_candidate_secs is None:
             for trial in _trials(data, spec, candidates, features, seed, parallelism):
                 note(trial)
         else:
             for number, candidate in enumerate(candidates):
-                if trials and time.monotonic() - started >= max_runtime_secs:
-                    skipped.append(candidate)
+                limits = [max_candidate_secs] if max_candidate_secs is not None else []
+                if max_runtime_secs is not None:
+                    limits.append(max_runtime_secs - (time.monotonic() - started))
+                if trials and min(limits) <= 0:
+                    left_out.append((number, candidate, SKIPPED))
                     continue
-                for trial in _trials(data, spec, [candidate], features, seed, parallelism, number):
-                    note(trial)
+                with _Deadline(df.sparkSession, min(limits) if trials else None) as deadline:
+                    try:
+                        for trial in _trials(
+                            data, spec, [candidate], features, seed, parallelism, number, deadline
+                        ):
+                            note(trial)
+                    except _OutOfTime:
+                        left_out.append((number, candidate, CANCELLED))
         best = min(trials, key=_order).candidate
-        winner = make_estimator(best.algorithm, best.params, seed, spec.label)
+        winner = make_estimator(best.algorithm, best.params, seed, spec.label, spec)
+        if marks:
+            watch_validation(winner)
         leader = with_estimator(everything, winner.fit(everything.transform(data)))
-        result = SearchResult(df.sparkSession, trials, skipped, leader)
+        result = SearchResult(df.sparkSession, trials, left_out, leader)
         if report is not None:
             report(data, result)
     return result
@@ -256,11 +363,14 @@ def auto_search(
     algorithms: Sequence[str] = ("gbt",),
     parallelism: int = 8,
     report: Callable[[DataFrame, SearchResult], None] | None = None,
+    max_candidate_secs: float | None = None,
+    validation_rate: float | None = None,
 ) -> SearchResult:
     """Budgeted search over several algorithms."""
     candidates = search_candidates(max_models, algorithms, seed)
     return search(
-        df, spec, candidates, folds, seed, parallelism, max_runtime_secs, report=report
+        df, spec, candidates, folds, seed, parallelism, max_runtime_secs, report=report,
+        max_candidate_secs=max_candidate_secs, validation_rate=validation_rate,
     )
 
 
@@ -306,6 +416,19 @@ def fold_metrics(result: SearchResult) -> DataFrame:
     )
 
 
+def rounds_table(result: SearchResult) -> DataFrame:
+    """Trees of every candidate's fit per fold, for algorithms that have them."""
+    return result.spark.createDataFrame(
+        [
+            (t.number, t.candidate.algorithm, fold, rounds)
+            for t in result.trials
+            for fold, rounds in enumerate(t.rounds)
+            if rounds is not None
+        ],
+        "candidate INT, algorithm STRING, fold INT, rounds INT",
+    )
+
+
 def leaderboard(result: SearchResult) -> DataFrame:
     """Candidates from best to worst, ties by the order tried; then those that the budget left out.
 
@@ -319,17 +442,16 @@ def leaderboard(result: SearchResult) -> DataFrame:
     tried = [
         (
             rank, t.number, t.candidate.algorithm, t.candidate.settings(),
-            t.mean, mean(t.losses), mean(t.errors), "done",
+            t.mean, mean(t.losses), mean(t.errors), DONE,
         )
         for rank, t in enumerate(result.ranked(), start=1)
     ]
-    first = len(tried)
-    skipped = [
-        (None, number, c.algorithm, c.settings(), None, None, None, "skipped")
-        for number, c in enumerate(result.skipped, start=first)
+    others = [
+        (None, number, c.algorithm, c.settings(), None, None, None, status)
+        for number, c, status in result.left_out
     ]
     return result.spark.createDataFrame(
-        tried + skipped,
+        tried + others,
         "rank INT, candidate INT, algorithm STRING, params STRING, auc DOUBLE, log_loss DOUBLE, "
         "mean_per_class_error DOUBLE, status STRING",
     ).orderBy(F.col("rank").asc_nulls_last(), "candidate")
@@ -371,7 +493,9 @@ def compare(
     """
     rows = []
     with held(parts["train"], spec) as data:
-        made = {a: make_estimator(a, (params or {}).get(a), seed, spec.label) for a in algorithms}
+        made = {
+            a: make_estimator(a, (params or {}).get(a), seed, spec.label, spec) for a in algorithms
+        }
         check_inputs(data, spec, any(map(needs_non_negative, made.values())))
         features = feature_pipeline(spec).fit(data)
         ready = features.transform(data)

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.operators.classifiers import score_column, train
+from tallygrove.operators.classifiers import SECOND_ORDER, score_column, train
 from tallygrove.operators.evaluate import area_under_roc, cv_metrics_summary, performance_bundle
 from tallygrove.operators.explain import feature_importance
 from tallygrove.operators.prepare import prepare
@@ -81,7 +81,7 @@ def _finish(
     scored = stored.transform(validation)
     auc = area_under_roc(scored, score_column(algorithm), spec.table.label)
     log.info("%s saved to %s, validation auc %.6f", algorithm, path, auc)
-    trees = hasattr(stored.stages[-1], "featureImportances")
+    trees = hasattr(stored.stages[-1], "featureImportances") or spec.algorithm == SECOND_ORDER
     importance = feature_importance(stored, validation) if trees else None
     return JobReport(stored, path, counts, auc, importance, found)
 
@@ -90,7 +90,10 @@ def train_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str)
     """Read, clean, split, fit, save, then judge the stored model on the held-out rows."""
     df = _prepared(spark, spec, in_path)
     inside, outside = hash_split(df, spec.table.key, spec.train_rate, spec.seed)
-    model = train(inside, spec.table, spec.algorithm, spec.estimator_params(), spec.seed)
+    model = train(
+        inside, spec.table, spec.algorithm, spec.estimator_params(), spec.seed,
+        validation_rate=spec.validation_rate,
+    )
     return _finish(spec, model, model_path, _counts(df, spec), outside, spec.algorithm)
 
 
@@ -131,14 +134,15 @@ def automl_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str
 
     found = auto_search(
         df, spec.table, spec.max_models, spec.max_runtime_secs, spec.folds, spec.seed,
-        spec.algorithms, spec.parallelism, report,
+        spec.algorithms, spec.parallelism, report, spec.max_candidate_secs, spec.validation_rate,
     )
     target = save_leader(found.leader, model_path, spec.leader_name)
     stored = load_model(target)
     log.info("leader %s saved to %s", found.best.candidate, target)
-    for left_out in found.skipped:
-        log.warning("no time left for %s", left_out)
-    trees = hasattr(stored.stages[-1], "featureImportances")
+    for _, candidate, status in found.left_out:
+        log.warning("%s for lack of time: %s", status, candidate)
+    has_trees = hasattr(stored.stages[-1], "featureImportances")
+    trees = has_trees or found.best.candidate.algorithm == SECOND_ORDER
     by_part = {row["part"]: row["auc"] for row in tables["performance"].collect()}
     return JobReport(
         stored,

@@ -22,8 +22,8 @@ CENSUS_NUMERIC = ("fnlwgt", "age", "capital_gain", "capital_loss", "hours_per_we
 CENSUS_SENTINEL_COLUMNS = ("workclass", "occupation", "native_country")
 
 # Algorithms that read a depth or a step size from the job parameters.
-DEPTH_ALGORITHMS = ("decision_tree", "random_forest", "gbt")
-STEP_ALGORITHMS = ("gbt",)
+DEPTH_ALGORITHMS = ("decision_tree", "random_forest", "gbt", "second_order")
+STEP_ALGORITHMS = ("gbt", "second_order")
 
 
 @dataclass(frozen=True)
@@ -70,8 +70,9 @@ class JobSpec:
     """Parameters of a training or scoring job.
 
     ``max_depth``, ``learning_rate`` and ``params`` set the algorithm of a training or tuning job, and
-    ``grid`` what tuning varies. A search tries its own candidates of ``algorithms`` and reads the last
-    four of the parameters below.
+    ``grid`` what tuning varies. A search tries its own candidates of ``algorithms`` within
+    ``max_models``, ``max_runtime_secs`` and ``max_candidate_secs``. ``validation_rate`` is the share of
+    the training rows that tells boosted trees when to stop.
     """
 
     table: TableSpec
@@ -87,6 +88,8 @@ class JobSpec:
     parallelism: int = 8
     max_models: int = 5
     max_runtime_secs: float | None = 180.0
+    max_candidate_secs: float | None = None
+    validation_rate: float | None = None
     algorithms: tuple[str, ...] = ("gbt",)
     leader_name: str = "automl_leader"
     spark_conf: Mapping[str, str] = field(default_factory=dict)
