@@ -41,6 +41,9 @@ from tallygrove.llm.text import bounded_batches, whole
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN_PATTERN = PATTERN.replace(r"\s+(?!\S)|\s+", r"\s")
 WIDE_SPACE = re.compile(r"\s\s").search
+# White space as the pattern's \s knows it, in runs that are cut off before the pattern sees them: looking
+# ahead, it goes one level deeper for every character of a run.
+LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 END = 50_256  # the number after the last rank; ends a text and pads the last sequence
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ROUNDS = 4
@@ -51,6 +54,8 @@ class Tokenizer:
 
     The pattern looks ahead only to split white space of more than one character. A text without any
     is cut by a pattern that does not look ahead, which gives the same pieces in two thirds of the time.
+    Of a long run of white space all but the last character are a piece of their own, as the pattern has
+    it; at the end of the text the whole run is.
     """
 
     def __init__(self, ranks_file: bytes):
@@ -63,9 +68,18 @@ class Tokenizer:
             ).encode_ordinary
 
         self.any_text, self.plain_text = encoding(PATTERN), encoding(PLAIN_PATTERN)
+        self.piece = encoding(r"[\s\S]+")
 
     def encode(self, text: str) -> list[int]:
-        return self.any_text(text) if WIDE_SPACE(text) else self.plain_text(text)
+        if not WIDE_SPACE(text):
+            return self.plain_text(text)
+        out, at = [], 0
+        for run in LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.any_text(text[at : run.start()])
+            out += self.piece(text[run.start() : end])
+            at = end
+        return out + self.any_text(text[at:])
 
 
 def _packed(numbers: list[int]) -> bytes:
