@@ -491,6 +491,42 @@ _BOARD = (
     "CAST(count(*) OVER () AS INTEGER) AS candidates"
 )
 
+# The curve of naive Bayes on the rows it learned from and on the others: totals at and above each score.
+CURVE = (
+    naive_bayes(FIT_INSIDE, "SELECT 0 AS g, * FROM prepared"),
+    """
+points AS (
+  SELECT CASE WHEN i.o_orderkey IS NULL THEN 'holdout' ELSE 'train' END AS part, round(p1, 12) AS s,
+         count(*) FILTER (nb.label = 1) AS pos, count(*) FILTER (nb.label = 0) AS neg
+  FROM nb LEFT JOIN inside i ON i.o_orderkey = nb.o_orderkey GROUP BY ALL),
+curve AS MATERIALIZED (
+  SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER p AS n_pos, sum(neg) OVER p AS n_neg
+  FROM points WINDOW w AS (PARTITION BY part ORDER BY s DESC), p AS (PARTITION BY part)),
+cells AS (
+  SELECT part, s, tp::DOUBLE AS tp, fp::DOUBLE AS fp, (n_pos - tp)::DOUBLE AS fn, (n_neg - fp)::DOUBLE AS tn
+  FROM curve)""",
+)
+
+
+def _f(beta: float) -> str:
+    square = beta * beta
+    return f"{1 + square} * tp / ({1 + square} * tp + {square} * fn + fp)"
+
+
+_CRITERIA = {
+    "f1": _f(1),
+    "f2": _f(2),
+    "f0point5": _f(0.5),
+    "accuracy": "(tp + tn) / (tp + fp + tn + fn)",
+    "precision": "tp / (tp + fp)",
+    "recall": "tp / (tp + fn)",
+    "specificity": "tn / (tn + fp)",
+    "absolute_mcc": "CASE WHEN tn + fn > 0 THEN "
+    "abs((tp * tn - fp * fn) / sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))) END",
+    "min_per_class_accuracy": "least(tp / (tp + fn), tn / (tn + fp))",
+    "mean_per_class_accuracy": "(tp / (tp + fn) + tn / (tn + fp)) / 2",
+}
+
 ORACLES: dict[str, str] = {
     "read_delimited": ORDERS_TEXT,
     "read_delimited_header": ORDERS_TEXT,
@@ -827,6 +863,43 @@ judged AS (
   FROM nb LEFT JOIN inside i ON i.o_orderkey = nb.o_orderkey)""",
         auc("judged", "part"),
     ),
+    "ranking_areas": with_profile(
+        """
+        SELECT part,
+               round(sum(neg * (tp - pos + pos / 2)) / any_value(n_pos::DOUBLE * n_neg), 6) AS auc,
+               round(sum(pos * tp / (tp + fp)) / any_value(n_pos), 6) AS auc_pr
+        FROM curve GROUP BY part""",
+        *CURVE,
+    ),
+    "best_thresholds": with_profile(
+        "\nUNION ALL ".join(
+            f"SELECT part, '{name}' AS criterion, round(s, 6) AS threshold, round(v, 6) AS value "
+            f"FROM (SELECT part, s, {value} AS v FROM cells) WHERE v IS NOT NULL "
+            "QUALIFY row_number() OVER (PARTITION BY part ORDER BY v DESC, s DESC) = 1"
+            for name, value in _CRITERIA.items()
+        ),
+        *CURVE,
+    ),
+    "gains_lift": with_profile(
+        """
+        SELECT part, CAST(slice AS INTEGER) AS "group", n, round(low, 6) AS lower_threshold,
+               round((tp + fp) / total, 6) AS cumulative_share,
+               round(pos / n, 6) AS response_rate, round(pos / n / base, 6) AS lift,
+               round(tp / (tp + fp), 6) AS cumulative_response_rate,
+               round(tp / (tp + fp) / base, 6) AS cumulative_lift,
+               round(pos / n_pos, 6) AS capture_rate, round(tp / n_pos, 6) AS cumulative_capture_rate,
+               round(100 * (pos / n / base - 1), 6) AS gain,
+               round(100 * (tp / (tp + fp) / base - 1), 6) AS cumulative_gain,
+               round(tp / n_pos - fp / n_neg, 6) AS kolmogorov_smirnov
+        FROM (
+          SELECT part, floor((tp + fp - pos - neg) * 16 / (n_pos + n_neg)) + 1 AS slice, min(s) AS low,
+                 sum(pos) AS pos, sum(neg) AS neg, max(tp) AS tp, max(fp) AS fp,
+                 any_value(n_pos) AS n_pos, any_value(n_neg) AS n_neg,
+                 (sum(pos) + sum(neg))::BIGINT AS n, any_value(n_pos + n_neg) AS total,
+                 any_value(n_pos / (n_pos + n_neg)) AS base
+          FROM curve GROUP BY part, slice)""",
+        *CURVE,
+    ),
     "cv_metrics_summary": with_profile(
         """
         SELECT metric, fold, round(value, 6) AS value,

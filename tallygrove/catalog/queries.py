@@ -792,6 +792,30 @@ def performance_bundle(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_performance(ev.performance_bundle(parts))
 
 
+def _ranking(spark: SparkSession, sf: str) -> ev.RankingReport:
+    model, inside, outside = _nb(spark, sf)
+    return ev.ranking_report({"train": model.transform(inside), "holdout": model.transform(outside)})
+
+
+@query
+def ranking_areas(spark: SparkSession, sf: str) -> DataFrame:
+    table = _ranking(spark, sf).areas
+    return table.select("part", _r("auc").alias("auc"), _r("auc_pr").alias("auc_pr"))
+
+
+@query
+def best_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    table = _ranking(spark, sf).thresholds
+    return table.select("part", "criterion", _r("threshold").alias("threshold"), _r("value").alias("value"))
+
+
+@query
+def gains_lift(spark: SparkSession, sf: str) -> DataFrame:
+    table = _ranking(spark, sf).gains
+    rounded = [c for c in table.columns if c not in ("part", "group", "n")]
+    return table.select("part", "group", "n", *(_r(c).alias(c) for c in rounded))
+
+
 @query
 def cv_metrics_summary(spark: SparkSession, sf: str) -> DataFrame:
     inside = _parts(spark, sf)[0]

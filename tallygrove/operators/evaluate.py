@@ -7,7 +7,8 @@ one unpartitioned window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import inf
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators.scoring import require_probability
+from tallygrove.sources.scratch import saved_table
 
 # Fixed value: the clip that keeps log loss finite.
 LOG_LOSS_CLIP = 1e-15
@@ -274,6 +276,132 @@ def performance_bundle(
     return performance(judged, label, ["part", "threshold"]).join(areas, "part")
 
 
+def _criteria() -> dict[str, Column]:
+    """What a threshold at a score of the curve is worth, by each criterion."""
+    tp, fp, n_pos, n_neg = (F.col(c).cast("double") for c in ("tp", "fp", "n_pos", "n_neg"))
+    fn, tn = n_pos - tp, n_neg - fp
+    recall, specificity = F.try_divide(tp, n_pos), F.try_divide(tn, n_neg)
+
+    def f_score(beta: float) -> Column:
+        square = beta * beta
+        return (1 + square) * tp / ((1 + square) * tp + square * fn + fp)
+
+    correlation = (tp * tn - fp * fn) / F.sqrt((tp + fp) * n_pos * n_neg * (tn + fn))
+    return {
+        "f1": f_score(1.0),
+        "f2": f_score(2.0),
+        "f0point5": f_score(0.5),
+        "accuracy": (tp + tn) / (n_pos + n_neg),
+        "precision": tp / (tp + fp),
+        "recall": recall,
+        "specificity": specificity,
+        "absolute_mcc": F.when((tp + fp > 0) & (tn + fn > 0) & (n_pos > 0) & (n_neg > 0), F.abs(correlation)),
+        "min_per_class_accuracy": F.least(recall, specificity),
+        "mean_per_class_accuracy": (recall + specificity) / 2,
+    }
+
+
+def best_thresholds(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(criterion, threshold, value): the lowest score to call positive that is best by each criterion.
+
+    All criteria come from one pass over a ``score_curve``. Of equally good scores the highest is taken;
+    a criterion that is not defined (one class only) has no threshold.
+    """
+    rows = [
+        F.struct(
+            F.lit(name).alias("criterion"),
+            F.max_by("score", F.struct(value, "score")).alias("threshold"),
+            F.max(value).alias("value"),
+        )
+        for name, value in _criteria().items()
+    ]
+    best = curve.groupBy(*by).agg(F.array(*rows).alias("_rows")).select(*by, F.inline("_rows"))
+    return best.withColumn("threshold", F.when(F.col("value").isNotNull(), F.col("threshold")))
+
+
+def gains_lift(curve: DataFrame, groups: int = 16, by: Sequence[str] = ()) -> DataFrame:
+    """The gains and lift table of a ``score_curve``: rows by falling score in ``groups`` equal groups.
+
+    Rows of equal score stay together, in the group that their first row falls into, so groups differ in
+    size where scores repeat, and one that begins no score is left out. The curve knows the rows above
+    each score, so no row is ranked again.
+    """
+    rows = F.col("n_pos") + F.col("n_neg")
+    above = F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg")
+    cut = (F.floor(above * groups / rows) + 1).cast("int").alias("group")
+    summed = curve.groupBy(*by, cut).agg(
+        F.min("score").alias("lower_threshold"),
+        F.sum("pos").alias("pos"),
+        F.sum("neg").alias("neg"),
+        F.max("tp").alias("tp"),
+        F.max("fp").alias("fp"),
+        F.first("n_pos").alias("n_pos"),
+        F.first("n_neg").alias("n_neg"),
+    )
+    n, total = F.col("pos") + F.col("neg"), F.col("n_pos") + F.col("n_neg")
+    base = F.col("n_pos") / total
+    rate, cumulative = F.col("pos") / n, F.col("tp") / (F.col("tp") + F.col("fp"))
+    capture = F.try_divide(F.col("tp").cast("double"), F.col("n_pos"))
+    columns = {
+        "n": n,
+        "lower_threshold": F.col("lower_threshold"),
+        "cumulative_share": (F.col("tp") + F.col("fp")) / total,
+        "response_rate": rate,
+        "lift": F.try_divide(rate, base),
+        "cumulative_response_rate": cumulative,
+        "cumulative_lift": F.try_divide(cumulative, base),
+        "capture_rate": F.try_divide(F.col("pos").cast("double"), F.col("n_pos")),
+        "cumulative_capture_rate": capture,
+        "gain": 100 * (F.try_divide(rate, base) - 1),
+        "cumulative_gain": 100 * (F.try_divide(cumulative, base) - 1),
+        "kolmogorov_smirnov": capture - F.try_divide(F.col("fp").cast("double"), F.col("n_neg")),
+    }
+    return summed.select(*by, "group", *(column.alias(name) for name, column in columns.items()))
+
+
+def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(auc, auc_pr) of a ``score_curve``; NULL where a class is missing.
+
+    The area under precision and recall is the average precision: each step of the recall weighs the
+    precision at its score.
+    """
+    wins = F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2)
+    pairs = F.first("n_pos").cast("double") * F.first("n_neg")
+    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return curve.groupBy(*by).agg(
+        F.try_divide(F.sum(wins), pairs).alias("auc"),
+        F.try_divide(steps, F.first("n_pos").cast("double")).alias("auc_pr"),
+    )
+
+
+@dataclass(frozen=True)
+class RankingReport:
+    """How well scores rank rows, by part: areas, best thresholds, gains and lift."""
+
+    areas: DataFrame
+    thresholds: DataFrame
+    gains: DataFrame
+
+
+def ranking_report(
+    parts: Mapping[str, DataFrame], label: str = "label", score: str = "probability", groups: int = 16
+) -> RankingReport:
+    """The three tables of several scored tables, from one curve that is written once.
+
+    Each part is read once, to count its rows by score; everything else comes from those counts.
+    """
+    counted = reduce(
+        DataFrame.unionByName,
+        (
+            score_points(part, positive_score(part, score), label).select(F.lit(name).alias("part"), "*")
+            for name, part in parts.items()
+        ),
+    )
+    curve = saved_table(score_curve(saved_table(counted, "score-points"), ["part"]), "score-curve")
+    by = ["part"]
+    return RankingReport(curve_areas(curve, by), best_thresholds(curve, by), gains_lift(curve, groups, by))
+
+
 def cv_metrics_summary(
     oof: DataFrame, label: str = "label", fold: str = "fold"
 ) -> DataFrame:
