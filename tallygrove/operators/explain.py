@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators.boosting import SecondOrderModel
+from tallygrove.operators.calibrate import uncalibrated
 from tallygrove.operators.features import (
     FEATURES,
     IMPUTED_SUFFIX,
@@ -532,6 +533,7 @@ def contributions(
     """
     if method not in ("reference", "path"):
         raise ValueError("method must be 'reference' or 'path'")
+    model = uncalibrated(model)
     if isinstance(model.stages[-1], LINEAR_MODELS):
         return linear_contributions(model, df, spec, background, bias=method == "path")
     return path_contributions(model, df, spec) if method == "path" else tree_contributions(model, df, spec)

@@ -23,8 +23,8 @@ SCORE_COLUMNS = ("rawPrediction", "probability", "prediction", "prob")
 def require_probability(df: DataFrame) -> None:
     if "probability" not in df.columns:
         raise ValueError(
-            "these predictions carry no probability (a linear SVM has none); "
-            "use rawPrediction or prediction"
+            "these predictions carry no probability (a linear SVM has none of its own); "
+            "use rawPrediction or prediction, or train it with calibrate.train_calibrated"
         )
 
 

@@ -375,8 +375,9 @@ def auto_search(
 
 
 def actual_params(model: PipelineModel) -> dict[str, str]:
-    """Every parameter of the fitted classifier, set or default."""
-    return {p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()}
+    """Every parameter of the fitted classifier, set or default; a curve of its margins is left out."""
+    fitted = next(s for s in reversed(model.stages) if s.hasParam("labelCol"))
+    return {p.name: str(v) for p, v in fitted.extractParamMap().items()}
 
 
 def params_table(spark: SparkSession, model: PipelineModel) -> DataFrame:

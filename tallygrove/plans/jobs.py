@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrove.operators.calibrate import train_calibrated
 from tallygrove.operators.classifiers import SECOND_ORDER, score_column, train
 from tallygrove.operators.evaluate import area_under_roc, cv_metrics_summary, performance_bundle
 from tallygrove.operators.explain import feature_importance
@@ -87,13 +88,22 @@ def _finish(
 
 
 def train_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str) -> JobReport:
-    """Read, clean, split, fit, save, then judge the stored model on the held-out rows."""
+    """Read, clean, split, fit, save, then judge the stored model on the held-out rows.
+
+    A linear SVM is stored with probabilities, from ``spec.folds`` more fits.
+    """
     df = _prepared(spark, spec, in_path)
     inside, outside = hash_split(df, spec.table.key, spec.train_rate, spec.seed)
-    model = train(
-        inside, spec.table, spec.algorithm, spec.estimator_params(), spec.seed,
-        validation_rate=spec.validation_rate,
-    )
+    if spec.algorithm == "linear_svm":
+        # It has margins only; with the curve of its margins a scoring job can use it.
+        model = train_calibrated(
+            inside, spec.table, spec.algorithm, spec.estimator_params(), spec.seed, spec.folds, spec.parallelism
+        )
+    else:
+        model = train(
+            inside, spec.table, spec.algorithm, spec.estimator_params(), spec.seed,
+            validation_rate=spec.validation_rate,
+        )
     return _finish(spec, model, model_path, _counts(df, spec), outside, spec.algorithm)
 
 
