@@ -146,6 +146,8 @@ def read_delimited_header(spark: SparkSession, sf: str) -> DataFrame:
 def scores_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     model, _, outside = _nb(spark, sf)
     path = scratch_path(spark, "scores")
+    # Published twice: readers follow the pointer to the second.
+    write_scores(scoring.score_table(model, outside.limit(0), KEY), path)
     write_scores(scoring.score_table(model, outside, KEY), path)
     return _probabilities(read_scores(spark, path))
 
