@@ -1061,6 +1061,10 @@ judged AS (
                     ELSE 'validation' END, CAST(count(*) AS VARCHAR)
         FROM prepared GROUP BY 1"""
     ),
+    "score_new_files": with_profile(
+        "SELECT o_orderkey, round(p1, 6) AS p1, prediction, count(*) OVER () AS rows_seen, 0::BIGINT AS idle_rows FROM nb",
+        NB_ALL,
+    ),
     "svm_calibration": with_profile(
         "SELECT count(*) AS n, round(avg(label), 4) AS positive_rate, round(avg(label), 4) AS mean_chance FROM inside"
     ),

@@ -1106,6 +1106,26 @@ def predict_job(spark: SparkSession, sf: str) -> DataFrame:
     return _probabilities(raw)
 
 
+@query
+def score_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops of files, each scored when it comes, and a run that finds nothing new."""
+    model, _, _ = _nb(spark, sf)
+    stored, text = scratch_path(spark, "model"), scratch_path(spark, "drops")
+    save_model(model, stored)
+    whole = spark.read.text(_labelless_text(spark, sf))
+    out, progress = scratch_path(spark, "scores"), scratch_path(spark, "progress")
+    spec = JobSpec(_trimmed_spec(), "naive_bayes")
+    n_rows = []
+    for drop in splits.hash_split(whole, ("value",), 0.5, SEED):
+        drop.write.mode("append").text(text)
+        n_rows.append(jobs.score_new_files(spark, spec, text, stored, out, progress))
+    n_rows.append(jobs.score_new_files(spark, spec, text, stored, out, progress))
+    scores = read_scores(spark, out)
+    return _probabilities(scores).withColumn("rows_seen", F.lit(sum(n_rows)).cast("long")).withColumn(
+        "idle_rows", F.lit(n_rows[-1]).cast("long")
+    )
+
+
 @query
 def svm_calibration(spark: SparkSession, sf: str) -> DataFrame:
     """The curve of out-of-fold margins: at its best, chances add up to the positives it was fitted on."""

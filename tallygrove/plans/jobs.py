@@ -181,6 +181,37 @@ def predict_job(
     return read_scores(spark, out_path)
 
 
+def score_new_files(
+    spark: SparkSession,
+    spec: JobSpec,
+    in_path: str,
+    model_path: str,
+    out_path: str,
+    progress_path: str,
+    form: str = "ml",
+    files_per_batch: int | None = None,
+) -> int:
+    """Score the files that came to ``in_path`` since the last run; how many rows that were.
+
+    ``progress_path`` keeps which files were scored and which output belongs to them, so a run that is
+    killed goes on where it was, and a run without new files writes nothing. The scores are added to the
+    parquet table at ``out_path``, each row once. ``files_per_batch`` bounds what one batch reads. The
+    model of the first run may be replaced between runs; files that were scored stay as they are.
+    """
+    table = spec.table
+    options = {} if files_per_batch is None else {"maxFilesPerTrigger": str(files_per_batch)}
+    stream = spark.readStream.options(**options)
+    if table.schema is None:
+        raw = stream.schema(spark.read.parquet(in_path).schema).parquet(in_path)
+    else:
+        raw = read_table(stream, in_path, table.schema, table.header, table.separator)
+    scored = score_table(load_model(model_path), prepare(raw, table, with_label=False), table.key, form)
+    writer = scored.writeStream.format("parquet").outputMode("append")
+    run = writer.option("checkpointLocation", progress_path).trigger(availableNow=True).start(out_path)
+    run.awaitTermination()
+    return sum(batch["numInputRows"] for batch in run.recentProgress)
+
+
 def train_and_score(
     spark: SparkSession,
     spec: JobSpec,

@@ -6,19 +6,21 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 
 def read_table(
-    spark: SparkSession,
+    source: SparkSession | DataStreamReader,
     path: str,
     schema: str | StructType,
     header: bool = False,
     sep: str = ",",
 ) -> DataFrame:
-    """Delimited text with an explicit schema. Blanks around values are kept as data."""
+    """Delimited text with an explicit schema, of a session or a stream. Blanks around values are data."""
+    reader = source.read if isinstance(source, SparkSession) else source
     return (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("sep", sep)
         .option("header", header)
         .option("ignoreLeadingWhiteSpace", False)
