@@ -64,7 +64,7 @@ def op4_line_chain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = line_crf.scored(documents.select("doc_id", "text"), model, "score")
     return scored.select(
         "doc_id",
-        held_out.alias("held_out"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
@@ -79,7 +79,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder("doc_id", 3) == 1
     model = language_id.train_languages(documents.filter(~held_out))
     found = language_id.identified(documents.select("doc_id", "text"), model)
-    return found.select("doc_id", held_out.alias("held_out"), "_lang.*")
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "_lang.*")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
