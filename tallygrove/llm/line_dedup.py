@@ -1,20 +1,23 @@
 """Fuzzy line dedup: MinHash of character shingles, banding, exact Jaccard, one line per component.
 
-Every line with at least ``shingle`` characters gets a signature of ``BANDS * ROWS`` minima over its
-character shingles, computed where the text is read. One changed character touches as many shingles as
-a shingle has characters, so with long shingles short lines are never found after one edit: the query
-works on 5 characters, ``SHINGLE`` is what the functions take when nothing is said. Equal lines are brought together first. Lines that
-agree in a whole band share a bucket (at a similarity of 0.8 a pair shares one with a probability of
-98.5 %). Buckets with the same members are one. The texts of lines in shared buckets, and only those,
-are fetched, and within a bucket the exact Jaccard similarity of the shingle sets decides; a pair that
-is already connected needs no comparison, so only a spanning forest leaves the task. Buckets beyond
-``BUCKET_LINES`` are cut into parts and every pair of parts is a task. Components come from
-``components``; of each the first line stays, in the order of document id, row and line number.
+Every line with at least ``SHINGLE`` characters gets ``MINIMA`` minima over hashes of its character
+shingles, computed where the text is read; each of ``BANDS`` bands takes ``ROWS`` of them. One changed
+character touches as many shingles as a shingle has characters, so longer shingles would miss short lines
+after one edit. Lines that agree in a whole band share a bucket: long bands keep unrelated lines apart,
+many bands keep a pair at a similarity of 0.8 together with a probability of about 99.8 %.
+
+(bucket, line) entries travel packed, as one array per part of the buckets, and a task sorts one part at a
+time. It holds about ``HELD`` entries: buckets that have grown large by then are passed on as they come.
+Buckets with the same members are one. The texts of lines in shared buckets, and only those, are fetched,
+and within a bucket the exact Jaccard similarity of the shingle sets decides; a pair that is already
+connected needs no comparison, so only a spanning forest leaves the task. Buckets beyond ``BUCKET_LINES``
+are cut into parts and every pair of parts is a task. Components come from ``components``; of each the
+first line stays, in the order of document id, row and line number.
 
 Shorter lines are duplicates only when they are equal. Lines without a visible character (blanks only)
-always stay. A null text has no line. Rows that are equal in all columns count as one row, so each
-appears once in the result. A null ``doc_id`` comes after all others. An empty table gives an empty
-result.
+always stay. A null text has no line. A very long line is hashed by itself. Rows that are equal in all
+columns count as one row, so each appears once in the result. A null ``doc_id`` comes after all others. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,22 +34,34 @@ from tallygrove.llm.components import star_forest
 from tallygrove.llm.tables import packed, row_key, saved
 from tallygrove.llm.text import bounded_batches, points, runs, whole
 
-SHINGLE = 8
-BANDS, ROWS = 8, 4
+SHINGLE = 5
+MINIMA, BANDS, ROWS = 64, 24, 6
 LEAST = 0.8
 BUCKET_LINES = 500
 BUCKET_CHARS = 2_000_000
-NAMED = 100_000
-_FACTORS = np.array(
-    [(0x9E3779B1 * (2 * i + 1) ^ (0x85EBCA6B * i)) & 0xFFFFFFFF | 1 for i in range(BANDS * ROWS)], np.uint32
-)
-
-
-def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
-    """One 64-bit number per band for each line; the lines have at least ``shingle`` characters."""
-    p = points(lines)
-    # Hashes of 2, 4, 8 ... characters, each from two of the one before; then one character at a time.
-    own = p.codes * np.uint32(0x85EBCA6B)
+# Entries are a bucket and a line. A part of the buckets is meant to have ``PART_ENTRIES``, a task packs
+# ``PACKED`` at a time, holds ``HELD`` of a part and then passes on buckets of more than ``LARGE`` lines.
+PART_ENTRIES = 2_000_000
+PACKED = 1_000_000
+HELD = 4_000_000
+LARGE = 1_000
+ENTRY = np.dtype([("bucket", "<u4"), ("h1", "<i8")])
+
+_DRAW = np.random.default_rng(11)
+_FACTORS = _DRAW.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
+# Bands out of one order of the minima share none.
+_ORDERS = -(-BANDS // (MINIMA // ROWS))
+_BAND_MINIMA = np.concatenate(
+    [_DRAW.permutation(MINIMA)[: MINIMA // ROWS * ROWS].reshape(-1, ROWS) for _ in range(_ORDERS)]
+)[:BANDS]
+
+
+def _hashes(codes: np.ndarray, shingle: int) -> np.ndarray:
+    """The 32-bit hash of the shingle that begins at each place.
+
+    Hashes of 2, 4, 8 ... characters come from two of the one before; then one character at a time.
+    """
+    own = codes * np.uint32(0x85EBCA6B)
     h, width = own, 1
     while width < shingle:
         step = width if 2 * width <= shingle else 1
@@ -56,26 +71,55 @@ def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
         width += step
     h *= np.uint32(0x27D4EB2F)
     h ^= h >> np.uint32(13)
+    return h
+
+
+def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
+    """One 64-bit number per band for each line; the lines have at least ``shingle`` characters."""
+    p = points(lines)
+    h = _hashes(p.codes, shingle)
     edges = np.column_stack([p.begins, p.ends - shingle + 1]).ravel()
-    bands = np.zeros((len(lines), BANDS), np.uint64)
+    least, product = np.empty((MINIMA, len(lines)), np.uint64), np.empty_like(h)
     for i, factor in enumerate(_FACTORS):
-        least = np.minimum.reduceat(h * factor, edges)[::2].astype(np.uint64)
-        band = bands[:, i // ROWS]
-        band ^= least + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        band *= np.uint64(0xBF58476D1CE4E5B9)
-        band ^= band >> np.uint64(31)
+        np.multiply(h, factor, out=product)
+        least[i] = np.minimum.reduceat(product, edges)[::2]
+    bands = np.empty((len(lines), BANDS), np.uint64)
+    for i, members in enumerate(_BAND_MINIMA):
+        band = np.full(len(lines), (i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1), np.uint64)
+        for member in members:
+            band ^= least[member]
+            band *= np.uint64(0xBF58476D1CE4E5B9)
+            band ^= band >> np.uint64(31)
+        bands[:, i] = band
     return bands.view(np.int64)
 
 
-BAND_COLUMNS = [f"band{i}" for i in range(BANDS)]
+def _packed_entries(bands: list[np.ndarray], h1: list[np.ndarray], parts: int) -> pd.DataFrame:
+    """One row per part of the buckets with the entries of all these lines in it."""
+    values = np.concatenate(bands).view(np.uint64).ravel()
+    part = ((values >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part)
+    entries = np.empty(len(values), ENTRY)
+    entries["bucket"] = values.astype(np.uint32)[order]
+    entries["h1"] = np.repeat(np.concatenate(h1), BANDS)[order]
+    part = part[order]
+    begins = np.flatnonzero(np.diff(part, prepend=-1))
+    cut = np.split(entries, begins[1:])
+    return pd.DataFrame({"part": part[begins], "entries": [e.tobytes() for e in cut]})
 
 
-def _banded(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
+def _dealt(batches: Iterator[pd.DataFrame], shingle: int, parts: int) -> Iterator[pd.DataFrame]:
+    bands: list[np.ndarray] = []
+    h1: list[np.ndarray] = []
     for batch in batches:
-        found = [signatures(run, shingle) for run in runs(whole(batch["line"]))]
-        if found:
-            bands = pd.DataFrame(np.concatenate(found), columns=BAND_COLUMNS)
-            yield pd.concat([batch[["h1", "chars"]].reset_index(drop=True), bands], axis=1)
+        batch = batch.drop_duplicates("h1")
+        bands += [signatures(run, shingle) for run in runs(whole(batch["line"]))]
+        h1.append(batch["h1"].to_numpy(np.int64))
+        if sum(map(np.size, bands)) >= PACKED:
+            yield _packed_entries(bands, h1, parts)
+            bands, h1 = [], []
+    if bands:
+        yield _packed_entries(bands, h1, parts)
 
 
 def _lines(documents: DataFrame, *more: Column | str) -> DataFrame:
@@ -87,89 +131,128 @@ def _lines(documents: DataFrame, *more: Column | str) -> DataFrame:
     )
 
 
-def _members(bucket, h1: np.ndarray, chars: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"bucket": bucket, "h1": h1, "chars": chars})
+def _runs_of(sorted_values: np.ndarray) -> np.ndarray:
+    """For each value how often it occurs."""
+    begins = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+    sizes = np.diff(np.append(begins, len(sorted_values)))
+    return np.repeat(sizes, sizes)
 
 
-def _named(bucket: np.ndarray, h1: np.ndarray, chars: np.ndarray) -> pd.DataFrame:
-    """The rows of whole buckets with two or more lines, each bucket named by a hash of its members."""
+def _named(bucket: np.ndarray, h1: np.ndarray) -> pd.DataFrame:
+    """The entries of whole, sorted buckets, each bucket named by a hash of its members."""
     begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    sizes = np.diff(np.append(begins, len(bucket)))
-    several = np.repeat(sizes > 1, sizes)
-    h1, chars, sizes = h1[several], chars[several], sizes[sizes > 1]
-    if not len(h1):
-        return _members(h1, h1, chars)
     h = h1.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    names = np.add.reduceat(h, np.cumsum(sizes) - sizes).view(np.int64)
-    return _members(np.repeat(names, sizes), h1, chars)
+    names = np.add.reduceat(h, begins).view(np.int64)
+    return pd.DataFrame({"bucket": np.repeat(names, np.diff(np.append(begins, len(bucket)))), "h1": h1})
+
+
+def _distinct(entries: np.ndarray) -> np.ndarray:
+    """The entries in order, each once."""
+    entries = entries[np.lexsort((entries["h1"], entries["bucket"]))]
+    bucket, h1 = entries["bucket"], entries["h1"]
+    return entries[np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (h1[1:] != h1[:-1])])[: len(entries)]]
+
+
+class _Part:
+    """Entries of one part of the buckets, as they come."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.held: list[np.ndarray] = []
+        self.size, self.most = 0, HELD
+        self.passed = np.zeros(0, np.uint32)  # buckets whose lines are passed on at once
+
+    def take(self, entries: np.ndarray) -> Iterator[pd.DataFrame]:
+        self.held.append(entries)
+        self.size += len(entries)
+        if self.size < self.most:
+            return
+        held = _distinct(np.concatenate(self.held))
+        bucket = held["bucket"]
+        large = (_runs_of(bucket) > LARGE) | np.isin(bucket, self.passed)
+        self.passed = np.union1d(self.passed, bucket[large])
+        yield from self._pass_on(held[large])
+        self.held, self.size = [held[~large]], int((~large).sum())
+        self.most = max(HELD, 2 * self.size)
+
+    def rest(self) -> Iterator[pd.DataFrame]:
+        """Members of the remaining buckets with two or more lines."""
+        held = np.concatenate(self.held)
+        held = held[np.argsort(held["bucket"])]
+        known = np.isin(held["bucket"], self.passed)
+        yield from self._pass_on(held[known])
+        held = held[~known]
+        # Most buckets have one line; only the others are worth a sort by line.
+        if len(held):
+            held = held[_runs_of(held["bucket"]) > 1]
+        held = _distinct(held)
+        if len(held):
+            held = held[_runs_of(held["bucket"]) > 1]
+        if len(held):
+            yield _named(np.ascontiguousarray(held["bucket"]), np.ascontiguousarray(held["h1"]))
+
+    def _pass_on(self, entries: np.ndarray) -> Iterator[pd.DataFrame]:
+        if len(entries):
+            name = (np.uint64(self.number) << np.uint64(32)) + entries["bucket"].astype(np.uint64)
+            name *= np.uint64(0x9E3779B97F4A7C15)
+            yield pd.DataFrame({"bucket": name.view(np.int64), "h1": entries["h1"]})
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Members of buckets with two or more lines, named by a hash of all members.
-
-    Rows come sorted by bucket, and the last bucket of a batch waits for the next one. If ``NAMED`` rows of
-    it wait, it keeps the name it has and is passed on in parts.
-    """
-    names = ("bucket", "h1", "chars")
-    waiting, passed_on = [np.zeros(0, np.int64)] * 3, None
+    """Members of buckets with two or more lines; rows come sorted by part."""
+    own = None
     for batch in batches:
-        rows = [np.concatenate([w, batch[c].to_numpy(np.int64)]) for w, c in zip(waiting, names)]
-        bucket = rows[0]
-        if passed_on is not None:
-            same = bucket == passed_on
-            yield _members(*(r[same] for r in rows))
-            rows = [r[~same] for r in rows]
-            bucket = rows[0]
-        if not len(bucket):
-            waiting = rows
-            continue
-        last = bucket == bucket[-1]
-        yield _named(*(r[~last] for r in rows))
-        waiting, passed_on = [r[last] for r in rows], None
-        if len(waiting[0]) >= NAMED:
-            yield _members(*waiting)
-            passed_on = bucket[-1]
-            waiting = [np.zeros(0, np.int64)] * 3
-    if len(waiting[0]):
-        yield _named(*waiting)
-
-
-def hashed_shingles(line: str, shingle: int = SHINGLE) -> np.ndarray:
-    """The line's shingles as sorted, distinct 64-bit hashes."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h = np.zeros(len(codes) - shingle + 1, np.uint64)
-    for i in range(shingle):
-        h += codes[i : len(codes) - shingle + 1 + i]
-        h *= np.uint64(0x5851F42D4C957F2D)
-        h ^= h >> np.uint64(33)
-    return np.unique(h)
+        for number, entries in zip(batch["part"], batch["entries"]):
+            if own is None or number != own.number:
+                if own is not None:
+                    yield from own.rest()
+                own = _Part(number)
+            yield from own.take(np.frombuffer(entries, ENTRY))
+    if own is not None:
+        yield from own.rest()
+
+
+def shingle_sets(lines: list[str], shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Each line's shingles as sorted, distinct 64-bit hashes."""
+    for run in runs(lines):
+        p = points(run)
+        codes = p.codes.astype(np.uint64)
+        h = np.zeros(len(codes) - shingle + 1, np.uint64)
+        for i in range(shingle):
+            h += codes[i : len(codes) - shingle + 1 + i]
+            h *= np.uint64(0x5851F42D4C957F2D)
+            h ^= h >> np.uint64(33)
+        for begin, end in zip(p.begins.tolist(), p.ends.tolist()):
+            own = np.sort(h[begin : end - shingle + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the Jaccard similarity of two sets is at least ``LEAST``."""
     if min(len(a), len(b)) < LEAST * max(len(a), len(b)):
         return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common >= LEAST * (len(a) + len(b) - common) - 1e-9
+    both = np.concatenate((a, b))
+    both.sort()
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return common >= LEAST * (len(both) - common) - 1e-9
 
 
 class _Bucket:
     """Links of one bucket, or between two parts of a large one, as a spanning forest."""
 
-    def __init__(self, one_part: bool, shingle: int):
-        self.one_part, self.shingle = one_part, shingle
+    def __init__(self, one_part: bool):
+        self.one_part = one_part
         self.groups: list[list[tuple[int, np.ndarray, bool]]] = []
 
-    def take(self, number: int, line: str, low: bool) -> Iterator[tuple[int, int]]:
+    def take(self, number: int, own: np.ndarray, low: bool) -> Iterator[tuple[int, int]]:
         """A line is compared with each group until it is linked to it.
 
         Between two parts only lines of different parts are compared. A line that others link to comes
         to the front of its group, so the original of many variants is compared with first.
         """
-        own = hashed_shingles(line, self.shingle)
         joined, apart = [], []
         for group in self.groups:
             at = next(
@@ -194,36 +277,42 @@ def _links(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFra
     current, bucket = None, None
     for batch in batches:
         out: list[tuple[int, int]] = []
-        columns = (batch[c].tolist() for c in ("bucket", "low", "high", "own", "h1", "line"))
-        for name, low, high, own, h1, line in zip(*columns):
+        columns = (batch[c].tolist() for c in ("bucket", "low", "high", "own", "h1"))
+        sets = shingle_sets(batch["line"].tolist(), shingle)
+        for name, low, high, own, h1, shingles in zip(*columns, sets):
             if (name, low, high) != current:
-                current, bucket = (name, low, high), _Bucket(low == high, shingle)
-            out.extend(bucket.take(h1, line, own == low))
+                current, bucket = (name, low, high), _Bucket(low == high)
+            out.extend(bucket.take(h1, shingles, own == low))
         yield pd.DataFrame(out, columns=["first", "second"], dtype=np.int64)
 
 
 def near_links(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(first, second): hashes of lines at least 0.8 similar, enough to connect all such lines."""
     bounded_batches(documents)
-    long_lines = _lines(documents).filter(F.length("line") >= shingle)
-    sized = long_lines.select("h1", F.length("line").cast("long").alias("chars"), "line")
-    kinds = ", ".join(f"{c} LONG" for c in ("h1", "chars", *BAND_COLUMNS))
-    single = sized.mapInPandas(partial(_banded, shingle=shingle), kinds).dropDuplicates(["h1"])
-    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.col(c).alias("value")) for i, c in enumerate(BAND_COLUMNS)))
-    buckets = single.select("h1", "chars", F.inline(bands)).select(
-        F.xxhash64("band", "value").alias("bucket"), "h1", "chars"
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = documents.agg(F.coalesce(F.sum(breaks + 1), F.lit(0))).first()[0]
+    parts = max(1, -(-n_lines * BANDS // PART_ENTRIES))
+    long_lines = _lines(documents).filter(F.length("line") >= shingle).select("h1", "line")
+    dealt = long_lines.mapInPandas(
+        partial(_dealt, shingle=shingle, parts=parts), "part LONG, entries BINARY"
     )
-    sorted_buckets = buckets.repartition("bucket").sortWithinPartitions("bucket", "h1")
-    shared = sorted_buckets.mapInPandas(_shared, "bucket LONG, h1 LONG, chars LONG")
+    by_part = dealt.repartition("part").sortWithinPartitions("part")
+    shared = by_part.mapInPandas(_shared, "bucket LONG, h1 LONG")
     members = saved(shared.dropDuplicates(["bucket", "h1"]), "line-buckets")
-    parts = F.greatest(
+    # Equal lines become one before the shuffle, so a frequent line is no hot key.
+    texts = long_lines.dropDuplicates(["h1"]).join(members.select("h1").distinct(), "h1", "left_semi")
+    texts = saved(texts.select("h1", "line", F.length("line").cast("long").alias("chars")), "line-texts")
+    cut = F.greatest(
         F.ceil(F.count("*") / BUCKET_LINES), F.ceil(F.sum("chars") / BUCKET_CHARS)
     ).cast("int")
-    sizes = saved(members.groupBy("bucket").agg(parts.alias("parts")), "line-bucket-sizes")
+    # Most buckets stay whole; only those that are cut are joined again.
+    sizes = members.join(texts.select("h1", "chars"), "h1").groupBy("bucket").agg(cut.alias("parts"))
+    sizes = saved(sizes.filter("parts > 1"), "line-bucket-sizes")
     own = F.pmod(F.xxhash64("h1"), F.col("parts")).cast("int").alias("own")
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     tasks = (
-        members.join(sizes, "bucket")
+        members.join(sizes, "bucket", "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .select("bucket", "h1", "parts", own)
         .select("bucket", "h1", "own", others)
         .select(
@@ -234,11 +323,9 @@ def near_links(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             "h1",
         )
     )
-    # Equal lines become one before the shuffle, so a frequent line is no hot key.
-    texts = long_lines.select("h1", "line").dropDuplicates(["h1"])
-    texts = texts.join(members.select("h1").distinct(), "h1", "left_semi")
     unit = ("bucket", "low", "high")
-    sorted_tasks = tasks.join(texts, "h1").repartition(*unit).sortWithinPartitions(*unit, "own", "h1")
+    with_text = tasks.join(texts.select("h1", "line"), "h1")
+    sorted_tasks = with_text.repartition(*unit).sortWithinPartitions(*unit, "own", "h1")
     return sorted_tasks.mapInPandas(partial(_links, shingle=shingle), "first LONG, second LONG")
 
 

@@ -440,7 +440,7 @@ def test_fuzzy_lines(spark):
     docs = table(spark, SMALL, "documents")
     lines = [(r["doc_id"], i, x) for r in docs.collect() for i, x in enumerate((r["text"] or "").split("\n"))]
     texts = sorted({x for *_, x in lines if SPACE.search(x)})
-    sets = {x: {x[i : i + 8] for i in range(len(x) - 7)} for x in texts}
+    sets = {x: {x[i : i + 5] for i in range(len(x) - 4)} for x in texts}
     holders = defaultdict(list)
     for x in texts:
         for s in sets[x]:
@@ -458,7 +458,7 @@ def test_fuzzy_lines(spark):
             gone[d].add(i)
     got = {r["doc_id"]: set(r["dropped"]) for r in line_dedup.line_report(docs).collect()}
     n_want, n_got = sum(map(len, gone.values())), sum(map(len, got.values()))
-    assert all(got[d] <= gone[d] for d in got) and n_got >= 0.97 * n_want > 0
+    assert all(got[d] <= gone[d] for d in got) and n_got >= 0.99 * n_want > 0
     cleaned = {r["doc_id"]: r["text"] for r in line_dedup.without_near_lines(docs).collect()}
     for d in got:
         kept = [x for e, i, x in lines if e == d and i not in got[d]]
@@ -478,10 +478,10 @@ def test_one_edit_in_short_lines(spark):
     sets = {d: {x[i : i + 5] for i in range(len(x) - 4)} for d, x in rows}
     near = [d for d in sets if d % 2 and len(sets[d] & sets[d - 1]) >= 0.8 * len(sets[d] | sets[d - 1])]
     assert len(near) == 60
-    found = line_dedup.line_report(docs, shingle=5).collect()
+    found = line_dedup.line_report(docs).collect()
     gone = {r["doc_id"] for r in found if r["dropped"]}
-    assert gone <= set(near) and len(gone) >= 57
-    assert not any(r["dropped"] for r in line_dedup.line_report(docs).collect())
+    assert gone <= set(near) and len(gone) >= 59
+    assert not any(r["dropped"] for r in line_dedup.line_report(docs, shingle=8).collect())
 
 
 def naive_dropped(docs, size):
@@ -506,7 +506,7 @@ def test_line_query_finds_one_word_edits(spark):
     docs = table(spark, SMALL, "documents").collect()
     want = naive_dropped(docs, 5)
     got = {(r["doc_id"], i) for r in queries.op5_line_dedup(spark, SMALL).collect() for i in r["dropped"]}
-    assert got <= want and len(want - got) <= 1 and want - naive_dropped(docs, 8)
+    assert got == want and want - naive_dropped(docs, 8)
 
 
 def test_large_line_buckets(spark, monkeypatch):
@@ -609,17 +609,24 @@ def test_saved_tables_keep_rows(spark):
     assert sorted(map(str, saved(df, "t").collect())) == sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("named, size", [(100_000, 7), (100_000, 1), (5, 3), (2, 50)])
-def test_shared_buckets_in_batches(monkeypatch, named, size):
-    monkeypatch.setattr(line_dedup, "NAMED", named)
+@pytest.mark.parametrize("held, large, size", [(10_000, 1_000, 7), (10_000, 1_000, 1), (20, 2, 3), (1, 5, 50)])
+def test_shared_buckets_in_batches(monkeypatch, held, large, size):
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    monkeypatch.setattr(line_dedup, "LARGE", large)
     rng = random.Random(6)
-    rows = sorted((rng.choice((-5, 3, 3, 3, 9, rng.randrange(100))), rng.getrandbits(60), 20) for _ in range(90))
-    frame = pd.DataFrame(rows, columns=["bucket", "h1", "chars"])
-    parts = [frame[i : i + size] for i in range(0, len(frame), size)]
-    got = pd.concat(line_dedup._shared(iter(parts)))
+    hot = (2**32 - 5, 3, 3, 3, 9)
+    rows = [(i, rng.choice((*hot, rng.randrange(100))), rng.getrandbits(60)) for i in range(3) for _ in range(90)]
+    rows += [rows[i] for i in range(0, 270, 9)]
+    rows.sort(key=lambda r: r[0])
+    blobs = []
+    for part in range(3):
+        entries = np.array([r[1:] for r in rows if r[0] == part], line_dedup.ENTRY)
+        blobs += [(part, entries[i : i + size].tobytes()) for i in range(0, len(entries), size)]
+    frame = pd.DataFrame(blobs, columns=["part", "entries"])
+    got = pd.concat(line_dedup._shared(iter([frame[:5], frame[5:]])))
     by_bucket, by_name = defaultdict(set), defaultdict(set)
-    for bucket, h1, _ in rows:
-        by_bucket[bucket].add(h1)
+    for part, bucket, h1 in rows:
+        by_bucket[part, bucket].add(h1)
     for bucket, h1 in zip(got["bucket"], got["h1"]):
         by_name[bucket].add(h1)
     assert sorted(map(sorted, by_name.values())) == sorted(sorted(m) for m in by_bucket.values() if len(m) > 1)
