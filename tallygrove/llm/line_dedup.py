@@ -4,7 +4,8 @@ Every line with at least ``SHINGLE`` characters gets ``MINIMA`` minima over hash
 shingles, computed where the text is read; each of ``BANDS`` bands takes ``ROWS`` of them. One changed
 character touches as many shingles as a shingle has characters, so longer shingles would miss short lines
 after one edit. Lines that agree in a whole band share a bucket: long bands keep unrelated lines apart,
-many bands keep a pair at a similarity of 0.8 together with a probability of about 99.8 %.
+many bands bring a pair at a similarity of exactly 0.8 together with a probability of 99.8 %, one at 0.85
+with 99.99 %.
 
 (bucket, line) entries travel packed, as one array per part of the buckets, and a task sorts one part at a
 time. It holds about ``HELD`` entries: buckets that have grown large by then are passed on as they come.
@@ -35,8 +36,10 @@ from tallygrove.llm.tables import packed, row_key, saved
 from tallygrove.llm.text import bounded_batches, points, runs, whole
 
 SHINGLE = 5
-MINIMA, BANDS, ROWS = 64, 24, 6
+MINIMA, BANDS, ROWS = 96, 24, 6
 LEAST = 0.8
+# Characters that are hashed together; the arrays of that many stay in a core's cache.
+CHARS = 75_000
 BUCKET_LINES = 500
 BUCKET_CHARS = 2_000_000
 # Entries are a bucket and a line. A part of the buckets is meant to have ``PART_ENTRIES``, a task packs
@@ -48,12 +51,13 @@ LARGE = 1_000
 ENTRY = np.dtype([("bucket", "<u4"), ("h1", "<i8")])
 
 _DRAW = np.random.default_rng(11)
-_FACTORS = _DRAW.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
+_FACTORS = _DRAW.integers(0, 1 << 32, MINIMA // 2, np.uint32) | np.uint32(1)
 # Bands out of one order of the minima share none.
 _ORDERS = -(-BANDS // (MINIMA // ROWS))
 _BAND_MINIMA = np.concatenate(
     [_DRAW.permutation(MINIMA)[: MINIMA // ROWS * ROWS].reshape(-1, ROWS) for _ in range(_ORDERS)]
 )[:BANDS]
+_BAND_SEEDS = _DRAW.integers(0, 1 << 63, (BANDS, 1), np.uint64)
 
 
 def _hashes(codes: np.ndarray, shingle: int) -> np.ndarray:
@@ -82,16 +86,15 @@ def signatures(lines: list[str], shingle: int = SHINGLE) -> np.ndarray:
     least, product = np.empty((MINIMA, len(lines)), np.uint64), np.empty_like(h)
     for i, factor in enumerate(_FACTORS):
         np.multiply(h, factor, out=product)
-        least[i] = np.minimum.reduceat(product, edges)[::2]
-    bands = np.empty((len(lines), BANDS), np.uint64)
-    for i, members in enumerate(_BAND_MINIMA):
-        band = np.full(len(lines), (i + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1), np.uint64)
-        for member in members:
-            band ^= least[member]
-            band *= np.uint64(0xBF58476D1CE4E5B9)
-            band ^= band >> np.uint64(31)
-        bands[:, i] = band
-    return bands.view(np.int64)
+        # The largest product is as good a draw as the smallest one.
+        least[2 * i] = np.minimum.reduceat(product, edges)[::2]
+        least[2 * i + 1] = np.maximum.reduceat(product, edges)[::2]
+    bands = np.repeat(_BAND_SEEDS, len(lines), axis=1)
+    for row in range(ROWS):
+        bands ^= least[_BAND_MINIMA[:, row]]
+        bands *= np.uint64(0xBF58476D1CE4E5B9)
+        bands ^= bands >> np.uint64(31)
+    return np.ascontiguousarray(bands.T).view(np.int64)
 
 
 def _packed_entries(bands: list[np.ndarray], h1: list[np.ndarray], parts: int) -> pd.DataFrame:
@@ -113,7 +116,7 @@ def _dealt(batches: Iterator[pd.DataFrame], shingle: int, parts: int) -> Iterato
     h1: list[np.ndarray] = []
     for batch in batches:
         batch = batch.drop_duplicates("h1")
-        bands += [signatures(run, shingle) for run in runs(whole(batch["line"]))]
+        bands += [signatures(run, shingle) for run in runs(whole(batch["line"]), CHARS)]
         h1.append(batch["h1"].to_numpy(np.int64))
         if sum(map(np.size, bands)) >= PACKED:
             yield _packed_entries(bands, h1, parts)
@@ -217,7 +220,7 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def shingle_sets(lines: list[str], shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """Each line's shingles as sorted, distinct 64-bit hashes."""
-    for run in runs(lines):
+    for run in runs(lines, CHARS):
         p = points(run)
         codes = p.codes.astype(np.uint64)
         h = np.zeros(len(codes) - shingle + 1, np.uint64)
@@ -225,9 +228,13 @@ def shingle_sets(lines: list[str], shingle: int = SHINGLE) -> Iterator[np.ndarra
             h += codes[i : len(codes) - shingle + 1 + i]
             h *= np.uint64(0x5851F42D4C957F2D)
             h ^= h >> np.uint64(33)
-        for begin, end in zip(p.begins.tolist(), p.ends.tolist()):
-            own = np.sort(h[begin : end - shingle + 1])
-            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
+        edges = list(zip(p.begins.tolist(), (p.ends - shingle + 1).tolist()))
+        for begin, end in edges:
+            h[begin:end].sort()
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        new[p.begins] = True
+        for begin, end in edges:
+            yield h[begin:end][new[begin:end]]
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> bool:
@@ -340,22 +347,26 @@ def dropped_lines(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     lines = saved(
         _lines(keyed, "doc_id", "_key1", "_key2").select(own.alias("place"), "h1", "h2"), "lines"
     )
-    distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     linked = forest.unionAll(forest.select("root", "root").distinct())
-    rooted = distinct.join(linked, F.col("h1") == F.col("node"), "left").select(
-        "h1",
-        "h2",
-        "place",
-        "n",
-        F.coalesce("root", "h1").alias("root1"),
-        F.when(F.col("root").isNull(), F.col("h2")).otherwise(F.lit(0)).alias("root2"),
+    counted = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    # A class is a component of near lines, or one text that occurs again; most lines have neither.
+    classes = (
+        counted.join(linked, F.col("h1") == F.col("node"), "left")
+        .filter("n > 1 OR root IS NOT NULL")
+        .select(
+            "h1",
+            "h2",
+            F.coalesce("root", "h1").alias("root1"),
+            F.when(F.col("root").isNull(), F.col("h2")).otherwise(F.lit(0)).alias("root2"),
+        )
     )
-    kept = rooted.groupBy("root1", "root2").agg(F.min("place").alias("first"), F.sum("n").alias("n"))
-    kept = kept.filter("n > 1").drop("n")
-    firsts = saved(
-        rooted.join(kept, ["root1", "root2"]).select("h1", "h2", "first"), "line-firsts"
+    members = saved(
+        lines.join(saved(classes, "line-classes"), ["h1", "h2"]).select("root1", "root2", "place"),
+        "line-members",
     )
-    gone = lines.join(firsts, ["h1", "h2"]).filter(F.col("place") > F.col("first"))
+    firsts = members.groupBy("root1", "root2").agg(F.min("place").alias("first"))
+    gone = members.join(saved(firsts, "line-firsts"), ["root1", "root2"])
+    gone = gone.filter(F.col("place") > F.col("first"))
     return gone.groupBy(
         F.col("place._key1").alias("_key1"), F.col("place._key2").alias("_key2")
     ).agg(F.array_sort(F.collect_set("place.line")).alias("dropped"))

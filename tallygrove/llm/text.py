@@ -23,12 +23,12 @@ def whole(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]
 
 
-def runs(texts: Sequence[str]) -> Iterator[list[str]]:
-    """Consecutive texts of about ``RUN_CHARS`` together; a longer text is a run of its own."""
+def runs(texts: Sequence[str], most: int = RUN_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts of about ``most`` characters together; a longer text is a run of its own."""
     part: list[str] = []
     size = 0
     for text in texts:
-        if part and size + len(text) > RUN_CHARS:
+        if part and size + len(text) > most:
             yield part
             part, size = [], 0
         part.append(text)
