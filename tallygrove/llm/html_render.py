@@ -126,8 +126,14 @@ def _end_limits(name: str) -> frozenset[str]:
 def tree(source: str) -> Element:
     root = Element("html", {})
     open_ = [root]
-    at, size = 0, len(source)
+    at, size, last = 0, len(source), source.rfind(">")
     while at < size:
+        if at > last:  # no tag ends here any more, so none is looked for
+            token = source[at:].split("<!--", 1)[0]
+            if open_[-1].name == "head" and token and not token.isspace():
+                open_.pop()
+            open_[-1].children.append(html.unescape(token))
+            break
         m = TOKEN.match(source, at)
         at = m.end()
         slash, name, rest = m.groups()

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import base64
@@ -589,6 +590,14 @@ def test_deep_and_broken_pages():
     html_render.visible_text("</p></table></div>" * 1_000)
 
 
+def test_unfinished_tags_take_linear_time():
+    begin = time.perf_counter()
+    for source in ('<a b="x" ' * 120_000, "<p>shown</p>" + "<i title='y' " * 80_000):
+        assert html_render.visible_text(source) == source.replace("<p>shown</p>", "shown\n\n").rstrip()
+    assert time.perf_counter() - begin < 5
+    assert html_render.visible_text("<p>a</p>b &amp; <c<!-- not <d") == "a\n\nb & <c"
+
+
 def test_every_visible_word_is_kept(spark):
     pages = table(spark, SMALL, "pages")
     assert {r["page_id"]: r["n_chars"] > 0 for r in queries.op3_html_render(spark, SMALL).collect()} == {
