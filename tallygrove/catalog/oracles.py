@@ -657,6 +657,36 @@ UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, NULL, NULL, mi
         "FROM prepared JOIN o_orderpriority_index ON v = o_orderpriority",
         INDEXES,
     ),
+    "category_dictionary": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n, "
+        f"row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS \"index\" "
+        f"FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}"
+        for c in ("l_partkey", "l_returnflag", "l_linenumber")
+    ),
+    "dictionary_index": with_profile(
+        "SELECT o_orderkey, "
+        + ", ".join(
+            f"coalesce((SELECT idx FROM {c}_seen WHERE v = CAST({c} AS VARCHAR)), "
+            f"(SELECT count(*) FROM {c}_seen))::INTEGER AS {c}_idx"
+            for c in (*CATEGORIES, "n_lines")
+        )
+        + " FROM prepared",
+        *(
+            f"{c}_text AS (SELECT CAST({c} AS VARCHAR) AS t FROM prepared WHERE label = 1),\n"
+            f"{c}_seen AS ({_ranked('t', f'{c}_text')})"
+            for c in (*CATEGORIES, "n_lines")
+        ),
+    ),
+    "dictionary_one_hot": with_profile(
+        """
+        SELECT o_orderkey, idx AS slot, 1.0::DOUBLE AS value
+        FROM prepared JOIN o_orderpriority_index ON v = o_orderpriority
+        UNION ALL SELECT o_orderkey, priority + idx, 1.0
+        FROM offset_of, prepared JOIN ranked ON v = CAST(n_lines AS VARCHAR)""",
+        INDEXES,
+        "texts AS (SELECT CAST(n_lines AS VARCHAR) AS t FROM prepared)",
+        f"ranked AS ({_ranked('t', 'texts')})",
+    ),
     "assemble": with_profile(
         "SELECT o_orderkey, 0 AS slot, round(qty_filled, 6) AS value FROM filled "
         "UNION ALL SELECT o_orderkey, 1, lines_filled FROM filled",

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators import calibrate, explain, features, prepare, profile, scoring, selection, splits
 from tallygrove.operators import evaluate as ev
+from tallygrove.operators.dictionary import (
+    category_dictionary as build_dictionary,
+    index_by_dictionary,
+    one_hot_by_dictionary,
+)
 from tallygrove.operators.classifiers import (
     CLASSIFIERS,
     SECOND_ORDER,
@@ -383,6 +388,35 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return _unfolded(df, "o_orderpriority_vec")
 
 
+@query
+def category_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """The values of three columns, one of them with a value per part."""
+    return build_dictionary(
+        load(spark, sf, "lineitem"), ["l_partkey", "l_returnflag", "l_linenumber"]
+    ).table
+
+
+@query
+def dictionary_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary of one part of the orders, applied to all: values it has not seen come last."""
+    df = _prepared(spark, sf)
+    columns = [*ORDER_SPEC.categorical, "n_lines"]
+    indexed = index_by_dictionary(df, build_dictionary(df.filter("label = 1"), columns))
+    return indexed.select(
+        "o_orderkey", *(F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in columns)
+    )
+
+
+@query
+def dictionary_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    df = _prepared(spark, sf)
+    made = build_dictionary(df, ["o_orderpriority", "n_lines"])
+    encoded = one_hot_by_dictionary(df, made)
+    return _unfolded(
+        features.assemble(encoded, ["o_orderpriority_vec", "n_lines_vec"]), "features"
+    )
+
+
 @query
 def assemble(spark: SparkSession, sf: str) -> DataFrame:
     lines = features.impute_mean(_prepared(spark, sf), ["n_lines", "sum_qty"])
