@@ -638,6 +638,16 @@ ORACLES: dict[str, str] = {
     + """
 UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, NULL, NULL, min(l_returnflag),
        max(l_returnflag), NULL, NULL, NULL FROM lineitem""",
+    "merged_sketches": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, "
+        f"round(stddev_samp({c}), 4) AS stddev, round(min({c})::DOUBLE, 4) AS min, "
+        f"round(max({c})::DOUBLE, 4) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text, "
+        f"true AS near FROM lineitem"
+        for c in ("l_extendedprice", "l_discount", "l_partkey")
+    )
+    + """
+UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, NULL, NULL, min(l_returnflag),
+       max(l_returnflag), NULL FROM lineitem""",
     "impute_mean": with_profile(
         "SELECT o_orderkey, CAST(lines_filled AS INTEGER) AS \"n_lines_IMPUTED\", "
         "round(qty_filled, 6) AS \"sum_qty_IMPUTED\" FROM filled",

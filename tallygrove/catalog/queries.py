@@ -357,6 +357,44 @@ def summary_table(spark: SparkSession, sf: str) -> DataFrame:
     return table.select(*texts, *(_r(c, 4).alias(c) for c in table.columns if c not in texts))
 
 
+@query
+def merged_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of four parts of the lines, stored one by one and merged, against the whole table.
+
+    Quantiles are about right only: the share of rows at or below each must be near the one asked for.
+    """
+    lines = load(spark, sf, "lineitem").select(
+        "l_extendedprice", "l_discount", "l_partkey", "l_returnflag"
+    )
+    path = scratch_path(spark, "sketches")
+    for part in splits.hash_split_n(lines, (), [0.25, 0.25, 0.25], SEED):
+        profile.column_sketches(part).write.mode("append").parquet(path)
+    merged = profile.merge_sketches(spark.read.parquet(path))
+    about = profile.sketched_quantiles(merged)
+    ends = ("p25", "p50", "p75")
+    numbers = ("l_extendedprice", "l_discount", "l_partkey")
+    cut = {r["column"]: r for r in about.collect()}
+    below = lines.agg(
+        *(F.count_if(F.col(c) < cut[c][p]).alias(f"{c} {p} <") for c in numbers for p in ends),
+        *(F.count_if(F.col(c) <= cut[c][p]).alias(f"{c} {p} <=") for c in numbers for p in ends),
+        F.count("*").alias("n"),
+    ).first()
+    # Wide enough for a miss of the sketch to be very rare.
+    slack = 4 * profile.SKETCH_ERROR / profile.SKETCH_SIZE**profile.SKETCH_POWER
+    near = {
+        c: all(
+            below[f"{c} {p} <"] / below["n"] - slack <= share <= below[f"{c} {p} <="] / below["n"] + slack
+            for p, share in zip(ends, profile.QUARTILES)
+        )
+        for c in numbers
+    }
+    flags = spark.createDataFrame(list(near.items()), "column STRING, near BOOLEAN")
+    texts = ("min_text", "max_text")
+    return merged.join(flags, "column", "left").select(
+        "column", "n", *(_r(c, 4).alias(c) for c in ("mean", "stddev", "min", "max")), *texts, "near"
+    )
+
+
 # --- feature pipeline --------------------------------------------------------------------------
 
 
