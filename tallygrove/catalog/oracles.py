@@ -592,6 +592,20 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, label FROM hashed "
         "WHERE substr(h, 1, 8) < CASE WHEN label = 0 THEN '40000000' ELSE '80000000' END"
     ),
+    "deal_split": """
+        WITH kinds AS (
+          SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS copies,
+                 md5('{"c0":"' || l_returnflag || '","c1":"' || l_linestatus || '","c2":'
+                     || l_linenumber || '}-42') AS h
+          FROM lineitem GROUP BY l_returnflag, l_linestatus, l_linenumber),
+        shares AS (
+          SELECT *, CAST(floor(copies * 0.8::DOUBLE
+                   + CAST('0x' || substr(h, 1, 8) AS BIGINT)::DOUBLE / 4294967296) AS BIGINT) AS n_inside
+          FROM kinds)
+        SELECT l_returnflag, l_linestatus, l_linenumber, CAST(0 AS INTEGER) AS part, n_inside AS n
+        FROM shares WHERE n_inside > 0
+        UNION ALL SELECT l_returnflag, l_linestatus, l_linenumber, 1, copies - n_inside
+        FROM shares WHERE copies > n_inside""",
     "hash_split_n": with_profile(
         """
         SELECT o_orderkey, CASE WHEN substr(h, 1, 8) < '80000000' THEN 0

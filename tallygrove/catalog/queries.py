@@ -292,6 +292,15 @@ def sample_by(spark: SparkSession, sf: str) -> DataFrame:
     return sampled.select("o_orderkey", "label")
 
 
+@query
+def deal_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines without their keys, of which many are equal: how many of each go to either side."""
+    lines = load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    parts = splits.deal_split(lines, RATE, SEED)
+    tagged = [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
+    return tagged[0].unionByName(tagged[1]).groupBy(*lines.columns, "part").agg(F.count("*").alias("n"))
+
+
 @query
 def hash_split_n(spark: SparkSession, sf: str) -> DataFrame:
     numbered = [

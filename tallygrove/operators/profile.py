@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -232,6 +234,8 @@ class _Bracket:
     rank: float
     low: float
     high: float
+    # Whether it may hold more rows than are read at once, apart from copies of the values at its ends.
+    wide: bool = True
     below: int = 0
     inside: int = 0
     inner_low: float = 0.0
@@ -257,8 +261,8 @@ def exact_quantiles(
 
     A sketch says between which values a quantile lies, but for rare cases. One scan counts the rows
     below and inside of every such bracket, which proves it or shows on which side the value is, and
-    sketches the values inside. Another reads the bracket if it has few rows, or else the part of it that
-    the second sketch points at, counts its distinct values and walks them in order. So the exact table
+    sketches the values inside if they may be many. Another reads the bracket if it has few rows, or else
+    the part of it that the second sketch points at, counts its distinct values and walks them in order. So the exact table
     takes three scans with that of the sketches; where a sketch missed, the search goes on beside its
     bracket in further ones. A value that fills a bracket ends the search however often it occurs.
     """
@@ -285,7 +289,8 @@ def exact_quantiles(
                 found[row["column"], name] = math.nan
             else:
                 low, high = row["probes"][2 * i : 2 * i + 2]
-                open_brackets.append(_Bracket(row["column"], name, rank, low, high))
+                wide = 2 * margin * row["n"] > NEAR_ROWS
+                open_brackets.append(_Bracket(row["column"], name, rank, low, high, wide))
     while open_brackets:
         proven, open_brackets = _counted(df, open_brackets, margin, accuracy)
         found |= {(b.column, b.name): b.low for b in proven if b.low == b.high}
@@ -303,22 +308,28 @@ def _counted(
     df: DataFrame, brackets: Sequence[_Bracket], margin: float, accuracy: int
 ) -> tuple[list[_Bracket], list[_Bracket]]:
     """Brackets that hold their rank, with counts and the part to read; and new ones for the others."""
-    parts = df.groupBy(_bucket()).agg(
+    tallies = [
         *(F.count_if(b.value() < b.low).alias(f"b{i}") for i, b in enumerate(brackets)),
         *(F.count_if(b.holds()).alias(f"i{i}") for i, b in enumerate(brackets)),
-        *(
-            F.kll_sketch_agg_double(F.when(b.holds(), b.value()), accuracy).alias(f"s{i}")
-            for i, b in enumerate(brackets)
-        ),
-    )
-    whole = parts.agg(
-        *(F.sum(f"b{i}").alias(f"b{i}") for i in range(len(brackets))),
-        *(F.sum(f"i{i}").alias(f"i{i}") for i in range(len(brackets))),
-        *(F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(brackets))),
-    )
-    stored = saved_table(whole, "brackets")
-    counts = stored.drop(*(f"s{i}" for i in range(len(brackets)))).first()
-    proven, wide, others = [], [], []
+    ]
+    sketched = {f"s{i}": b for i, b in enumerate(brackets) if b.wide and b.low != b.high}
+    if sketched:
+        parts = df.groupBy(_bucket()).agg(
+            *tallies,
+            *(
+                F.kll_sketch_agg_double(F.when(b.holds(), b.value()), accuracy).alias(s)
+                for s, b in sketched.items()
+            ),
+        )
+        whole = parts.agg(
+            *(F.sum(c).alias(c) for c in parts.columns if c[0] in "bi" and c != "bucket"),
+            *(F.kll_merge_agg_double(s).alias(s) for s in sketched),
+        )
+        stored = saved_table(whole, "brackets")
+        counts = stored.drop(*sketched).first()
+    else:
+        counts = df.agg(*tallies).first()
+    proven, large, others = [], [], []
     for i, b in enumerate(brackets):
         b.below, b.inside = counts[f"b{i}"], counts[f"i{i}"]
         b.inner_low, b.inner_high = b.low, b.high
@@ -328,18 +339,18 @@ def _counted(
             others.append(b.within(b.high, math.inf))
         else:
             proven.append(b)
-            if b.low != b.high and b.inside > NEAR_ROWS:
-                wide.append((i, b))
+            if f"s{i}" in sketched and b.inside > NEAR_ROWS:
+                large.append((f"s{i}", b))
     probes = []
-    for i, b in wide:
+    for sketch, b in large:
         share = (b.rank - b.below) / b.inside
         probes += [
-            F.kll_sketch_get_quantile_double(f"s{i}", F.lit(_clamped(share + shift)))
+            F.kll_sketch_get_quantile_double(sketch, F.lit(_clamped(share + shift)))
             for shift in (-margin, margin)
         ]
     if probes:
         ends = stored.select(F.array(*probes).alias("ends")).first()["ends"]
-        for at, (_, b) in enumerate(wide):
+        for at, (_, b) in enumerate(large):
             b.inner_low, b.inner_high = ends[2 * at : 2 * at + 2]
     return proven, others
 
@@ -350,9 +361,10 @@ def _read(
     """The values at the brackets' ranks, and brackets for those that lie outside of the part read."""
     if not brackets:
         return {}, []
+    wanted = [b.holds() & (b.value() <= b.inner_high) for b in brackets]
     cells = [
         F.when(
-            b.holds() & (b.value() <= b.inner_high),
+            wanted[i],
             F.struct(
                 F.lit(i).alias("bracket"),
                 # Rows below the part that is read only count.
@@ -363,16 +375,14 @@ def _read(
     ]
     shape = "array<struct<bracket:int,value:double>>"
     in_order = Window.partitionBy("bracket").orderBy(F.col("value").asc_nulls_first())
-    goals = df.sparkSession.createDataFrame(
-        [(i, b.rank - b.below) for i, b in enumerate(brackets)], "bracket INT, rank DOUBLE"
-    )
+    goal = F.get(F.array(*(F.lit(float(b.rank - b.below)) for b in brackets)), F.col("bracket"))
     reached = (
-        df.select(F.inline(F.array_compact(F.array(*cells).cast(shape))))
+        df.filter(reduce(or_, wanted))
+        .select(F.inline(F.array_compact(F.array(*cells).cast(shape))))
         .groupBy("bracket", "value")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(in_order))
-        .join(goals, "bracket")
-        .filter(F.col("upto") >= F.col("rank"))
+        .filter(F.col("upto") >= goal)
         .groupBy("bracket")
         .agg(F.min("value").alias("value"), F.count_if(F.col("value").isNull()).alias("passed"))
     )

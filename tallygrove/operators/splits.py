@@ -2,7 +2,7 @@
 
 Apart from ``random_split``, every function decides on a hash of the row key, so the result does
 not change with the partitioning, the number of executors or a re-run of a lost task. Rows with
-equal keys always land on the same side.
+equal keys always land on the same side, but for ``deal_split``, which deals the copies of a row out.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrove.functions.expressions import by_class, hash_below, hash_modulo, key_hash
+from tallygrove.functions.expressions import HASH_SPACE, by_class, hash_below, hash_modulo, key_hash
 from tallygrove.sources.scratch import saved_table
 
 
@@ -39,6 +39,59 @@ def hash_split(
     return df.filter(inside), df.filter(~inside)
 
 
+def deal_split(
+    df: DataFrame, rate: float = 0.8, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """Split a table without a key so that copies of a row go to both sides in the ratio of ``rate``.
+
+    ``hash_split`` without a key hashes whole rows, so all copies of a row land on one side. Here equal
+    rows are counted, which needs one shuffle of counts, and copy number k of a row is inside if
+    ``k * rate``, shifted by a hash of the row, passes a whole number at it. Of n copies the first side
+    gets ``n * rate`` to within one, and a single row is inside with probability ``rate``. The outcome
+    depends on the rows alone. A row of very many copies is cut into blocks that different tasks write
+    out; no task ranks its copies. All rows are kept, NULL equals NULL.
+    """
+    dealt = _dealt_blocks(df, rate, seed)
+    return tuple(_copies(dealt, df.columns, side) for side in ("_inside", "_outside"))
+
+
+# Copies of a row that one task writes out at a time.
+BLOCK = 100_000
+
+
+def _dealt_blocks(df: DataFrame, rate: float, seed: int) -> DataFrame:
+    """The distinct rows as ``_row``, once per block of copies, with how many go to either side."""
+    if not 0.0 <= rate <= 1.0:
+        raise ValueError("the rate must lie between 0 and 1")
+    # JSON names NULL fields by their absence and keeps texts apart that a plain separator would join.
+    row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)))
+    counted = df.select(row.alias("_row")).groupBy("_row").agg(F.count("*").alias("_n"))
+    digest = F.md5(F.concat_ws("-", F.to_json("_row"), F.lit(str(seed))))
+    shift = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / HASH_SPACE
+
+    def passed(copies: Column) -> Column:
+        return F.floor(copies * F.lit(float(rate)) + F.col("_shift")).cast("bigint")
+
+    blocks = (
+        counted.withColumn("_shift", shift)
+        .withColumn("_start", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(BLOCK))))
+        .withColumn("_end", F.least(F.col("_n"), F.col("_start") + BLOCK))
+        .withColumn("_inside", passed(F.col("_end")) - passed(F.col("_start")))
+        .withColumn("_outside", F.col("_end") - F.col("_start") - F.col("_inside"))
+    )
+    single = blocks.filter(F.col("_n") <= BLOCK)
+    # Blocks of one row lie in one task after counting.
+    many = blocks.filter(F.col("_n") > BLOCK).repartition(F.xxhash64("_shift", "_start"))
+    return single.unionByName(many)
+
+
+def _copies(blocks: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
+    copies = blocks.filter(F.col(side) > 0).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col(side).cast("int")))
+    )
+    return copies.select(*(F.col(f"_row.c{i}").alias(c) for i, c in enumerate(columns)))
+
+
 def assign_part(
     df: DataFrame, key: Sequence[str], ratios: Sequence[float], seed: int, column: str = "part"
 ) -> DataFrame:

@@ -100,3 +100,35 @@ def test_stratified_split_of_many_classes(spark):
     assert inside.columns == df.columns
     assert {r["k"] for r in inside.collect()} == {r["k"] for r in wanted.collect()}
     assert inside.count() + outside.count() == 60_001
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.33, 0.8, 1.0])
+def test_copies_of_one_row_are_dealt_to_both_sides(spark, rate):
+    df = spark.range(10_000).select(F.lit("x").alias("a"), F.lit(None).cast("int").alias("b"))
+    inside, outside = splits.deal_split(df, rate)
+    assert abs(inside.count() - 10_000 * rate) <= 1
+    assert inside.count() + outside.count() == 10_000
+    assert inside.columns == df.columns and inside.schema == outside.schema
+
+
+def test_dealing_keeps_every_row_and_ignores_partitions(spark, monkeypatch):
+    rows = spark.range(3_000).select(
+        (F.col("id") % 700).alias("_n"),
+        F.when(F.col("id") % 700 < 5, F.lit(None)).otherwise(F.lit("t")).alias("x.y"),
+        F.array(F.col("id") % 2).alias("list"),
+    )
+    rows = rows.unionAll(spark.range(2_500).select(F.lit(9_999), F.lit("hot"), F.array(F.lit(1)).cast("array<bigint>")))
+    inside, outside = splits.deal_split(rows, 0.8, 7)
+    both = inside.unionAll(outside)
+    assert both.exceptAll(rows).count() == rows.exceptAll(both).count() == 0
+    assert 0.75 < inside.count() / rows.count() < 0.85
+    monkeypatch.setattr(splits, "BLOCK", 100)
+    again, _ = splits.deal_split(rows.repartition(5), 0.8, 7)
+    assert again.exceptAll(inside).count() == inside.exceptAll(again).count() == 0
+
+
+def test_dealing_an_empty_table_and_a_wrong_rate(spark):
+    inside, outside = splits.deal_split(spark.createDataFrame([], "a INT"), 0.5)
+    assert inside.count() == outside.count() == 0
+    with pytest.raises(ValueError, match="rate"):
+        splits.deal_split(spark.range(3), 1.5)
