@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrove.llm.tables import free_name
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -140,7 +142,11 @@ def scanned(
     rare = F.array(*(F.lit(w) for w in sorted(places)))
     needed = F.array(*(F.lit(n) for n in needs))
     span = F.lit(1 << 40)
-    own = F.col("_words")
+    # Working columns under names that the table does not have.
+    words_name, codes_name, found_name, base_name = (
+        free_name(name, documents.columns) for name in ("_words", "_codes", "_found", "_base")
+    )
+    own = F.col(words_name)
 
     # Code of a template and its beginning; beginnings may lie before the text and are shifted.
     def codes(word: Column, at: Column) -> Column:
@@ -157,9 +163,9 @@ def scanned(
     # As many equal codes in a row as the template has anchors: they all point to one beginning.
     def agrees(code: Column, at: Column) -> Column:
         need = F.get(needed, F.shiftright(code, 40).cast("int"))
-        return F.get(F.col("_codes"), at + need - 1) == code
+        return F.get(F.col(codes_name), at + need - 1) == code
 
-    begins = F.array_distinct(F.filter(F.col("_codes"), agrees))
+    begins = F.array_distinct(F.filter(F.col(codes_name), agrees))
     starts = F.transform(
         begins,
         lambda code: F.struct(
@@ -207,26 +213,26 @@ def scanned(
         ),
         lambda f: f["score"].isNotNull(),
     )
-    base = F.filter("_found", lambda f: f["base"])
+    base = F.filter(found_name, lambda f: f["base"])
 
     def listed(hits_: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(F.transform(hits_, lambda f: f["label"]))), ",")
 
-    base_at = F.transform("_base", lambda f: f["at"].cast("long"))
+    base_at = F.transform(base_name, lambda f: f["at"].cast("long"))
     result = F.struct(
-        F.size("_words").cast("long").alias("n_words"),
-        F.size("_base").cast("long").alias("n_base"),
+        F.size(words_name).cast("long").alias("n_words"),
+        F.size(base_name).cast("long").alias("n_base"),
         F.array_min(base_at).alias("first_word"),
         F.array_max(base_at).alias("last_word"),
-        listed(F.col("_base")).alias("base_labels"),
-        listed(F.col("_found")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("_found", lambda f: f["score"])), F.lit(0.0)).alias("score"),
-        F.transform("_found", lambda f: F.struct(f["label"], f["at"], f["size"])).alias("spans"),
+        listed(F.col(base_name)).alias("base_labels"),
+        listed(F.col(found_name)).alias("labels"),
+        F.coalesce(F.array_max(F.transform(found_name, lambda f: f["score"])), F.lit(0.0)).alias("score"),
+        F.transform(found_name, lambda f: F.struct(f["label"], f["at"], f["size"])).alias("spans"),
     )
     return (
-        documents.withColumn("_words", words(F.col("text")))
-        .withColumn("_codes", ordered)
-        .withColumn("_found", found)
-        .withColumn("_base", base)
+        documents.withColumn(words_name, words(F.col("text")))
+        .withColumn(codes_name, ordered)
+        .withColumn(found_name, found)
+        .withColumn(base_name, base)
         .select(*(F.col(f"`{c}`") for c in documents.columns), result.alias(into))
     )

@@ -338,7 +338,7 @@ def near_links(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def dropped_lines(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(_key1, _key2, dropped): per row of ``documents`` the numbers of the lines that go, if any."""
-    keys = row_key(documents.columns)
+    keys = row_key(documents)
     forest = star_forest(near_links(documents.select("text"), shingle), "first", "second")
     own = F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key1", "_key2", F.col("line_no").alias("line")
@@ -375,7 +375,7 @@ def dropped_lines(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def without_near_lines(documents: DataFrame, into: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The documents with the remaining lines; one row of each set of equal rows."""
     columns = documents.columns
-    keyed = packed(documents, *row_key(columns)).dropDuplicates(["_key1", "_key2"])
+    keyed = packed(documents, *row_key(documents)).dropDuplicates(["_key1", "_key2"])
     marked = keyed.join(dropped_lines(documents, shingle), ["_key1", "_key2"], "left")
     own = F.col("_row.text")
     kept = F.filter(
@@ -394,7 +394,7 @@ def line_report(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     n_lines = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(n_lines)
     keyed = (
-        documents.select("doc_id", n_lines.alias("n_lines"), *row_key(documents.columns))
+        documents.select("doc_id", n_lines.alias("n_lines"), *row_key(documents))
         .dropDuplicates(["_key1", "_key2"])
     )
     marked = keyed.join(dropped_lines(documents, shingle), ["_key1", "_key2"], "left")

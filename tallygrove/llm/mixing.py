@@ -178,7 +178,7 @@ def selection(
         F.coalesce("lang", none).alias("_lang"),
         F.coalesce("source", none).alias("_source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_tokens"),
-        *row_key(documents.columns),
+        *row_key(documents),
     )
     # Texts are read once; everything after works on these short rows.
     rows = saved(rows.filter("_tokens > 0"), "mixing-rows")
@@ -218,7 +218,7 @@ def mixed(documents: DataFrame, share: float, weights: Weights, **options) -> Da
         "_key1", "_key2", F.col("n_tokens").alias("_has"), F.col("taken_tokens").alias("_taken")
     )
     # Equal rows are one row here and as many as were chosen after the join.
-    distinct = packed(documents, *row_key(columns)).dropDuplicates(["_key1", "_key2"])
+    distinct = packed(documents, *row_key(documents)).dropDuplicates(["_key1", "_key2"])
     joined = distinct.join(chosen, ["_key1", "_key2"])
     cut = F.col("_taken") < F.col("_has")
     words = F.slice(F.split("_row.text", WORD_END), F.lit(1), F.col("_taken").cast("int"))

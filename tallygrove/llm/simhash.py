@@ -223,7 +223,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
     Among rows with that id, a hash of the row decides; of fully equal rows one stays.
     """
-    keys = row_key(documents.columns)
+    keys = row_key(documents)
     marked = saved(
         with_fingerprint(documents.select("doc_id", "text", *keys)).drop("text"), "simhash-marked"
     )

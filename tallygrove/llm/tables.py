@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallygrove.sources.scratch import saved_table, scratch_path
 
@@ -25,12 +26,37 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def row_key(columns: Sequence[str]) -> list[Column]:
-    """Two hashes over all columns that tell different rows apart and equal rows not."""
-    every = [F.col(f"`{c}`") for c in columns]
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """The value with every map in it as its entries in order, as maps have no hash."""
+    if not _holds_map(kind):
+        return value
+    if isinstance(kind, T.MapType):
+        entries = T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))
+        return F.array_sort(F.transform(F.map_entries(value), lambda e: _comparable(e, entries.elementType)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _comparable(e, kind.elementType))
+    fields = [_comparable(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """Two hashes over all columns that tell different rows apart and equal rows not.
+
+    Maps are equal if their entries are, in whatever order.
+    """
+    every = [F.col(f"`{c}`") for c in df.columns]
+    values = [_comparable(c, f.dataType) for c, f in zip(every, df.schema.fields)]
     return [
-        F.xxhash64(F.lit(1), *every, *(c.isNull() for c in every)).alias("_key1"),
-        F.xxhash64(F.lit(2), *every, *(c.isNull() for c in every)).alias("_key2"),
+        F.xxhash64(F.lit(1), *values, *(c.isNull() for c in every)).alias("_key1"),
+        F.xxhash64(F.lit(2), *values, *(c.isNull() for c in every)).alias("_key2"),
     ]
 
 

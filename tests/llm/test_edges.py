@@ -2,6 +2,7 @@
 
 import pytest
 import rows as R
+from pyspark.sql import functions as F
 
 from tallygrove.llm import (
     decontaminate,
@@ -15,7 +16,7 @@ from tallygrove.llm import (
     simhash,
     token_shards,
 )
-from tallygrove.llm.tables import saved
+from tallygrove.llm.tables import row_key, saved
 
 LABELS = [(i, i % 2, 0, None) for i in range(10)] + [(None, 1, 0, None), (3, None, 0, None)]
 TARGET = mixing.Weights()
@@ -101,3 +102,37 @@ def test_defined_results(spark):
     assert report[9]["dropped"] == [2] and report[9]["n_lines"] == 6
     assert report[5]["n_kept"] == 0 and report[4]["n_kept"] == 1
     assert report[0]["n_lines"] == 0
+
+
+def with_maps(docs):
+    """A map, a map inside a struct and a list, and one whose entries come in either order."""
+    either = F.when(
+        F.col("doc_id") % 2 == 0, F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2))
+    ).otherwise(F.create_map(F.lit("b"), F.lit(2), F.lit("a"), F.lit(1)))
+    nested = F.array(F.struct(either.alias("inner"), F.lit(None).cast("int").alias("n")))
+    return docs.withColumns({"map": either, "nested": nested, "none": F.lit(None).cast("map<string,int>")})
+
+
+@pytest.mark.parametrize("name", ["dedup", "dedup_report", "mixing", "one_of_each"])
+def test_map_columns(spark, name):
+    docs = R.awkward(spark)
+    plain, mapped = OPERATORS[name](spark, docs), OPERATORS[name](spark, with_maps(docs))
+    if name in SAME_COLUMNS:
+        assert mapped.columns == with_maps(docs).columns
+    assert sorted(str(r["doc_id"]) for r in mapped.collect()) == sorted(str(r["doc_id"]) for r in plain.collect())
+
+
+def test_maps_with_equal_entries_have_equal_keys(spark):
+    one = with_maps(spark.createDataFrame([(1,), (2,)], "doc_id INT")).select("map", "nested", "none")
+    assert one.select(*row_key(one)).distinct().count() == 1
+    other = one.withColumn("map", F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(3)))
+    assert one.union(other).select(*row_key(one)).distinct().count() == 2
+
+
+def test_licence_scan_keeps_columns_of_its_working_names(spark):
+    clashing = {c: F.lit(f"own {c}") for c in ("_words", "_codes", "_found", "_base", "_Base_")}
+    docs = R.awkward(spark)
+    out = license_scan.scanned(docs.withColumns(clashing)).collect()
+    plain = {str(r["_licence"]) for r in license_scan.scanned(docs).collect()}
+    assert {str(r["_licence"]) for r in out} == plain
+    assert all(r[c] == f"own {c}" for r in out for c in clashing)
