@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import hash_below, key_hash
@@ -39,6 +39,12 @@ SECOND_ORDER = "second_order"
 VALIDATION = "_validation"
 # Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
 ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+# A cached plan that ends in a shuffle gets at least so many partitions per core: with about one per core
+# the last few would run alone, on every pass.
+MIN_PARTITIONS = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+PARTITIONS_PER_CORE = 3
+# One pass over the rows fits it; all others go over them many times.
+ONE_PASS = ("naive_bayes",)
 
 
 def make_estimator(
@@ -86,14 +92,24 @@ def used_columns(df: DataFrame, spec: TableSpec, *others: str) -> DataFrame:
     return df.select(*(name for name in names if name in df.columns))
 
 
-def _persist(df: DataFrame) -> DataFrame:
-    conf = df.sparkSession.conf
-    before = conf.get(ADAPTIVE_CACHE)
-    conf.set(ADAPTIVE_CACHE, True)
+@contextmanager
+def adaptive_caches(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Let Spark choose the partitions of what is cached meanwhile."""
+    settings = {ADAPTIVE_CACHE: "true", **settings}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        yield
     finally:
-        conf.set(ADAPTIVE_CACHE, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    least = PARTITIONS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    with adaptive_caches(df.sparkSession, **{MIN_PARTITIONS: str(least)}):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @contextmanager
@@ -168,11 +184,13 @@ def train(
     algorithm: str = "random_forest",
     params: Mapping[str, object] | None = None,
     seed: int = 42,
-    balance: bool = False,
+    balance: bool | None = None,
     validation_rate: float | None = None,
 ) -> PipelineModel:
     """Fit feature stages and classifier on a prepared table; ``balance`` as in ``held``.
 
+    Unless it is given, the rows are balanced for algorithms that go over them many times.
+
     With ``validation_rate``, boosted trees do not learn from that share of the rows: the loss on them
     ends the fit, and the rounds after the best one are cut off. The feature stages use all rows.
     """
@@ -182,6 +200,7 @@ def train(
         if not watch_validation(estimator):
             raise ValueError(f"{algorithm} has no rounds to stop")
         df, marks = marked_for_validation(df, spec, validation_rate, seed), (VALIDATION,)
-    with held(df, spec, *marks, balance=balance) as data:
+    spread = algorithm not in ONE_PASS if balance is None else balance
+    with held(df, spec, *marks, balance=spread) as data:
         check_inputs(data, spec, needs_non_negative(estimator))
         return build_pipeline(spec, estimator).fit(data)

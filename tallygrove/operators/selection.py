@@ -18,14 +18,16 @@ from functools import reduce
 from itertools import product
 from statistics import fmean, pstdev
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
     SECOND_ORDER,
+    ONE_PASS,
     VALIDATION,
+    adaptive_caches,
     held,
     make_estimator,
     marked_for_validation,
@@ -33,8 +35,15 @@ from tallygrove.operators.classifiers import (
     score_column,
     watch_validation,
 )
-from tallygrove.operators.evaluate import area_under_roc, metric_name, performance
-from tallygrove.operators.features import check_inputs, feature_pipeline, with_estimator
+from tallygrove.operators.evaluate import (
+    area_under_roc,
+    judged_area,
+    judged_performance,
+    judged_points,
+    metric_name,
+    performance,
+)
+from tallygrove.operators.features import FEATURES, check_inputs, feature_pipeline, with_estimator
 from tallygrove.operators.splits import assign_fold
 from tallygrove.plans.spec import TableSpec
 
@@ -226,26 +235,37 @@ def _trials(
     deadline: _Deadline | None = None,
 ) -> Iterator[Trial]:
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
+    shared = [_Shared(data, stages, fold, len(candidates)) for fold, stages in enumerate(features)]
 
-    def one_fold(pair: tuple[Candidate, int]) -> tuple[PipelineModel, float, Row]:
-        candidate, fold = pair
+    def one_fold(pair: tuple[int, Candidate]) -> tuple[PipelineModel, float, Row]:
+        fold, candidate = pair
         estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label, spec)
         if VALIDATION in data.columns:
             watch_validation(estimator)
-        rest = features[fold].transform(data.filter(F.col(FOLD) != fold))
-        model = with_estimator(features[fold], estimator.fit(rest))
-        scored = model.transform(data.filter(F.col(FOLD) == fold))
-        auc = area_under_roc(scored, score_column(candidate.algorithm), spec.label)
-        return model, auc, performance(scored, spec.label).first()
-
-    pairs = list(product(candidates, range(len(features))))
+        with shared[fold] as (rest, own):
+            fitted = estimator.fit(rest)
+            scored = fitted.transform(own)
+            points = judged_points(scored, score_column(candidate.algorithm), spec.label)
+            points = points.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                auc = judged_area(points, spec.label)
+                seen = judged_performance(points, spec.label)
+                return with_estimator(features[fold], fitted), auc, seen.first()
+            finally:
+                points.unpersist()
+
+    # Fold by fold, so that the features of a fold are there for all candidates and then make room.
+    pairs = list(product(range(len(features)), candidates))
     work = one_fold if deadline is None else deadline.within(one_fold)
-    results = _at_once(data.sparkSession, parallelism, work, pairs)
-    for number, candidate in enumerate(candidates, start=first):
-        done = [next(results) for _ in features]
-        models, areas, seen = zip(*done)
+    try:
+        results = list(_at_once(data.sparkSession, parallelism, work, pairs))
+    finally:
+        for each in shared:
+            each.release()
+    for position, candidate in enumerate(candidates):
+        models, areas, seen = zip(*results[position :: len(candidates)])
         yield Trial(
-            number,
+            first + position,
             candidate,
             list(models),
             list(areas),
@@ -253,7 +273,43 @@ def _trials(
             [row.asDict().get("log_loss") for row in seen],
             [_rounds(model) for model in models],
         )
-    results.close()
+
+
+class _Shared:
+    """A fold's features, of the rows to learn from and of those to judge by.
+
+    They are cached while several candidates use them, apart from each other: a pass over one part would
+    otherwise unpack the vectors of both.
+    """
+
+    def __init__(self, data: DataFrame, stages: PipelineModel, fold: int, uses: int):
+        # The steps between a column and the vector are not read again.
+        self.parts = [
+            stages.transform(data.filter(rows)).select(*data.columns, FEATURES)
+            for rows in (F.col(FOLD) != fold, F.col(FOLD) == fold)
+        ]
+        self.uses, self.shared, self.filled = uses, uses > 1, False
+        self.lock = threading.Lock()
+
+    def __enter__(self) -> list[DataFrame]:
+        with self.lock:
+            if self.shared and not self.filled:
+                self.filled = True
+                for part in self.parts:
+                    # At once: jobs that meet in a cache being filled wait for each other in the cores.
+                    part.persist(StorageLevel.MEMORY_AND_DISK).count()
+        return self.parts
+
+    def __exit__(self, *_) -> None:
+        with self.lock:
+            self.uses -= 1
+            if self.uses == 0:
+                self.release()
+
+    def release(self) -> None:
+        if self.filled:
+            for part in self.parts:
+                part.unpersist()
 
 
 def _order(trial: Trial) -> tuple[float, int]:
@@ -268,13 +324,15 @@ def search(
     seed: int = 42,
     parallelism: int = 8,
     max_runtime_secs: float | None = None,
-    balance: bool = False,
+    balance: bool | None = None,
     report: Callable[[DataFrame, SearchResult], None] | None = None,
     max_candidate_secs: float | None = None,
     validation_rate: float | None = None,
 ) -> SearchResult:
     """Cross-validate the candidates and fit the best one on all rows.
 
+    Unless ``balance`` is given, the rows are balanced if a candidate goes over them many times.
+
     ``report`` is called with the cached rows, which carry their fold, and the result, so that
     tables about the search can be computed before the cache is released.
 
@@ -304,7 +362,8 @@ def search(
             if other is not winner:
                 other.models = []
 
-    with held(folded, spec, FOLD, *marks, balance=balance) as data:
+    spread = any(c.algorithm not in ONE_PASS for c in candidates) if balance is None else balance
+    with held(folded, spec, FOLD, *marks, balance=spread) as data, adaptive_caches(df.sparkSession):
         made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
         check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
