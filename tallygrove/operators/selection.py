@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
     SECOND_ORDER,
-    ONE_PASS,
     VALIDATION,
     adaptive_caches,
     held,
@@ -324,15 +323,13 @@ def search(
     seed: int = 42,
     parallelism: int = 8,
     max_runtime_secs: float | None = None,
-    balance: bool | None = None,
+    balance: bool = False,
     report: Callable[[DataFrame, SearchResult], None] | None = None,
     max_candidate_secs: float | None = None,
     validation_rate: float | None = None,
 ) -> SearchResult:
     """Cross-validate the candidates and fit the best one on all rows.
 
-    Unless ``balance`` is given, the rows are balanced if a candidate goes over them many times.
-
     ``report`` is called with the cached rows, which carry their fold, and the result, so that
     tables about the search can be computed before the cache is released.
 
@@ -362,8 +359,7 @@ def search(
             if other is not winner:
                 other.models = []
 
-    spread = any(c.algorithm not in ONE_PASS for c in candidates) if balance is None else balance
-    with held(folded, spec, FOLD, *marks, balance=spread) as data, adaptive_caches(df.sparkSession):
+    with held(folded, spec, FOLD, *marks, balance=balance) as data, adaptive_caches(df.sparkSession):
         made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
         check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
