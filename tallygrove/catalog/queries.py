@@ -85,6 +85,12 @@ def _stored_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return splits.hash_split(saved_table(_prepared(spark, sf), "prepared"), KEY, RATE, SEED)
 
 
+def _stored_bands(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The parts of ``_banded``, joined once."""
+    stored = saved_table(_banded(spark, sf).select(*KEY, "qty_band", "label"), "banded")
+    return splits.hash_split(stored, KEY, RATE, SEED)
+
+
 def _nb(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     inside, outside = _parts(spark, sf)
     return train(inside, ORDER_SPEC, "naive_bayes", seed=SEED), inside, outside
@@ -624,7 +630,7 @@ def _banded(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def logistic_regression_groups(spark: SparkSession, sf: str) -> DataFrame:
     """On one category alone, the probability is the category's share of positives."""
-    inside, outside = splits.hash_split(_banded(spark, sf), KEY, RATE, SEED)
+    inside, outside = _stored_bands(spark, sf)
     model = train(inside, BAND_SPEC, "logistic_regression", {"tol": 1e-10}, SEED)
     return model.transform(outside).select(
         "o_orderkey", _r(class_score("probability"), 5).alias("p1")
@@ -932,7 +938,7 @@ def svm_area_under_roc(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def linear_svm_groups(spark: SparkSession, sf: str) -> DataFrame:
     """On one category alone, the class is the category's majority."""
-    inside, outside = splits.hash_split(_banded(spark, sf), KEY, RATE, SEED)
+    inside, outside = _stored_bands(spark, sf)
     model = train(inside, BAND_SPEC, "linear_svm", None, SEED)
     return model.transform(outside).select("o_orderkey", F.col("prediction").cast("int").alias("prediction"))
 
@@ -987,7 +993,7 @@ def linear_contributions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def logistic_contributions(spark: SparkSession, sf: str) -> DataFrame:
-    inside, outside = splits.hash_split(_banded(spark, sf), KEY, RATE, SEED)
+    inside, outside = _stored_bands(spark, sf)
     model = train(inside, BAND_SPEC, "logistic_regression", {"tol": 1e-10}, SEED)
     table = explain.contributions(model, outside, BAND_SPEC, inside)
     return table.withColumn("contribution", _r("contribution", 4))

@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions.expressions import hash_below, key_hash
 from tallygrove.operators.boosting import SecondOrderBoosting, SecondOrderModel, logistic_loss, tree_sql
-from tallygrove.operators.features import FEATURES, build_pipeline, check_inputs
+from tallygrove.operators.features import (
+    FEATURES,
+    build_pipeline,
+    check_inputs,
+    feature_pipeline,
+    with_estimator,
+)
 from tallygrove.plans.spec import TableSpec
 
 CLASSIFIERS = {
@@ -37,6 +43,8 @@ CLASSIFIERS = {
 SECOND_ORDER = "second_order"
 # Marks the rows that tell boosted trees when to stop.
 VALIDATION = "_validation"
+# How many equal rows a row of ``_fit_counted`` stands for.
+ROWS = "_rows"
 # Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
 ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 # A cached plan that ends in a shuffle gets at least so many partitions per core: with about one per core
@@ -176,6 +184,34 @@ def round_losses(
     return reduce(DataFrame.unionByName, tables)
 
 
+def _can_count(estimator: Estimator, spec: TableSpec) -> bool:
+    """Whether counted rows give the same fit: a linear model whose loss is a sum over the rows alone.
+
+    A penalty would be scaled by deviations, for which a row of weight n is not n rows. With numbers among
+    the columns, rows are rarely equal.
+    """
+    linear = isinstance(estimator, (LinearSVC, LogisticRegression))
+    return linear and bool(spec.categorical) and not spec.numeric and estimator.getRegParam() == 0
+
+
+def _fit_counted(data: DataFrame, spec: TableSpec, estimator: Estimator) -> PipelineModel:
+    """Fit a linear model on categories alone: iterations go over the combinations that occur, counted.
+
+    The feature stages are fitted on the rows themselves, as the order of a column's values needs them.
+    """
+    features = feature_pipeline(spec).fit(data)
+    counted = data.groupBy(*spec.categorical, spec.label).agg(F.count("*").cast("double").alias(ROWS))
+    with adaptive_caches(data.sparkSession):
+        counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = estimator.copy().setWeightCol(ROWS).fit(features.transform(counted))
+    finally:
+        counted.unpersist()
+    # Rows to be scored have no such column.
+    fitted.clear(fitted.getParam("weightCol"))
+    return with_estimator(features, fitted)
+
+
 def train(
     df: DataFrame,
     spec: TableSpec,
@@ -189,6 +225,8 @@ def train(
 
     With ``validation_rate``, boosted trees do not learn from that share of the rows: the loss on them
     ends the fit, and the rounds after the best one are cut off. The feature stages use all rows.
+
+    Linear models without a penalty on categories alone go over counted combinations of categories.
     """
     estimator = make_estimator(algorithm, params, seed, spec.label, spec)
     marks = ()
@@ -198,4 +236,6 @@ def train(
         df, marks = marked_for_validation(df, spec, validation_rate, seed), (VALIDATION,)
     with held(df, spec, *marks, balance=balance) as data:
         check_inputs(data, spec, needs_non_negative(estimator))
+        if _can_count(estimator, spec):
+            return _fit_counted(data, spec, estimator)
         return build_pipeline(spec, estimator).fit(data)

@@ -1,10 +1,13 @@
 """How often costly rows are gone through, and over how many partitions."""
 
 import pytest
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import functions as F
 
+from tallygrove.functions.expressions import class_score
 from tallygrove.operators import evaluate, selection
-from tallygrove.operators.classifiers import held
+from tallygrove.operators.classifiers import held, make_estimator, train
+from tallygrove.operators.features import build_pipeline
 from tallygrove.plans.fixtures import ORDER_SPEC
 from tallygrove.plans.spec import TableSpec
 
@@ -66,3 +69,37 @@ def test_balanced_rows_fill_all_cores_more_than_once(spark):
             assert data.rdd.getNumPartitions() >= 2 * cores
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+CATEGORIES = ORDER_SPEC.using(categorical=("o_orderstatus", "c_mktsegment"), numeric=())
+
+
+def _rows_of_fits(monkeypatch, kind):
+    """The rows that each fit of a classifier is given."""
+    seen, fit = [], kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    return seen
+
+
+def test_linear_models_on_categories_go_over_counted_rows(orders, monkeypatch):
+    rows = orders.withColumn("c_mktsegment", F.when(F.col("o_orderkey") % 5 > 0, F.col("c_mktsegment")))
+    rows = rows.unionAll(rows.filter("o_orderkey % 3 = 0"))
+    combinations = rows.select(*CATEGORIES.categorical, "label").distinct().count()
+    params = {"tol": 1e-10}
+    plain = build_pipeline(CATEGORIES, make_estimator("logistic_regression", params)).fit(rows)
+    seen = _rows_of_fits(monkeypatch, LogisticRegression)
+    model = train(rows, CATEGORIES, "logistic_regression", params)
+    assert seen == [combinations]
+    assert not model.stages[-1].isDefined("weightCol")
+    got, wanted = (
+        {tuple(r) for r in m.transform(rows).select("o_orderkey", F.round(class_score("probability"), 4)).collect()}
+        for m in (model, plain)
+    )
+    assert got == wanted
+
+
+def test_penalties_and_numbers_keep_single_rows(orders, monkeypatch):
+    seen = _rows_of_fits(monkeypatch, LinearSVC)
+    train(orders, CATEGORIES, "linear_svm", {"maxIter": 2, "regParam": 0.1})
+    train(orders, ORDER_SPEC, "linear_svm", {"maxIter": 2})
+    assert seen == [orders.count()] * 2
