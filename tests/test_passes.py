@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import functions as F
 
+from tallygrove.catalog import queries
 from tallygrove.functions.expressions import class_score
 from tallygrove.operators import evaluate, selection
 from tallygrove.operators.classifiers import held, make_estimator, train
@@ -103,3 +104,18 @@ def test_penalties_and_numbers_keep_single_rows(orders, monkeypatch):
     train(orders, CATEGORIES, "linear_svm", {"maxIter": 2, "regParam": 0.1})
     train(orders, ORDER_SPEC, "linear_svm", {"maxIter": 2})
     assert seen == [orders.count()] * 2
+
+
+def test_an_order_table_that_is_read_more_than_once_is_joined_once(spark, monkeypatch):
+    joined, saved = [], queries.saved_table
+    monkeypatch.setattr(queries, "saved_table", lambda df, name: joined.append(name) or saved(df, name))
+    inside, outside = queries._stored_bands(spark, "/root/testdata/sf0.001")
+    assert joined == ["banded"]
+    assert "Join" not in _plan(inside) + _plan(outside)
+    assert "Join" not in _plan(queries._stored_parts(spark, "/root/testdata/sf0.001")[1])
+    monkeypatch.setattr(queries, "_parts", None)
+    monkeypatch.setattr(queries, "train", lambda *_, **__: joined.append("train"))
+    monkeypatch.setattr(queries.explain, "contributions", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        queries.path_additivity(spark, "/root/testdata/sf0.001")
+    assert joined == ["banded", "prepared", "prepared", "train"]
