@@ -332,7 +332,11 @@ def performance_bundle(
 
 def _judged_by(df: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
     """``performance`` and area by group; the scored rows, which are costly, are gone through once."""
-    points = saved_table(judged_points(df, score, label, by), "judged-points")
+    return _judged_from(saved_table(judged_points(df, score, label, by), "judged-points"), by, label)
+
+
+def _judged_from(points: DataFrame, by: Sequence[str], label: str) -> DataFrame:
+    """``_judged_by`` of stored ``judged_points``, whose groups may be finer than ``by``."""
     counted = points.groupBy(*by, "score").agg(
         F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("_n"))), F.lit(0)).alias("pos"),
         F.coalesce(F.sum(F.when(F.col(label) != 1, F.col("_n"))), F.lit(0)).alias("neg"),
@@ -471,7 +475,28 @@ def cv_metrics_summary(
     oof: DataFrame, label: str = "label", fold: str = "fold"
 ) -> DataFrame:
     """Long form: one row per metric and fold, plus the mean and deviation over the folds."""
-    per_fold = _judged_by(oof, [fold], "probability", label)
+    return _over_folds(_judged_by(oof, [fold], "probability", label), fold)
+
+
+def search_report(
+    rows: DataFrame, held_out: DataFrame, label: str = "label", score: str = "probability", fold: str = "fold"
+) -> tuple[DataFrame, DataFrame | None]:
+    """``performance_bundle`` of the rows (``train``) and of the rows held out (``cv``), and the latter's
+    ``cv_metrics_summary`` if they have a probability. Either table is scored once for both."""
+    shown = [c for c in (label, "prediction", "probability", "rawPrediction") if c in held_out.columns]
+    parts = (
+        rows.select(F.lit("train").alias("part"), F.lit(None).cast("int").alias(fold), *shown),
+        held_out.select(F.lit("cv").alias("part"), F.col(fold).cast("int").alias(fold), *shown),
+    )
+    counted = judged_points(DataFrame.unionByName(*parts), score, label, ["part", fold])
+    points = saved_table(counted, "judged-points")
+    bundle = _judged_from(points, ["part"], label)
+    if "probability" not in shown:
+        return bundle, None
+    return bundle, _over_folds(_judged_from(points.filter(F.col("part") == "cv"), [fold], label), fold)
+
+
+def _over_folds(per_fold: DataFrame, fold: str) -> DataFrame:
     metrics = ["auc", "accuracy", "mean_per_class_error", "log_loss"]
     long = per_fold.unpivot([fold], metrics, "metric", "value")
     over_folds = Window.partitionBy("metric")

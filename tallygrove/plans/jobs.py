@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.operators.calibrate import train_calibrated
 from tallygrove.operators.classifiers import SECOND_ORDER, score_column, train
-from tallygrove.operators.evaluate import area_under_roc, cv_metrics_summary, performance_bundle
+from tallygrove.operators.evaluate import area_under_roc, search_report
 from tallygrove.operators.explain import feature_importance
 from tallygrove.operators.prepare import prepare
 from tallygrove.operators.profile import label_distribution
@@ -135,12 +135,12 @@ def automl_job(spark: SparkSession, spec: JobSpec, in_path: str, model_path: str
 
     def report(rows: DataFrame, found: SearchResult) -> None:
         held_out = held_out_predictions(rows, found.best.models)
-        parts = {"train": found.leader.transform(rows), "cv": held_out}
         tables["counts"] = _now(label_distribution(rows, label))
         kind = score_column(found.best.candidate.algorithm)
-        tables["performance"] = _now(performance_bundle(parts, label, kind))
-        if "probability" in held_out.columns:
-            tables["fold_metrics"] = _now(cv_metrics_summary(held_out, label))
+        bundle, by_fold = search_report(found.leader.transform(rows), held_out, label, kind)
+        tables["performance"] = _now(bundle)
+        if by_fold is not None:
+            tables["fold_metrics"] = _now(by_fold)
 
     found = auto_search(
         df, spec.table, spec.max_models, spec.max_runtime_secs, spec.folds, spec.seed,

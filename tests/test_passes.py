@@ -119,3 +119,23 @@ def test_an_order_table_that_is_read_more_than_once_is_joined_once(spark, monkey
     with pytest.raises(ZeroDivisionError):
         queries.path_additivity(spark, "/root/testdata/sf0.001")
     assert joined == ["banded", "prepared", "prepared", "train"]
+
+
+def test_a_search_report_counts_the_scored_rows_once(scored, monkeypatch):
+    table = scored[-1]
+    folded = table.withColumn("fold", (F.col("o_orderkey") % 3).cast("int"))
+    counted, count = [], evaluate.judged_points
+    monkeypatch.setattr(evaluate, "judged_points", lambda *a: counted.append(a) or count(*a))
+    bundle, by_fold = evaluate.search_report(table, folded)
+    assert len(counted) == 1
+    assert "UDF" not in _plan(bundle) + _plan(by_fold)
+    wanted = evaluate.performance_bundle({"train": table, "cv": folded}), evaluate.cv_metrics_summary(folded)
+    for got, want, keys in zip((bundle, by_fold), wanted, (["part"], ["metric", "fold"])):
+        got, want = ([r.asDict() for r in t.orderBy(*keys).collect()] for t in (got, want))
+        assert len(got) == len(want) > 0
+        for one, other in zip(got, want):
+            names = {k for k, v in other.items() if isinstance(v, float)}
+            assert {k: one[k] for k in names} == pytest.approx({k: other[k] for k in names}, abs=1e-12)
+            assert {k: v for k, v in one.items() if k not in names} == {k: v for k, v in other.items() if k not in names}
+    bare = folded.drop("probability")
+    assert evaluate.search_report(bare, bare, score="rawPrediction")[1] is None
