@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from math import inf, isfinite, nextafter
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
@@ -17,6 +18,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,11 @@ CLASSIFIERS = {
 SECOND_ORDER = "second_order"
 # Marks the rows that tell boosted trees when to stop.
 VALIDATION = "_validation"
-# How many equal rows a row of ``_fit_counted`` stands for.
+# How many equal rows a counted row stands for.
 ROWS = "_rows"
+# Numbers with more distinct values than this are counted as the nearest of so many quantiles, for trees only:
+# they cut a number into ``maxBins`` bins (32) themselves.
+LEVELS = 512
 # Lets Spark choose the partitions of a cached plan at run time, as it does for any other plan.
 ADAPTIVE_CACHE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 # A cached plan that ends in a shuffle gets at least so many partitions per core: with about one per core
@@ -135,6 +140,98 @@ def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool = False) ->
         used.unpersist()
 
 
+def reads_bins(estimator: Estimator) -> bool:
+    """Whether the estimator sees a number by its bin alone, as trees do, and bins are not finer than levels."""
+    return isinstance(estimator, (DecisionTreeClassifier, GBTClassifier)) and estimator.getMaxBins() <= LEVELS
+
+
+def can_weigh(estimator: Estimator) -> bool:
+    """Whether a row of weight n gives the fit of n equal rows, up to rounding.
+
+    So it is with sums over the rows: naive Bayes, trees, logistic regression without a penalty (which would
+    be scaled by deviations). Where single rows are drawn or limited, as in forests, it is not.
+    """
+    if isinstance(estimator, NaiveBayes):
+        return estimator.getModelType() != "gaussian"
+    if isinstance(estimator, LogisticRegression):
+        return estimator.getRegParam() == 0
+    if isinstance(estimator, GBTClassifier) and estimator.getSubsamplingRate() < 1:
+        return False
+    trees = isinstance(estimator, (DecisionTreeClassifier, GBTClassifier))
+    return trees and estimator.getMinInstancesPerNode() == 1
+
+
+def fit_weighed(estimator: Estimator, counted: DataFrame):
+    """Fit on counted rows that have their features; rows to be scored need no column of weights."""
+    fitted = estimator.copy().setWeightCol(ROWS).fit(counted)
+    fitted.clear(fitted.getParam("weightCol"))
+    return fitted
+
+
+def _levels(data: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[list[float], list[float]]]:
+    """(values, cuts between them) of the columns with more than ``LEVELS`` distinct values, by quantiles.
+
+    A cut lies halfway, where a tree that learns from the values has its thresholds, so rows and the values
+    that stand for them go the same way. A row on the cut goes with the smaller value.
+    """
+    if not numeric:
+        return {}
+    about = data.agg(*(F.approx_count_distinct(c).alias(c) for c in numeric)).first()
+    many = [c for c in numeric if about[c] > LEVELS]
+    if not many:
+        return {}
+    shares = [i / (LEVELS - 1) for i in range(LEVELS)]
+    levels = {}
+    for c, found in zip(many, data.approxQuantile(many, shares, 1 / (4 * LEVELS))):
+        values: list[float] = []
+        cuts: list[float] = []
+        for value in sorted(filter(isfinite, set(found))):
+            cut = nextafter((values[-1] + value) / 2, inf) if values else -inf
+            if cut <= value:
+                values.append(value)
+                cuts.append(cut)
+        if len(values) > 1:
+            levels[c] = values, cuts
+    return levels
+
+
+def _on_levels(data: DataFrame, levels: Mapping[str, tuple[list[float], list[float]]]) -> DataFrame:
+    """Numbers replaced by the nearest of their column's values; NULL and NaN stay."""
+    if not levels:
+        return data
+    places = {c: f"_level {c}" for c in levels}
+    placed = Bucketizer(
+        inputCols=list(places), outputCols=list(places.values()), handleInvalid="keep",
+        splitsArray=[[*cuts, inf] for _, cuts in levels.values()],
+    ).transform(data)
+    nearest = {
+        # Rows without a number are in a bucket that no value stands for.
+        c: F.coalesce(
+            F.get(F.lit(levels[c][0]), F.col(place).cast("int")).cast(data.schema[c].dataType), F.col(c)
+        )
+        for c, place in places.items()
+    }
+    return placed.withColumns(nearest).drop(*places.values())
+
+
+@contextmanager
+def counted_rows(data: DataFrame, spec: TableSpec, *others: str) -> Iterator[tuple[DataFrame, bool]]:
+    """Equal rows once, with their number as ``ROWS``, and whether their numbers are the rows' own.
+
+    They are not if a column has more than ``LEVELS`` distinct values: then only trees may read them. The
+    counted rows are cached for as long as the fits need them.
+    """
+    levels = _levels(data, spec.numeric)
+    names = dict.fromkeys([*spec.categorical, *spec.numeric, spec.label, *others])
+    counted = _on_levels(data, levels).groupBy(*names).agg(F.count("*").alias(ROWS))
+    with adaptive_caches(data.sparkSession):
+        counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield counted, not levels
+    finally:
+        counted.unpersist()
+
+
 def marked_for_validation(df: DataFrame, spec: TableSpec, rate: float, seed: int = 42) -> DataFrame:
     """Add the validation mark for a share of the rows, by a hash that splits and folds do not use."""
     key = spec.key or tuple(df.columns)
@@ -200,16 +297,8 @@ def _fit_counted(data: DataFrame, spec: TableSpec, estimator: Estimator) -> Pipe
     The feature stages are fitted on the rows themselves, as the order of a column's values needs them.
     """
     features = feature_pipeline(spec).fit(data)
-    counted = data.groupBy(*spec.categorical, spec.label).agg(F.count("*").cast("double").alias(ROWS))
-    with adaptive_caches(data.sparkSession):
-        counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = estimator.copy().setWeightCol(ROWS).fit(features.transform(counted))
-    finally:
-        counted.unpersist()
-    # Rows to be scored have no such column.
-    fitted.clear(fitted.getParam("weightCol"))
-    return with_estimator(features, fitted)
+    with counted_rows(data, spec) as (counted, _):
+        return with_estimator(features, fit_weighed(estimator, features.transform(counted)))
 
 
 def train(

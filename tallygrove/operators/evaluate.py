@@ -264,10 +264,12 @@ def _performance(
 
 
 def judged_points(
-    df: DataFrame, score: str = "probability", label: str = "label", by: Sequence[str] = ()
+    df: DataFrame, score: str = "probability", label: str = "label", by: Sequence[str] = (),
+    rows: str | None = None,
 ) -> DataFrame:
     """How many rows (``_n``) share label, class, score and chance, per group of ``by``.
 
+    ``rows`` names the column that says how many rows each stands for, if they are counted already.
     ``judged_performance`` and the areas need no more, so a scored table is gone through once for all.
     """
     scores = {"score": positive_score(df, score)}
@@ -276,7 +278,7 @@ def judged_points(
     if score == "probability":
         del scores["score"]
     counted = df.groupBy(*by, label, "prediction", *(c.alias(name) for name, c in scores.items()))
-    points = counted.agg(F.count("*").alias("_n"))
+    points = counted.agg((F.count("*") if rows is None else F.sum(rows)).alias("_n"))
     return points if "score" in scores else points.withColumn("score", F.col("_chance"))
 
 

@@ -19,18 +19,23 @@ from itertools import product
 from statistics import fmean, pstdev
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.operators.classifiers import (
+    ROWS,
     SECOND_ORDER,
     VALIDATION,
     adaptive_caches,
+    can_weigh,
+    counted_rows,
+    fit_weighed,
     held,
     make_estimator,
     marked_for_validation,
     needs_non_negative,
+    reads_bins,
     score_column,
     watch_validation,
 )
@@ -223,8 +228,33 @@ def _rounds(model: PipelineModel) -> int | None:
     return rounds() if callable(rounds) else rounds
 
 
+@dataclass(frozen=True)
+class _Tables:
+    """The rows of a search, and the same with equal rows of a fold counted.
+
+    ``exact`` is whether the counted rows have the rows' own numbers; trees may read others as well.
+    """
+
+    rows: DataFrame
+    counted: DataFrame
+    exact: bool
+
+    def weighs(self, estimator: Estimator) -> bool:
+        """Whether the estimator is fitted on counted rows."""
+        return can_weigh(estimator) and (self.exact or reads_bins(estimator))
+
+    def fit(self, estimator: Estimator, table: DataFrame):
+        return fit_weighed(estimator, table) if self.weighs(estimator) else estimator.fit(table)
+
+    def to_learn(self, estimator: Estimator) -> DataFrame:
+        return self.counted if self.weighs(estimator) else self.rows
+
+    def to_judge(self) -> DataFrame:
+        return self.counted if self.exact else self.rows
+
+
 def _trials(
-    data: DataFrame,
+    tables: _Tables,
     spec: TableSpec,
     candidates: Sequence[Candidate],
     features: Sequence[PipelineModel],
@@ -234,17 +264,26 @@ def _trials(
     deadline: _Deadline | None = None,
 ) -> Iterator[Trial]:
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
-    shared = [_Shared(data, stages, fold, len(candidates)) for fold, stages in enumerate(features)]
+    made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
+    kinds = [tables.weighs(estimator) for estimator in made]
+    shared = {
+        (fold, kind): _Shared(
+            tables.counted if kind else tables.rows, tables.to_judge(), stages, fold, kinds.count(kind)
+        )
+        for fold, stages in enumerate(features)
+        for kind in set(kinds)
+    }
 
     def one_fold(pair: tuple[int, Candidate]) -> tuple[PipelineModel, float, Row]:
         fold, candidate = pair
         estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label, spec)
-        if VALIDATION in data.columns:
+        if VALIDATION in tables.rows.columns:
             watch_validation(estimator)
-        with shared[fold] as (rest, own):
-            fitted = estimator.fit(rest)
+        with shared[fold, tables.weighs(estimator)] as (rest, own):
+            fitted = tables.fit(estimator, rest)
             scored = fitted.transform(own)
-            points = judged_points(scored, score_column(candidate.algorithm), spec.label)
+            counts = ROWS if ROWS in own.columns else None
+            points = judged_points(scored, score_column(candidate.algorithm), spec.label, rows=counts)
             points = points.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 auc = judged_area(points, spec.label)
@@ -257,9 +296,9 @@ def _trials(
     pairs = list(product(range(len(features)), candidates))
     work = one_fold if deadline is None else deadline.within(one_fold)
     try:
-        results = list(_at_once(data.sparkSession, parallelism, work, pairs))
+        results = list(_at_once(tables.rows.sparkSession, parallelism, work, pairs))
     finally:
-        for each in shared:
+        for each in shared.values():
             each.release()
     for position, candidate in enumerate(candidates):
         models, areas, seen = zip(*results[position :: len(candidates)])
@@ -274,18 +313,28 @@ def _trials(
         )
 
 
+def _over_folds(table: DataFrame) -> DataFrame:
+    """Counted rows added up over the folds; other rows as they are."""
+    if ROWS not in table.columns:
+        return table
+    names = [c for c in table.columns if c not in (FOLD, ROWS)]
+    return table.groupBy(*names).agg(F.sum(ROWS).alias(ROWS))
+
+
 class _Shared:
     """A fold's features, of the rows to learn from and of those to judge by.
 
     They are cached while several candidates use them, apart from each other: a pass over one part would
-    otherwise unpack the vectors of both.
+    otherwise unpack the vectors of both. Counted rows to learn from are added up over the folds.
     """
 
-    def __init__(self, data: DataFrame, stages: PipelineModel, fold: int, uses: int):
+    def __init__(
+        self, learned: DataFrame, judged: DataFrame, stages: PipelineModel, fold: int, uses: int
+    ):
+        rest, own = learned.filter(F.col(FOLD) != fold), judged.filter(F.col(FOLD) == fold)
         # The steps between a column and the vector are not read again.
         self.parts = [
-            stages.transform(data.filter(rows)).select(*data.columns, FEATURES)
-            for rows in (F.col(FOLD) != fold, F.col(FOLD) == fold)
+            stages.transform(part).select(*part.columns, FEATURES) for part in (_over_folds(rest), own)
         ]
         self.uses, self.shared, self.filled = uses, uses > 1, False
         self.lock = threading.Lock()
@@ -359,14 +408,19 @@ def search(
             if other is not winner:
                 other.models = []
 
-    with held(folded, spec, FOLD, *marks, balance=balance) as data, adaptive_caches(df.sparkSession):
-        made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
+    made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
+    with (
+        held(folded, spec, FOLD, *marks, balance=balance) as data,
+        adaptive_caches(df.sparkSession),
+        counted_rows(data, spec, FOLD, *marks) as (counted, exact),
+    ):
+        tables = _Tables(data, counted, exact)
         check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
         rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
         *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
         if max_runtime_secs is None and max_candidate_secs is None:
-            for trial in _trials(data, spec, candidates, features, seed, parallelism):
+            for trial in _trials(tables, spec, candidates, features, seed, parallelism):
                 note(trial)
         else:
             for number, candidate in enumerate(candidates):
@@ -379,7 +433,7 @@ def search(
                 with _Deadline(df.sparkSession, min(limits) if trials else None) as deadline:
                     try:
                         for trial in _trials(
-                            data, spec, [candidate], features, seed, parallelism, number, deadline
+                            tables, spec, [candidate], features, seed, parallelism, number, deadline
                         ):
                             note(trial)
                     except _OutOfTime:
@@ -388,7 +442,8 @@ def search(
         winner = make_estimator(best.algorithm, best.params, seed, spec.label, spec)
         if marks:
             watch_validation(winner)
-        leader = with_estimator(everything, winner.fit(everything.transform(data)))
+        ready = everything.transform(_over_folds(tables.to_learn(winner)))
+        leader = with_estimator(everything, tables.fit(winner, ready))
         result = SearchResult(df.sparkSession, trials, left_out, leader)
         if report is not None:
             report(data, result)
