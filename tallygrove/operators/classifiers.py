@@ -140,6 +140,22 @@ def held(df: DataFrame, spec: TableSpec, *others: str, balance: bool = False) ->
         used.unpersist()
 
 
+def draws_rows(estimator: Estimator) -> bool:
+    """Whether the estimator draws single rows for every tree, as forests do."""
+    return isinstance(estimator, RandomForestClassifier)
+
+
+def spread_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The same rows dealt evenly over all cores, rows alike next to each other, for fits that visit each row often.
+
+    A forest visits every row once per tree and level. A small file has few partitions, and with one
+    only one core works, whatever the cluster. Rows alike take the same ways through the trees, which the
+    processor's caches reward.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartition(parts).sortWithinPartitions(*spec.categorical, *spec.numeric, spec.label)
+
+
 def reads_bins(estimator: Estimator) -> bool:
     """Whether the estimator sees a number by its bin alone, as trees do, and bins are not finer than levels."""
     return isinstance(estimator, (DecisionTreeClassifier, GBTClassifier)) and estimator.getMaxBins() <= LEVELS

@@ -30,6 +30,7 @@ from tallygrove.operators.classifiers import (
     adaptive_caches,
     can_weigh,
     counted_rows,
+    draws_rows,
     fit_weighed,
     held,
     make_estimator,
@@ -37,6 +38,7 @@ from tallygrove.operators.classifiers import (
     needs_non_negative,
     reads_bins,
     score_column,
+    spread_rows,
     watch_validation,
 )
 from tallygrove.operators.evaluate import (
@@ -266,9 +268,12 @@ def _trials(
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
     made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
     kinds = [tables.weighs(estimator) for estimator in made]
+    # Forests learn from single rows; others that do so as well share them.
+    spread = spec if any(map(draws_rows, made)) else None
     shared = {
         (fold, kind): _Shared(
-            tables.counted if kind else tables.rows, tables.to_judge(), stages, fold, kinds.count(kind)
+            tables.counted if kind else tables.rows, tables.to_judge(), stages, fold, kinds.count(kind),
+            None if kind else spread,
         )
         for fold, stages in enumerate(features)
         for kind in set(kinds)
@@ -325,16 +330,19 @@ class _Shared:
     """A fold's features, of the rows to learn from and of those to judge by.
 
     They are cached while several candidates use them, apart from each other: a pass over one part would
-    otherwise unpack the vectors of both. Counted rows to learn from are added up over the folds.
+    otherwise unpack the vectors of both. Counted rows to learn from are added up over the folds; single
+    rows are spread out by their columns in ``spread``, if it is given.
     """
 
     def __init__(
-        self, learned: DataFrame, judged: DataFrame, stages: PipelineModel, fold: int, uses: int
+        self, learned: DataFrame, judged: DataFrame, stages: PipelineModel, fold: int, uses: int,
+        spread: TableSpec | None = None,
     ):
         rest, own = learned.filter(F.col(FOLD) != fold), judged.filter(F.col(FOLD) == fold)
+        rest = _over_folds(rest) if spread is None else spread_rows(rest, spread)
         # The steps between a column and the vector are not read again.
         self.parts = [
-            stages.transform(part).select(*part.columns, FEATURES) for part in (_over_folds(rest), own)
+            stages.transform(part).select(*part.columns, FEATURES) for part in (rest, own)
         ]
         self.uses, self.shared, self.filled = uses, uses > 1, False
         self.lock = threading.Lock()
@@ -442,8 +450,9 @@ def search(
         winner = make_estimator(best.algorithm, best.params, seed, spec.label, spec)
         if marks:
             watch_validation(winner)
-        ready = everything.transform(_over_folds(tables.to_learn(winner)))
-        leader = with_estimator(everything, tables.fit(winner, ready))
+        rows = tables.to_learn(winner)
+        rows = spread_rows(rows, spec) if draws_rows(winner) else _over_folds(rows)
+        leader = with_estimator(everything, tables.fit(winner, everything.transform(rows)))
         result = SearchResult(df.sparkSession, trials, left_out, leader)
         if report is not None:
             report(data, result)

@@ -108,3 +108,29 @@ def test_trees_read_continuous_numbers_by_levels(spark, monkeypatch):
     assert [all((ROWS in columns) == counts for columns, _ in seen) for counts, seen in zip((True, False), fits)] == [True] * 2
     assert found.best.candidate.algorithm == "gbt" and found.best.mean > 0.95
     rows.unpersist()
+
+
+def test_forests_learn_on_all_cores(spark, rows, monkeypatch):
+    seen, fit = [], RandomForestClassifier._fit
+
+    def watched(self, df):
+        sizes = df.groupBy(F.spark_partition_id().alias("part")).count().collect()
+        seen.append((df.rdd.getNumPartitions(), [r["count"] for r in sizes]))
+        return fit(self, df)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", watched)
+    tried = [selection.Candidate("random_forest", {"numTrees": n}) for n in (2, 3)]
+    # No row has a key that would tell it from others.
+    few = rows.withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id"))).coalesce(1)
+    selection.search(few, SPEC, tried, folds=2)
+    cores = spark.sparkContext.defaultParallelism
+    assert len(seen) == 5
+    assert all(parts == cores and max(sizes) - min(sizes) <= cores for parts, sizes in seen)
+    learned = [sum(sizes) for _, sizes in seen]
+    assert learned[-1] == rows.count() and sum(learned[:-1]) == 2 * rows.count()
+    # Forests of the same rows in one partition draw others of them, and are as good.
+    monkeypatch.setattr(selection, "spread_rows", lambda df, spec: df)
+    tried = [selection.Candidate("random_forest", {"numTrees": 30})]
+    plain = selection.search(few, SPEC, tried, folds=2).best.mean
+    monkeypatch.undo()
+    assert selection.search(few, SPEC, tried, folds=2).best.mean == pytest.approx(plain, abs=0.02)
