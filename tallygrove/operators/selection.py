@@ -23,6 +23,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrove.operators.bagging import BaggedForest, Bags, can_bag, fits_in_tasks
 from tallygrove.operators.classifiers import (
     ROWS,
     SECOND_ORDER,
@@ -55,6 +56,8 @@ from tallygrove.plans.spec import TableSpec
 
 FOLD = "fold"
 DONE, SKIPPED, CANCELLED = "done", "skipped", "cancelled"
+# What an estimator learns from: counted rows, bags drawn by the counts of equal rows, or single rows.
+COUNTED, BAGGED, SINGLE = "counted", "bagged", "single"
 # Seconds between two cancellations of a candidate whose time is up: a fit is many jobs.
 AGAIN_SECS = 0.2
 
@@ -235,21 +238,32 @@ class _Tables:
     """The rows of a search, and the same with equal rows of a fold counted.
 
     ``exact`` is whether the counted rows have the rows' own numbers; trees may read others as well.
+    ``size`` is how many counted rows there are, if some candidate draws its bags by them.
     """
 
     rows: DataFrame
     counted: DataFrame
     exact: bool
-
-    def weighs(self, estimator: Estimator) -> bool:
-        """Whether the estimator is fitted on counted rows."""
-        return can_weigh(estimator) and (self.exact or reads_bins(estimator))
-
-    def fit(self, estimator: Estimator, table: DataFrame):
-        return fit_weighed(estimator, table) if self.weighs(estimator) else estimator.fit(table)
-
-    def to_learn(self, estimator: Estimator) -> DataFrame:
-        return self.counted if self.weighs(estimator) else self.rows
+    spec: TableSpec
+    features: PipelineModel
+    size: int | None = None
+
+    def learns(self, estimator: Estimator) -> str:
+        """What the estimator is fitted on."""
+        if can_weigh(estimator) and (self.exact or reads_bins(estimator)):
+            return COUNTED
+        if self.size is not None and can_bag(estimator):
+            if fits_in_tasks(estimator, self.features, self.spec, self.size):
+                return BAGGED
+        return SINGLE
+
+    def fit(self, estimator: Estimator, table: DataFrame, bags: Bags | None = None):
+        if bags is not None:
+            estimator = BaggedForest.of(estimator, bags)
+        return fit_weighed(estimator, table) if ROWS in table.columns else estimator.fit(table)
+
+    def to_learn(self, kind: str) -> DataFrame:
+        return self.counted if kind == COUNTED else self.rows
 
     def to_judge(self) -> DataFrame:
         return self.counted if self.exact else self.rows
@@ -267,13 +281,14 @@ def _trials(
 ) -> Iterator[Trial]:
     """Fit and judge the candidates on every fold; fits of several candidates may overlap."""
     made = [make_estimator(c.algorithm, c.params, seed, spec.label, spec) for c in candidates]
-    kinds = [tables.weighs(estimator) for estimator in made]
+    kinds = [tables.learns(estimator) for estimator in made]
     # Forests learn from single rows; others that do so as well share them.
-    spread = spec if any(map(draws_rows, made)) else None
+    drawn = {kind for kind, estimator in zip(kinds, made) if kind != COUNTED and draws_rows(estimator)}
     shared = {
         (fold, kind): _Shared(
-            tables.counted if kind else tables.rows, tables.to_judge(), stages, fold, kinds.count(kind),
-            None if kind else spread,
+            tables.to_learn(kind), tables.to_judge(), stages, fold, kinds.count(kind),
+            spec if kind in drawn else None,
+            Bags(tables.counted.filter(F.col(FOLD) != fold), stages, spec) if kind == BAGGED else None,
         )
         for fold, stages in enumerate(features)
         for kind in set(kinds)
@@ -284,8 +299,9 @@ def _trials(
         estimator = make_estimator(candidate.algorithm, candidate.params, seed, spec.label, spec)
         if VALIDATION in tables.rows.columns:
             watch_validation(estimator)
-        with shared[fold, tables.weighs(estimator)] as (rest, own):
-            fitted = tables.fit(estimator, rest)
+        used = shared[fold, tables.learns(estimator)]
+        with used as (rest, own):
+            fitted = tables.fit(estimator, rest, used.bags)
             scored = fitted.transform(own)
             counts = ROWS if ROWS in own.columns else None
             points = judged_points(scored, score_column(candidate.algorithm), spec.label, rows=counts)
@@ -331,12 +347,13 @@ class _Shared:
 
     They are cached while several candidates use them, apart from each other: a pass over one part would
     otherwise unpack the vectors of both. Counted rows to learn from are added up over the folds; single
-    rows are spread out by their columns in ``spread``, if it is given.
+    rows are spread out by their columns in ``spread``, if it is given. Of forests with ``bags`` only the
+    rows to judge by are cached: the others are read by their counts.
     """
 
     def __init__(
         self, learned: DataFrame, judged: DataFrame, stages: PipelineModel, fold: int, uses: int,
-        spread: TableSpec | None = None,
+        spread: TableSpec | None = None, bags: Bags | None = None,
     ):
         rest, own = learned.filter(F.col(FOLD) != fold), judged.filter(F.col(FOLD) == fold)
         rest = _over_folds(rest) if spread is None else spread_rows(rest, spread)
@@ -344,6 +361,7 @@ class _Shared:
         self.parts = [
             stages.transform(part).select(*part.columns, FEATURES) for part in (rest, own)
         ]
+        self.bags, self.kept = bags, self.parts if bags is None else self.parts[1:]
         self.uses, self.shared, self.filled = uses, uses > 1, False
         self.lock = threading.Lock()
 
@@ -351,7 +369,7 @@ class _Shared:
         with self.lock:
             if self.shared and not self.filled:
                 self.filled = True
-                for part in self.parts:
+                for part in self.kept:
                     # At once: jobs that meet in a cache being filled wait for each other in the cores.
                     part.persist(StorageLevel.MEMORY_AND_DISK).count()
         return self.parts
@@ -364,8 +382,10 @@ class _Shared:
 
     def release(self) -> None:
         if self.filled:
-            for part in self.parts:
+            for part in self.kept:
                 part.unpersist()
+        if self.bags is not None:
+            self.bags.release()
 
 
 def _order(trial: Trial) -> tuple[float, int]:
@@ -422,11 +442,12 @@ def search(
         adaptive_caches(df.sparkSession),
         counted_rows(data, spec, FOLD, *marks) as (counted, exact),
     ):
-        tables = _Tables(data, counted, exact)
         check_inputs(data, spec, any(map(needs_non_negative, made)))
         stages = feature_pipeline(spec)
         rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
         *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
+        size = counted.count() if any(map(can_bag, made)) else None
+        tables = _Tables(data, counted, exact, spec, everything, size)
         if max_runtime_secs is None and max_candidate_secs is None:
             for trial in _trials(tables, spec, candidates, features, seed, parallelism):
                 note(trial)
@@ -450,9 +471,13 @@ def search(
         winner = make_estimator(best.algorithm, best.params, seed, spec.label, spec)
         if marks:
             watch_validation(winner)
-        rows = tables.to_learn(winner)
+        kind = tables.learns(winner)
+        rows = tables.to_learn(kind)
         rows = spread_rows(rows, spec) if draws_rows(winner) else _over_folds(rows)
-        leader = with_estimator(everything, tables.fit(winner, everything.transform(rows)))
+        bags = Bags(counted, everything, spec) if kind == BAGGED else None
+        leader = with_estimator(everything, tables.fit(winner, everything.transform(rows), bags))
+        if bags is not None:
+            bags.release()
         result = SearchResult(df.sparkSession, trials, left_out, leader)
         if report is not None:
             report(data, result)
