@@ -6,11 +6,19 @@ and one for the categories, whatever the number of columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.plans.spec import TableSpec
@@ -20,6 +28,8 @@ IMPUTED_SUFFIX = "_IMPUTED"
 INDEX_SUFFIX = "_idx"
 VECTOR_SUFFIX = "_vec"
 FEATURES = "features"
+# With more categories than this, an indexer is fitted on the rows.
+MOST_LABELS = 1000
 
 
 def _imputer(columns: Iterable[str]) -> Imputer:
@@ -82,6 +92,86 @@ def feature_pipeline(spec: TableSpec) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def _imputer_model(spark: SparkSession, columns: Sequence[str], means: Sequence[float]) -> ImputerModel:
+    """The imputer with these means: that of a table with one row."""
+    named = (F.lit(mean).alias(c) for c, mean in zip(columns, means))
+    return _imputer(columns).fit(spark.range(0, 1, 1, 1).select(*named))
+
+
+def _indexer_model(
+    spark: SparkSession, columns: Sequence[str], labels: Sequence[Sequence[str]]
+) -> StringIndexerModel:
+    """The indexer with these labels in order. Spark's own way to it takes columns with equally many labels only."""
+    gateway = spark.sparkContext._gateway
+    arrays = gateway.new_array(gateway.jvm.java.lang.String, len(labels), 0)
+    for i, of in enumerate(labels):
+        array = gateway.new_array(gateway.jvm.java.lang.String, len(of))
+        for j, value in enumerate(of):
+            array[j] = value
+        arrays[i] = array
+    indexer = _indexer(columns)
+    java = gateway.jvm.org.apache.spark.ml.feature.StringIndexerModel(indexer.uid, arrays)
+    return indexer._copyValues(StringIndexerModel(java))
+
+
+def fit_without_parts(
+    counted: DataFrame, spec: TableSpec, rows: str, part: str, parts: int
+) -> list[PipelineModel] | None:
+    """The feature stages of a table without each of its parts, then of all of it, from its counted rows.
+
+    ``rows`` holds how many rows each stands for. The means, the categories and their order are those of single
+    rows, up to rounding, from three jobs for all parts together. None if there is a column without any number,
+    for which the stages have no mean, or with many categories, whose labels take a call each.
+    """
+    numbers, categories = list(spec.numeric), list(spec.categorical)
+    if categories:
+        about = counted.agg(*(F.approx_count_distinct(c) for c in categories)).first()
+        if sum(about) > MOST_LABELS:
+            return None
+    known = [F.col(c).cast("double") for c in numbers]
+    there = [~F.isnan(x) & x.isNotNull() for x in known]
+    sums = [F.sum(F.when(t, x * F.col(rows))) for t, x in zip(there, known)]
+    sizes = [F.sum(F.when(t, F.col(rows))) for t in there]
+    totals = counted.groupBy(part).agg(*sums, *sizes).collect() if numbers else []
+    values: dict[int, list[tuple]] = defaultdict(list)
+    if categories:
+        cells = F.array(
+            *(F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(categories))
+        )
+        listed = counted.select(part, rows, F.explode(cells).alias("v")).filter("v.value IS NOT NULL")
+        for at, place, value, n in listed.groupBy(part, "v.place", "v.value").agg(F.sum(rows)).collect():
+            values[place].append((at, value, n))
+
+    def fitted(left_out: int | None) -> PipelineModel | None:
+        def used(at: int | None) -> bool:
+            return left_out is None or (at is not None and at != left_out)
+
+        stages: list = []
+        if numbers:
+            of = [row[1:] for row in totals if used(row[0])]
+            n = [sum(row[len(numbers) + i] or 0 for row in of) for i in range(len(numbers))]
+            if not all(n):
+                return None
+            means = [sum(row[i] or 0.0 for row in of) / n[i] for i in range(len(numbers))]
+            stages.append(_imputer_model(counted.sparkSession, numbers, means))
+        if categories:
+            labels = []
+            for place in range(len(categories)):
+                counts: dict[str, int] = defaultdict(int)
+                for at, value, n in values[place]:
+                    if used(at):
+                        counts[value] += n
+                # Spark orders equal counts as Java orders strings.
+                labels.append(sorted(counts, key=lambda v: (-counts[v], v.encode("utf-16-be", "surrogatepass"))))
+            stages.append(_indexer_model(counted.sparkSession, categories, labels))
+        # The encoder learns its sizes from the indexer, without a job.
+        others = feature_pipeline(spec).getStages()[len(stages) :]
+        return Pipeline(stages=[*stages, *others]).fit(counted)
+
+    models = [fitted(at) for at in (*range(parts), None)]
+    return None if None in models else models
+
+
 def build_pipeline(spec: TableSpec, estimator: Estimator) -> Pipeline:
     """Feature stages followed by the estimator."""
     return Pipeline(stages=[*feature_pipeline(spec).getStages(), estimator])

@@ -50,7 +50,13 @@ from tallygrove.operators.evaluate import (
     metric_name,
     performance,
 )
-from tallygrove.operators.features import FEATURES, check_inputs, feature_pipeline, with_estimator
+from tallygrove.operators.features import (
+    FEATURES,
+    check_inputs,
+    feature_pipeline,
+    fit_without_parts,
+    with_estimator,
+)
 from tallygrove.operators.splits import assign_fold
 from tallygrove.plans.spec import TableSpec
 
@@ -443,9 +449,12 @@ def search(
         counted_rows(data, spec, FOLD, *marks) as (counted, exact),
     ):
         check_inputs(data, spec, any(map(needs_non_negative, made)))
-        stages = feature_pipeline(spec)
-        rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
-        *features, everything = _at_once(df.sparkSession, parallelism, stages.fit, [*rests, data])
+        fitted = fit_without_parts(counted, spec, ROWS, FOLD, folds) if exact else None
+        if fitted is None:
+            stages = feature_pipeline(spec)
+            rests = [data.filter(F.col(FOLD) != fold) for fold in range(folds)]
+            fitted = list(_at_once(df.sparkSession, parallelism, stages.fit, [*rests, data]))
+        *features, everything = fitted
         size = counted.count() if any(map(can_bag, made)) else None
         tables = _Tables(data, counted, exact, spec, everything, size)
         if max_runtime_secs is None and max_candidate_secs is None:
