@@ -47,13 +47,16 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
-def row_key(df: DataFrame) -> list[Column]:
+def row_key(df: DataFrame | Sequence[str]) -> list[Column]:
     """Two hashes over all columns that tell different rows apart and equal rows not.
 
-    Maps are equal if their entries are, in whatever order.
+    Maps are equal if their entries are, in whatever order. Of a table without maps the names alone will do.
     """
-    every = [F.col(f"`{c}`") for c in df.columns]
-    values = [_comparable(c, f.dataType) for c, f in zip(every, df.schema.fields)]
+    if isinstance(df, DataFrame):
+        every = [F.col(f"`{c}`") for c in df.columns]
+        values = [_comparable(c, f.dataType) for c, f in zip(every, df.schema.fields)]
+    else:
+        values = every = [F.col(f"`{c}`") for c in df]
     return [
         F.xxhash64(F.lit(1), *values, *(c.isNull() for c in every)).alias("_key1"),
         F.xxhash64(F.lit(2), *values, *(c.isNull() for c in every)).alias("_key2"),
